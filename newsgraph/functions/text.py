@@ -20,6 +20,18 @@ def _c(c: ColumnOrName) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def with_columns_once(df, **exprs):
+    """Add columns evaluated exactly once per row.
+
+    A filter on a computed column is normally pushed below the projection
+    that computes it, with the expression copied into the filter, so a
+    costly expression runs twice.  A generator output cannot be pushed
+    through, so the columns are produced by ``inline`` of a one-element
+    array."""
+    row = F.struct(*[e.alias(k) for k, e in exprs.items()])
+    return df.select("*", F.inline(F.array(row)))
+
+
 # --------------------------------------------------------------------------
 # Fixed values (must equal the behaviour being matched)
 # --------------------------------------------------------------------------
@@ -154,25 +166,29 @@ def extract_braces(c: ColumnOrName) -> Column:
     ``}`` that brings the depth back to 0.  Not aware of strings; when no
     such group exists the result is ``{}``.
 
-    The text is split into brace tokens and runs between them, so the fold
-    walks a few tokens per reply instead of every character."""
+    The fold walks the braces only (with the lengths of the runs between
+    them), not every character."""
     col = _c(c)
-    parts = F.split(col, r"(?=[{}])|(?<=[{}])", -1)
+    # pieces between braces (n+1) and the braces themselves (n), zipped: each
+    # step advances over one piece, then meets one brace (null after the last)
+    lens = F.transform(F.split(col, "[{}]", -1), lambda x: F.length(x))
+    braces = F.regexp_extract_all(col, F.lit("[{}]"), 0)
+    steps = F.arrays_zip(lens.alias("l"), braces.alias("b"))
     init = F.struct(F.lit(0).alias("d"), F.lit(0).alias("p"),
                     F.lit(-1).alias("s"), F.lit(-1).alias("e"))
 
-    def step(acc, t):
-        d, p, s, e = acc["d"], acc["p"], acc["s"], acc["e"]
-        done = e >= 0
-        is_open = t == F.lit("{")
-        is_close = t == F.lit("}")
-        nd = F.when(done, d).when(is_open, d + 1).when(is_close, d - 1).otherwise(d)
-        ns = F.when(~done & is_open & (d == 0), p).otherwise(s)
-        ne = F.when(~done & is_close & (d == 1), p + 1).otherwise(e)
-        np_ = F.when(done, p).otherwise(p + F.length(t))
-        return F.struct(nd.alias("d"), np_.alias("p"), ns.alias("s"), ne.alias("e"))
-
-    st = F.aggregate(parts, init, step)
+    def step(acc, x):
+        d, s, e = acc["d"], acc["s"], acc["e"]
+        p = acc["p"] + x["l"]           # 0-based index of this step's brace
+        live = (e < 0) & x["b"].isNotNull()
+        is_open = live & (x["b"] == F.lit("{"))
+        is_close = live & (x["b"] == F.lit("}"))
+        nd = F.when(is_open, d + 1).when(is_close, d - 1).otherwise(d)
+        ns = F.when(is_open & (d == 0), p).otherwise(s)
+        ne = F.when(is_close & (d == 1), p + 1).otherwise(e)
+        return F.struct(nd.alias("d"), (p + 1).alias("p"), ns.alias("s"), ne.alias("e"))
+
+    st = F.aggregate(steps, init, step)
     found = (st["s"] >= 0) & (st["e"] >= 0)
     return F.when(col.isNull(), F.lit("{}")).when(
         found, F.substring(col, st["s"] + 1, st["e"] - st["s"])).otherwise(F.lit("{}"))
@@ -194,9 +210,12 @@ def python_none_to_null(c: ColumnOrName) -> Column:
     """A bare ``None``/``True``/``False`` value (after ``:``, ``[`` or ``,``)
     to its JSON spelling."""
     col = _c(c)
+    out = col
+    guard = F.lit(False)
     for py, js in (("None", "null"), ("True", "true"), ("False", "false")):
-        col = F.regexp_replace(col, rf"(?<=[:\[,]\s{{0,16}}){py}(?=\s*[,}}\]])", js)
-    return col
+        out = F.regexp_replace(out, rf"([:\[,]\s{{0,16}}){py}(?=\s*[,}}\]])", f"$1{js}")
+        guard = guard | col.contains(py)
+    return F.when(guard, out).otherwise(col)
 
 
 # --------------------------------------------------------------------------

@@ -29,6 +29,7 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
     session as usual and call :func:`configure` on it."""
     b = (SparkSession.builder.master(master).appName(app_name)
          .config("spark.ui.enabled", "false")
+         .config("spark.ui.showConsoleProgress", "false")
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
          .config("spark.driver.memory", "8g")
          .config("spark.sql.execution.arrow.pyspark.enabled", "true"))
