@@ -188,17 +188,19 @@ def extract_braces(c: ColumnOrName) -> Column:
         ne = F.when(is_close & (d == 1), p + 1).otherwise(e)
         return F.struct(nd.alias("d"), (p + 1).alias("p"), ns.alias("s"), ne.alias("e"))
 
-    st = F.aggregate(steps, init, step)
-    found = (st["s"] >= 0) & (st["e"] >= 0)
-    return F.when(col.isNull(), F.lit("{}")).when(
-        found, F.substring(col, st["s"] + 1, st["e"] - st["s"])).otherwise(F.lit("{}"))
+    def finish(st):
+        # inside the fold, so the fold's state is computed once per row
+        found = (st["s"] >= 0) & (st["e"] >= 0)
+        return F.when(found, F.substring(col, st["s"] + 1, st["e"] - st["s"])).otherwise(F.lit("{}"))
+
+    return F.coalesce(F.aggregate(steps, init, step, finish), F.lit("{}"))
 
 
 def clean_json_text(c: ColumnOrName) -> Column:
     """Curly quotes to straight ones, no-break space to space, zero-width
     space and every character below U+0020 removed."""
     return F.regexp_replace(F.translate(_c(c), JSON_CLEAN_FROM, JSON_CLEAN_TO),
-                            r"[\x00-\x1F]", "")
+                            r"[\x00-\x1F]+", "")
 
 
 def fix_trailing_commas(c: ColumnOrName) -> Column:
@@ -209,13 +211,10 @@ def fix_trailing_commas(c: ColumnOrName) -> Column:
 def python_none_to_null(c: ColumnOrName) -> Column:
     """A bare ``None``/``True``/``False`` value (after ``:``, ``[`` or ``,``)
     to its JSON spelling."""
-    col = _c(c)
-    out = col
-    guard = F.lit(False)
+    out = _c(c)
     for py, js in (("None", "null"), ("True", "true"), ("False", "false")):
         out = F.regexp_replace(out, rf"([:\[,]\s{{0,16}}){py}(?=\s*[,}}\]])", f"$1{js}")
-        guard = guard | col.contains(py)
-    return F.when(guard, out).otherwise(col)
+    return out
 
 
 # --------------------------------------------------------------------------

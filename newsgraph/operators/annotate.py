@@ -198,8 +198,10 @@ def parse_annotations(df: DataFrame, reply_col: str = "reply",
     ``text`` replaced by the reply's text, ``topics`` and ``persons`` added;
     a missing key gives null.  An empty object drops the row.  rejects: rows
     whose object does not parse, with the reply and the extracted object."""
-    parsed = with_columns_once(df, _json=reply_json(F.col(reply_col)))
-    parsed = with_columns_once(parsed, _ann=F.from_json(
+    # three once-per-row steps, so no stage sees a costly input twice
+    parsed = with_columns_once(df, _j0=clean_json_text(extract_braces(F.col(reply_col))))
+    parsed = with_columns_once(parsed, _json=fix_trailing_commas(python_none_to_null(F.col("_j0"))))
+    parsed = with_columns_once(parsed.drop("_j0"), _ann=F.from_json(
         F.col("_json"), ANNOTATION,
         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record", "allowSingleQuotes": "true"}))
     empty = F.regexp_like(F.col("_json"), F.lit(r"^\{\s*\}$"))

@@ -24,6 +24,7 @@ from newsgraph.operators import vectors as V
 from newsgraph.plans import fixtures as fx
 from newsgraph.plans import sql as S
 from newsgraph.plans import workflow as W
+from newsgraph.session import materialize
 from newsgraph.sources import feed as FD
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -272,10 +273,12 @@ def q_token_budget(spark, d):
 # Annotation (I-12..I-15, I-24, I-29, I-34, I-35)
 # ---------------------------------------------------------------------------
 
-def _accepted(spark, d) -> DataFrame:
+def _accepted(spark, d, keep: bool = True) -> DataFrame:
+    """Parsed annotations; kept as a table when later steps read it twice."""
     arts = fx.articles_from_documents(_t(spark, d, "documents"))
     acc, _ = A.parse_annotations(arts)
-    return A.drop_empty_topics(acc)
+    acc = A.drop_empty_topics(acc)
+    return materialize(acc, "accepted") if keep else acc
 
 
 def _joined(c):
@@ -287,7 +290,7 @@ SELECT row_ord, title, newspaper, link, date, text, topics,
        array_to_string(persons, '|') AS persons, CAST(len(persons) AS INTEGER) AS n_persons
 FROM accepted""")
 def q_annotation_parse(spark, d):
-    acc = _accepted(spark, d)
+    acc = _accepted(spark, d, keep=False)
     return acc.select("row_ord", "title", "newspaper", "link", "date", "text", "topics",
                       _joined("persons").alias("persons"), F.size("persons").alias("n_persons"))
 
@@ -380,12 +383,12 @@ def q_clean_stub(spark, d):
 
 @query("persons_explode", _with(S.PERSONS_EXPLODED) + "\nSELECT row_ord, pos, person FROM pe")
 def q_persons_explode(spark, d):
-    return P.explode_persons(_accepted(spark, d)).select("row_ord", "pos", "person")
+    return P.explode_persons(_accepted(spark, d, keep=False)).select("row_ord", "pos", "person")
 
 
 @query("persons_title", _with(S.PERSONS_EXPLODED) + f"\nSELECT row_ord, pos, {S.title_case('person')} AS person FROM pe")
 def q_persons_title(spark, d):
-    return P.title_persons(P.explode_persons(_accepted(spark, d))).select("row_ord", "pos", "person")
+    return P.title_persons(P.explode_persons(_accepted(spark, d, keep=False))).select("row_ord", "pos", "person")
 
 
 @query("persons_full_name", _with(S.PERSONS_FULL) + "\nSELECT row_ord, pos, person FROM pdone")
@@ -729,3 +732,16 @@ SELECT least(src, dst) AS src, greatest(src, dst) AS dst, arg_max(relationship,
 FROM pairs WHERE src IS NOT NULL AND dst IS NOT NULL GROUP BY least(src, dst), greatest(src, dst)""")
 def q_graph_customer_edges(spark, d):
     return G.ArticleGraph.build(_customer_table(spark, d), CUSTOMER_RELS).edges_simple
+
+
+# ---------------------------------------------------------------------------
+# Whole workflow (I-50, I-51, I-52)
+# ---------------------------------------------------------------------------
+
+@query("process_articles")
+def q_process_articles(spark, d):
+    from newsgraph.plans.flagship import processed_articles
+
+    out, _ = processed_articles(spark, d)
+    return out.select("title", "newspaper", "link", "date", "topics", _joined("persons").alias("persons"),
+                      F.size("persons").alias("n_persons"))

@@ -39,8 +39,22 @@ STUB_TOPICS = ("the", "les", "der", "los", "und", "con")
 QUERY = "elezioni europee"
 
 
+# Text-heavy tables and their keys.
+TEXT_TABLES = {"documents": "doc_id", "pages": "page_id", "conversations": "conv_id"}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """Read a driver table.  A text-heavy table whose scan yields fewer
+    partitions than the session's parallelism (a small file with one row
+    group) is hash-partitioned on its key so every core gets text to work
+    on; large inputs already scan into many partitions and are left as read."""
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    key = TEXT_TABLES.get(name)
+    if key:
+        par = spark.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() < par:
+            df = df.repartition(par, key)
+    return df
 
 
 def newspaper_of(url: Column) -> Column:
@@ -95,14 +109,14 @@ def reply_parts(documents: DataFrame) -> DataFrame:
     persons = F.when(_divisible(d, NO_PERSONS), F.array().cast("array<string>")).otherwise(
         F.regexp_extract_all(F.col("text"), F.lit(REPLY_PERSON_RE), 0))
     return documents.select(
-        "doc_id", "lang", "source",
+        "doc_id", "lang", "source", "text",
         F.regexp_replace(F.col("text"), REPLY_KEEP_RE, "").alias("r_text"),
         F.when(_divisible(d, EMPTY_TOPIC), F.lit("")).otherwise(F.col("source")).alias("r_topic"),
         persons.alias("r_persons"))
 
 
 def replies_from_documents(documents: DataFrame) -> DataFrame:
-    """``(doc_id, lang, source, reply)``: a model reply per document."""
+    """``(doc_id, lang, source, text, reply)``: a model reply per document."""
     p = reply_parts(documents)
     d = F.col("doc_id")
     plist = F.concat(F.lit("["), F.array_join(F.transform("r_persons", lambda x: F.concat(F.lit('"'), x, F.lit('"'))), ", "),
@@ -119,15 +133,14 @@ def replies_from_documents(documents: DataFrame) -> DataFrame:
            .when(_divisible(d, TRAILING_COMMA),
                  F.concat(F.lit("{"), F.concat_ws(", ", text_kv, topic_kv, persons_kv), F.lit(",}")))
            .otherwise(normal))
-    return p.select("doc_id", "lang", "source",
+    return p.select("doc_id", "lang", "source", "text",
                     F.concat(F.lit("Ecco: "), obj, F.lit(" fine")).alias("reply"))
 
 
 def articles_from_documents(documents: DataFrame) -> DataFrame:
     """Article rows for the replies: title, newspaper (= language), link,
     date, page text and the reply; ``row_ord`` = doc_id."""
-    r = replies_from_documents(documents)
-    return (documents.select("doc_id", "text").join(r, "doc_id")
+    return (replies_from_documents(documents)
             .select(F.col("doc_id").cast("bigint").alias("row_ord"),
                     F.concat(F.lit("doc "), F.col("doc_id").cast("string")).alias("title"),
                     F.col("lang").alias("newspaper"),

@@ -22,6 +22,7 @@ from newsgraph.operators.persons import process_persons
 from newsgraph.operators.topics import (apply_representatives, cluster_with_model,
                                         distinct_topics, representatives)
 from newsgraph.operators.vectors import seeded_kmeans, topic_vectors, train_word2vec
+from newsgraph.session import materialize
 from newsgraph.sources.feed import attach_pages, feed_items
 
 PROCESSED_COLUMNS = (*ARTICLE_COLUMNS, "text", "topics", "persons")
@@ -71,11 +72,17 @@ def annotate_articles(articles: DataFrame, run: NewsRun, client_factory: Callabl
 
 def process_articles(articles: DataFrame, pages: DataFrame, run: NewsRun, client_factory: Callable,
                      cluster_client_factory: Callable | None = None, cluster: str = "model",
-                     pin: bool = True, density_cut: float | None = None) -> tuple[DataFrame, DataFrame]:
+                     pin: bool = True, density_cut: float | None = None,
+                     keep: bool = True) -> tuple[DataFrame, DataFrame]:
     """Fetch (join with landed pages) → HTML to text → annotate → merge
-    topics (by model, or by vectors) → persons.  Returns (processed, rejects)."""
+    topics (by model, or by vectors) → persons.  Returns (processed, rejects).
+
+    With ``keep`` the annotated table is written once to the shared folder:
+    the topic merge and the persons steps read it several times."""
     fetched = attach_pages(articles, pages).withColumn("text", html_to_text(F.col("html"))).drop("html")
     annotated, rejects = annotate_articles(fetched, run, client_factory, pin)
+    if keep:
+        annotated = materialize(annotated, "annotated")
     if cluster == "model":
         merged = cluster_with_model(annotated, cluster_client_factory or client_factory, run.topics,
                                     partitions=run.model_partitions, pin=pin)

@@ -80,3 +80,12 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     unlike a local checkpoint)."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once as parquet under the shared folder and read it
+    back: later branches of the plan scan the files instead of recomputing
+    the lineage (and the planner sees the real size)."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
