@@ -2,7 +2,7 @@
 representative topic per cluster, and clustering by a language model.
 
 A mapping is a DataFrame ``(label, label_ord, member)`` (one row per
-member), or a map column parsed from a model reply.  Lookups are joins
+member), possibly parsed from a model reply.  Lookups are joins
 that AQE broadcasts when the measured mapping is small and keeps as
 sort-merge joins otherwise."""
 
@@ -22,14 +22,16 @@ MAPPING_TYPE = "map<string,array<string>>"
 def mapping_from_json(df: DataFrame, json_col: str, order_cols: Sequence[str] = ()) -> DataFrame:
     """``(label, label_ord, member_pos, member)`` from a JSON object text
     ``{label: [members]}``; ``label_ord`` = (order columns…, key position).
-    A repeated key keeps its last list (session setting
-    ``spark.sql.mapKeyDedupPolicy=LAST_WIN``)."""
+    A key repeated in one object keeps its last list at the position of its
+    first occurrence, as a Python dict does (the JSON reader keeps both)."""
     m = F.from_json(F.col(json_col), MAPPING_TYPE)
     entries = df.select(*order_cols, F.posexplode(F.map_entries(m)).alias("_kpos", "_e"))
-    return entries.select(
-        F.col("_e.key").alias("label"),
-        F.struct(*[F.col(c) for c in order_cols], F.col("_kpos").alias("k")).alias("label_ord"),
-        F.posexplode(F.col("_e.value")).alias("member_pos", "member"))
+    keyed = (entries.groupBy(*order_cols, F.col("_e.key").alias("label"))
+             .agg(F.min("_kpos").alias("_k"), F.max_by(F.col("_e.value"), F.col("_kpos")).alias("_members")))
+    return keyed.select(
+        "label",
+        F.struct(*[F.col(c) for c in order_cols], F.col("_k").alias("k")).alias("label_ord"),
+        F.posexplode(F.col("_members")).alias("member_pos", "member"))
 
 
 def reverse_mapping(mapping: DataFrame) -> DataFrame:

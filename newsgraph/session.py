@@ -17,8 +17,6 @@ LIBRARY_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
-    # JSON objects with a repeated key keep the last value, as a Python dict does.
-    "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
     "spark.sql.session.timeZone": "UTC",
 }
 
