@@ -63,6 +63,7 @@ DENSITY_CUT = 1.14
 KMEANS_ROUNDS = 3
 WORD_VEC_SLOTS = 500
 GIVEN_TOPICS = ["plate", "widget", "ring"]
+STREAM_WATERMARK = "400 days"
 
 
 def _lst(values) -> str:
@@ -397,16 +398,7 @@ def q_persons_full_name(spark, d):
     return p.select("row_ord", "pos", "person")
 
 
-@query("persons_regroup", _with(S.PERSONS_FULL) + """,
-per_row AS (
-  SELECT row_ord, list(person ORDER BY pos) FILTER (WHERE person IS NOT NULL) AS pl FROM pdone GROUP BY row_ord),
-grp AS (
-  SELECT title, newspaper, link, date, text, topics,
-         flatten(list(coalesce(pl, CAST([] AS VARCHAR[])) ORDER BY row_ord)) AS persons
-  FROM accepted LEFT JOIN per_row USING (row_ord)
-  WHERE title IS NOT NULL AND newspaper IS NOT NULL AND link IS NOT NULL AND date IS NOT NULL
-    AND text IS NOT NULL AND topics IS NOT NULL
-  GROUP BY title, newspaper, link, date, text, topics)
+@query("persons_regroup", _with(S.PERSONS_FULL, S.regroup_ctes("accepted")) + """
 SELECT title, newspaper, link, date, topics, array_to_string(persons, '|') AS persons,
        CAST(len(persons) AS INTEGER) AS n_persons
 FROM grp""")
@@ -738,10 +730,64 @@ def q_graph_customer_edges(spark, d):
 # Whole workflow (I-50, I-51, I-52)
 # ---------------------------------------------------------------------------
 
-@query("process_articles")
+def _process_sql() -> str:
+    from newsgraph.plans.flagship import FLAGSHIP_RUN
+
+    r = FLAGSHIP_RUN
+    return _with(S.FEED_ITEMS, S.NORMALIZED, f"""
+arts AS (
+  SELECT row_ord, title, newspaper, link, date FROM normalized
+  WHERE date BETWEEN DATE {S.lit(r["start_date"])} AND DATE {S.lit(r["end_date"])}
+    AND list_has_any({S.ws_tokens('lower(newspaper)')}, {_acc_tokens(r["sources"])})),
+fetched AS (SELECT a.*, {S.html_to_text('p.html')} AS page_text FROM arts a LEFT JOIN pages p ON a.link = p.url),
+ann AS (
+  SELECT row_ord, title, newspaper, link, date,
+         regexp_replace(page_text, {S.lit(A.STUB_KEEP_RE)}, '', 'g') AS text,
+         {_stub_topic_sql('page_text')} AS topics,
+         regexp_extract_all(page_text, {S.lit(A.STUB_PERSON_RE)}, 0) AS persons
+  FROM fetched WHERE length(page_text) < {AR.MAX_TEXT_CHARS}),
+merged AS (
+  SELECT row_ord, title, newspaper, link, date, text, {S.ws_tokens('topics')}[-1] AS topics, persons
+  FROM ann WHERE topics <> '')""", S.persons_ctes("merged"), S.regroup_ctes("merged")) + """
+SELECT title, newspaper, link, date, topics, array_to_string(persons, '|') AS persons,
+       CAST(len(persons) AS INTEGER) AS n_persons
+FROM grp"""
+
+
+@query("process_articles", _process_sql())
 def q_process_articles(spark, d):
     from newsgraph.plans.flagship import processed_articles
 
     out, _ = processed_articles(spark, d)
     return out.select("title", "newspaper", "link", "date", "topics", _joined("persons").alias("persons"),
                       F.size("persons").alias("n_persons"))
+
+
+# ---------------------------------------------------------------------------
+# Incremental feed (E-1)
+# ---------------------------------------------------------------------------
+
+@query("feed_stream", _with(S.FEED_ITEMS, S.NORMALIZED) + f"""
+SELECT row_ord << 32 AS row_ord, title, newspaper, link, date FROM normalized
+WHERE list_has_any({S.ws_tokens('lower(newspaper)')}, {_acc_tokens(ACCEPTED_NAMES)})""")
+def q_feed_stream(spark, d):
+    """Feed replies derived from pages (one reply per page) are landed twice
+    (the second landing repeats every article) and read in micro-batches of
+    four files; the stream keeps each link once.  The watermark spans more
+    than the feed's days, so no article is late."""
+    import os
+
+    from newsgraph.session import scratch_path
+    from newsgraph.streaming.feed_stream import run_feed_stream
+
+    base = scratch_path(spark, "feed-stream")
+    items = fx.feed_items_from_pages(_t(spark, d, "pages"))
+    replies = items.select(F.col("row_ord").cast("int").alias("source_idx"), F.lit(fx.QUERY).alias("keywords"),
+                           F.array(F.struct(F.lit(0).alias("position"), "title", "link", "date", "source"))
+                           .alias("news_results"))
+    for i in range(2):
+        replies.write.json(os.path.join(base, "in", f"landing-{i}"))
+    q = run_feed_stream(spark, os.path.join(base, "in", "*"), ACCEPTED_NAMES, os.path.join(base, "out"),
+                        os.path.join(base, "ckpt"), watermark=STREAM_WATERMARK, max_files_per_trigger=4)
+    q.awaitTermination()
+    return spark.read.parquet(os.path.join(base, "out")).select("row_ord", "title", "newspaper", "link", "date")

@@ -146,15 +146,16 @@ accepted_all AS (
   WHERE NOT ({_div(fx.MISSING_COMMA)}) AND NOT ({_div(fx.NO_BRACES)})),
 accepted AS (SELECT * FROM accepted_all WHERE topics IS DISTINCT FROM '')"""
 
-PERSONS_EXPLODED = ACCEPTED + """,
-pe0 AS (SELECT row_ord, persons, unnest(range(0, len(persons))) AS pos FROM accepted),
+def persons_ctes(src: str) -> str:
+    """Explode (pe), title-case (pt), complete surnames (pdone) over ``src``
+    (``row_ord, persons, ...``)."""
+    return f"""
+pe0 AS (SELECT row_ord, persons, unnest(range(0, len(persons))) AS pos FROM {src}),
 pe AS (
   SELECT row_ord, CAST(pos AS INTEGER) AS pos, persons[pos + 1] AS person FROM pe0
   UNION ALL
-  SELECT row_ord, CAST(NULL AS INTEGER), CAST(NULL AS VARCHAR) FROM accepted
-  WHERE persons IS NULL OR len(persons) = 0)"""
-
-PERSONS_FULL = PERSONS_EXPLODED + f""",
+  SELECT row_ord, CAST(NULL AS INTEGER), CAST(NULL AS VARCHAR) FROM {src}
+  WHERE persons IS NULL OR len(persons) = 0),
 pt AS (SELECT row_ord, pos, {title_case('person')} AS person FROM pe),
 ptok AS (SELECT *, {ws_tokens('person')} AS t FROM pt),
 full_names AS (
@@ -164,3 +165,21 @@ pdone AS (
   SELECT p.row_ord, p.pos,
          COALESCE(CASE WHEN len(p.t) = 1 THEN f.full_name END, p.person) AS person
   FROM ptok p LEFT JOIN full_names f ON len(p.t) = 1 AND p.t[1] = f.surname)"""
+
+
+def regroup_ctes(src: str) -> str:
+    """Regroup (grp) of ``src`` articles with the persons of ``pdone``."""
+    return f"""
+per_row AS (
+  SELECT row_ord, list(person ORDER BY pos) FILTER (WHERE person IS NOT NULL) AS pl FROM pdone GROUP BY row_ord),
+grp AS (
+  SELECT title, newspaper, link, date, text, topics,
+         flatten(list(coalesce(pl, CAST([] AS VARCHAR[])) ORDER BY row_ord)) AS persons
+  FROM {src} LEFT JOIN per_row USING (row_ord)
+  WHERE title IS NOT NULL AND newspaper IS NOT NULL AND link IS NOT NULL AND date IS NOT NULL
+    AND text IS NOT NULL AND topics IS NOT NULL
+  GROUP BY title, newspaper, link, date, text, topics)"""
+
+
+PERSONS_EXPLODED = ACCEPTED + "," + persons_ctes("accepted")
+PERSONS_FULL = PERSONS_EXPLODED
