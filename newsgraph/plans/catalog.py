@@ -575,7 +575,7 @@ core AS (SELECT a AS id, d AS core FROM (
 
 @query("density_core_distance", _with(_PAIRS_SQL) + "\nSELECT id AS vec_id, round(core, 6) AS core FROM core")
 def q_density_core_distance(spark, d):
-    c = D.core_distances(_points(spark, d), block_size=128)
+    c = D.core_distances(_points(spark, d), block_size=256)
     return c.select(F.col("id").alias("vec_id"), F.round("core", 6).alias("core"))
 
 
@@ -594,7 +594,7 @@ SELECT c.id AS vec_id,
        CAST(CASE WHEN s.n >= {D.MIN_CLUSTER_SIZE} THEN r.comp ELSE -1 END AS BIGINT) AS cluster
 FROM core c LEFT JOIN reach r ON c.id = r.id LEFT JOIN sizes s ON r.comp = s.comp""")
 def q_density_components(spark, d):
-    c = D.density_components(_points(spark, d), DENSITY_CUT, block_size=128)
+    c = D.density_components(_points(spark, d), DENSITY_CUT, block_size=256)
     return c.select(F.col("id").alias("vec_id"), "cluster")
 
 
