@@ -159,25 +159,29 @@ def reachability_edges(points: DataFrame, cores: DataFrame, cut: float,
 
 
 def connected_components(vertices: DataFrame, edges: DataFrame, max_rounds: int = 200) -> DataFrame:
-    """``(id, comp)`` with comp = smallest id of the component.  Min-label
-    propagation plus pointer jumping; labels checkpointed every round."""
+    """``(id, comp)`` with comp = smallest id of the component.
+
+    Each round: min-label propagation over the edges, then a pointer jump
+    (a vertex takes the label of its label); the labels are checkpointed to
+    the shared folder.  Labels only decrease, so a round that leaves their
+    sum unchanged has reached the fixed point (the sum reads the checkpoint)."""
     e = edges.select(F.col("a").alias("src"), F.col("b").alias("dst"))
-    e = e.union(e.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
-    e = cut_lineage(e)
+    e = cut_lineage(e.union(e.select(F.col("dst").alias("src"), F.col("src").alias("dst"))))
     labels = cut_lineage(vertices.select("id", F.col("id").alias("comp")))
+    total = F.sum(F.col("comp").cast("decimal(38,0)"))
+    prev = labels.agg(total).first()[0]
     for _ in range(max_rounds):
         prop = (e.join(labels.withColumnRenamed("id", "src"), "src")
                 .select(F.col("dst").alias("id"), "comp"))
         step = labels.union(prop).groupBy("id").agg(F.min("comp").alias("comp"))
-        jump = (step.alias("x").join(step.alias("y"), F.col("x.comp") == F.col("y.id"), "left")
-                .select(F.col("x.id").alias("id"),
-                        F.least(F.col("x.comp"), F.coalesce(F.col("y.comp"), F.col("x.comp"))).alias("comp")))
-        new = cut_lineage(jump)
-        changed = (new.join(labels.withColumnRenamed("comp", "old"), "id")
-                   .filter(F.col("comp") != F.col("old")).limit(1).count())
-        labels = new
-        if changed == 0:
+        look = step.select(F.col("id").alias("_lid"), F.col("comp").alias("_lcomp"))
+        new = (step.join(look, step["comp"] == look["_lid"], "left")
+               .select("id", F.least("comp", F.coalesce("_lcomp", "comp")).alias("comp")))
+        labels = cut_lineage(new)
+        cur = labels.agg(total).first()[0]
+        if cur == prev:
             return labels
+        prev = cur
     raise RuntimeError(f"components did not settle in {max_rounds} rounds")
 
 
