@@ -128,8 +128,6 @@ def html_to_text(c: ColumnOrName, entities: str = "native") -> Column:
         for ent, ch in NATIVE_ENTITIES:
             col = F.replace(col, F.lit(ent), F.lit(ch))
     elif entities == "python":
-        import pandas as pd  # noqa: F401  (needed by the UDF type hints)
-
         unescape = F.pandas_udf(_python_unescape, "string")
         col = F.when(col.contains("&"), unescape(col)).otherwise(col)
     else:
@@ -247,9 +245,7 @@ def token_count(c: ColumnOrName, encoder_factory: Callable | None = None) -> Col
     if encoder_factory is None:
         return pretoken_count(c)
 
-    import pandas as pd
-
-    def count(s: pd.Series) -> pd.Series:
+    def count(s):  # pandas Series in, pandas Series out
         enc = encoder_factory()
         return s.map(lambda v: None if v is None else len(enc.encode(v))).astype("Int64")
 

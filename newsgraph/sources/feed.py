@@ -106,7 +106,7 @@ def attach_pages(articles: DataFrame, pages: DataFrame, link_col: str = "link",
 
 
 # --------------------------------------------------------------------------
-# Live paths (network on the executors; not used by the tests)
+# Live paths (network on the executors; tested with local stand-ins)
 # --------------------------------------------------------------------------
 
 def fetch_pages(links: DataFrame, fetcher_factory: Callable[[], Callable[[str], tuple[int, str | None]]],
@@ -137,15 +137,20 @@ def fetch_pages(links: DataFrame, fetcher_factory: Callable[[], Callable[[str],
     return urls.mapInPandas(run, PAGE)
 
 
-def register_search_source(spark: SparkSession) -> None:
+def register_search_source(spark: SparkSession, search: Callable | None = None) -> None:
     """Register the ``newsfeed`` Python data source.
 
-    Options: ``search`` = ``"module:function"`` taking
-    ``(keywords, limit, country)`` and returning a list of result dicts;
-    ``keywords`` = the keyword strings joined by a newline (list order is
-    the source index); ``limit``; ``country``.  One partition per keyword."""
+    ``search(keywords, limit, country)`` returns a list of result dicts
+    (``title, link, date, source: {name}``).  Pass it here (it is shipped
+    with the source), or name it with the option ``search`` =
+    ``"module:function"`` importable on the executors.  Options:
+    ``keywords`` = the keyword strings joined by newlines (list order is the
+    source index), ``limit``, ``country``.  One partition per keyword
+    string, so searches run in parallel on the executors."""
     from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+    given = search
+
     class _Part(InputPartition):
         def __init__(self, idx: int, keywords: str):
             super().__init__(idx)
@@ -160,13 +165,15 @@ def register_search_source(spark: SparkSession) -> None:
             return [_Part(i, k) for i, k in enumerate(kws)]
 
         def read(self, partition):
-            import importlib
+            fn = given
+            if fn is None:
+                import importlib
 
-            mod, fn = self.options["search"].split(":")
-            search = getattr(importlib.import_module(mod), fn)
+                mod, name = self.options["search"].split(":")
+                fn = getattr(importlib.import_module(mod), name)
             limit = int(self.options.get("limit", DEFAULT_LIMIT))
             country = self.options.get("country", DEFAULT_COUNTRY)
-            results = search(partition.keywords, limit, country) or []
+            results = fn(partition.keywords, limit, country) or []
             items = [(i, r.get("title"), r.get("link"), r.get("date"),
                       ((r.get("source") or {}).get("name"),)) for i, r in enumerate(results)]
             yield (partition.idx, partition.keywords, items)
