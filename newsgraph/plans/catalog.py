@@ -754,6 +754,33 @@ SELECT title, newspaper, link, date, topics, array_to_string(persons, '|') AS pe
 FROM grp"""
 
 
+def _flagship_nodes_sql() -> str:
+    body = _process_sql()
+    head, tail = body.split("\nSELECT title, newspaper, link, date, topics, array_to_string", 1)
+    return head + """,
+fx0 AS (SELECT struct_pack(title := title, newspaper := newspaper, link := link, date := date, text := text,
+                           topics := topics) AS k, newspaper, topics, persons FROM grp),
+fx1 AS (SELECT k, newspaper, topics, persons, unnest(range(0, greatest(len(persons), 1))) AS pos FROM fx0),
+fx2 AS (SELECT k, pos, newspaper, topics, persons[pos + 1] AS person FROM fx1),
+fpairs AS (
+  SELECT k, pos, 0 AS rel_idx, newspaper AS src, 'newspaper' AS src_type, topics AS dst, 'topics' AS dst_type FROM fx2
+  UNION ALL SELECT k, pos, 1, newspaper, 'newspaper', person, 'persons' FROM fx2
+  UNION ALL SELECT k, pos, 2, person, 'persons', topics, 'topics' FROM fx2),
+fends AS (
+  SELECT k, pos, rel_idx, 0 AS e, src AS id, src_type AS type FROM fpairs WHERE src IS NOT NULL AND dst IS NOT NULL
+  UNION ALL
+  SELECT k, pos, rel_idx, 1, dst, dst_type FROM fpairs WHERE src IS NOT NULL AND dst IS NOT NULL)
+SELECT id, arg_max(type, struct_pack(k := k, pos := pos, rel_idx := rel_idx, e := e)) AS type, count(*) AS freq
+FROM fends GROUP BY id"""
+
+
+@query("flagship_nodes", _flagship_nodes_sql())
+def q_flagship_nodes(spark, d):
+    from newsgraph.plans.flagship import flagship
+
+    return flagship(spark, d)
+
+
 @query("process_articles", _process_sql())
 def q_process_articles(spark, d):
     from newsgraph.plans.flagship import processed_articles

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from newsgraph.operators import annotate as A
 from newsgraph.operators.graph import ArticleGraph
+from newsgraph.operators.persons import REGROUP_KEYS
 from newsgraph.plans import fixtures as fx
 from newsgraph.plans import workflow as W
 
@@ -37,8 +38,8 @@ def processed_articles(spark: SparkSession, sf_dir: str, pin: bool = False) -> t
 
 def flagship_graph(spark: SparkSession, sf_dir: str, pin: bool = False) -> ArticleGraph:
     processed, _ = processed_articles(spark, sf_dir, pin)
-    # the regrouped table has no row order of its own: order by link
-    ordered = processed.withColumn("row_ord", F.xxhash64("link"))
+    # regrouped rows come in the order of their group keys
+    ordered = processed.withColumn("row_ord", F.struct(*[F.col(k) for k in REGROUP_KEYS]))
     return ArticleGraph.build(ordered, FLAGSHIP_RELS)
 
 
