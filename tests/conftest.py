@@ -1,6 +1,5 @@
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -14,11 +13,9 @@ SMALL_SF_DIR = "/root/testdata/sf0.001"
 def spark():
     from newsgraph.session import build_session
 
-    extra = {}
-    # Tests get their own shared folder only when the environment names none.
-    if not os.environ.get("SPARK_CHECKPOINT_DIR"):
-        extra["spark.checkpoint.dir"] = tempfile.mkdtemp(prefix="ng-test-ckpt-")
-    s = build_session("local[4]", shuffle_partitions=4, app_name="newsgraph-tests", extra=extra)
+    # The shared folder comes from the session's spark.checkpoint.dir; only
+    # when that is unset does the library make one (local sessions only).
+    s = build_session("local[4]", shuffle_partitions=4, app_name="newsgraph-tests")
     yield s
     s.stop()
 
