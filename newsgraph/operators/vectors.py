@@ -115,8 +115,10 @@ def seeded_kmeans(points: DataFrame, seeds: list[list[float]], vec_col: str = "v
             from pyspark.ml.functions import array_to_vector, vector_to_array
             from pyspark.ml.stat import Summarizer
 
-            var = (pts.select(array_to_vector(F.col(vec_col).cast("array<double>")).alias("_v"))
-                   .agg(vector_to_array(Summarizer.variance(F.col("_v"))).alias("v")).first()["v"])
+            w = F.col(weight_col).cast("double") if weight_col else F.lit(1.0)
+            var = (pts.select(array_to_vector(F.col(vec_col).cast("array<double>")).alias("_v"), w.alias("_w"))
+                   .agg(vector_to_array(Summarizer.variance(F.col("_v"), F.col("_w"))).alias("v"))
+                   .first()["v"])  # weighted: equal to the variance over all copies
             threshold = tol * (sum(var) / len(var) if var else 0.0)
         rounds = fixed_iterations if fixed_iterations is not None else max_iter
         for _ in range(rounds):
