@@ -197,6 +197,26 @@ def call_model(df: DataFrame, prompt: Column, client_factory: Callable, spec: Ca
     return out
 
 
+def annotate(df: DataFrame, client_factory: Callable, query: str, topics: Sequence[str] | None = None,
+             text_col: str = "text", **kw) -> DataFrame:
+    """Annotation reply (topic, persons, short text as JSON) per row."""
+    return call_model(df, annotate_prompt(F.col(text_col), query, topics), client_factory, ANNOTATE_CALL, **kw)
+
+
+def summarize(df: DataFrame, client_factory: Callable, text_col: str = "text", out_col: str = "summary",
+              **kw) -> DataFrame:
+    """Summary of ``text_col`` by the model (at most 200 tokens asked)."""
+    out = call_model(df, summary_prompt(F.col(text_col)), client_factory, SUMMARY_CALL, **kw)
+    return out.withColumnRenamed("reply", out_col)
+
+
+def clean_texts(df: DataFrame, client_factory: Callable, text_col: str = "text", **kw) -> DataFrame:
+    """Page text cleaned by the model (title, author, body); a failed call
+    gives an empty string, as the page cleaner does."""
+    out = call_model(df, clean_prompt(F.col(text_col)), client_factory, CLEAN_CALL, **kw)
+    return out.withColumn(text_col, F.col("reply")).drop("reply")
+
+
 # --------------------------------------------------------------------------
 # Parsing replies
 # --------------------------------------------------------------------------

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from newsgraph.functions.text import html_to_text
-from newsgraph.operators.annotate import (ANNOTATE_CALL, annotate_prompt, call_model,
+from newsgraph.operators.annotate import (ANNOTATE_CALL, annotate_prompt, call_model, clean_texts,
                                           drop_empty_topics, parse_annotations)
 from newsgraph.operators.articles import (ARTICLE_COLUMNS, date_window, filter_newspapers,
                                           length_filter, normalize_feed)
@@ -73,13 +73,17 @@ def annotate_articles(articles: DataFrame, run: NewsRun, client_factory: Callabl
 def process_articles(articles: DataFrame, pages: DataFrame, run: NewsRun, client_factory: Callable,
                      cluster_client_factory: Callable | None = None, cluster: str = "model",
                      pin: bool = True, density_cut: float | None = None,
-                     keep: bool = True) -> tuple[DataFrame, DataFrame]:
+                     keep: bool = True, clean_client_factory: Callable | None = None) -> tuple[DataFrame, DataFrame]:
     """Fetch (join with landed pages) → HTML to text → annotate → merge
     topics (by model, or by vectors) → persons.  Returns (processed, rejects).
+    With ``clean_client_factory`` the page text is first cleaned by a model.
 
     With ``keep`` the annotated table is written once to the shared folder:
     the topic merge and the persons steps read it several times."""
     fetched = attach_pages(articles, pages).withColumn("text", html_to_text(F.col("html"))).drop("html")
+    if clean_client_factory is not None:  # optional model cleaning of the page text (off by default)
+        fetched = clean_texts(fetched, clean_client_factory, partitions=run.model_partitions,
+                              store=run.reply_store, pin=pin).drop("prompt_key", "error")
     annotated, rejects = annotate_articles(fetched, run, client_factory, pin)
     if keep:
         annotated = materialize(annotated, "annotated")

@@ -249,3 +249,21 @@ def test_graph_properties_random(spark):
     assert g.nodes.agg(F.sum("freq")).first()[0] == 2 * non_null
     assert g.edges_simple.count() <= g.edges_multi.count()
     assert g.edges_multi.agg(F.sum("n")).first()[0] == non_null
+
+
+def test_workflow_with_model_cleaning(spark):
+    from newsgraph.plans import workflow as W
+
+    pages = spark.createDataFrame([("u1", "<p>Mario Rossi parla. the end!!</p>"), ("u2", "<p>nothing</p>")],
+                                  "url string, html string")
+    arts = spark.createDataFrame([(0, "t1", "Paper", "u1", dt.date(2024, 1, 1)),
+                                  (1, "t2", "Paper", "u2", dt.date(2024, 1, 1))],
+                                 "row_ord long, title string, newspaper string, link string, date date")
+    run = W.NewsRun(query="q", sources=["paper"], topics=["the"])
+    out, rej = W.process_articles(arts, pages, run, lambda: A.StubAnnotator(["the"]),
+                                  cluster_client_factory=A.StubClusterer, clean_client_factory=A.StubCleaner,
+                                  pin=False)
+    rows = out.collect()
+    assert [(r.title, r.topics, r.persons, r.text) for r in rows] == [
+        ("t1", "the", ["Mario Rossi"], "Mario Rossi parla the end")]
+    assert rej.count() == 0
