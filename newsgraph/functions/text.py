@@ -40,8 +40,19 @@ def with_columns_once(df, **exprs):
 # four information separators U+001C..U+001F.
 WHITESPACE_RE = r"(?U)[\s\x{1C}-\x{1F}]+"
 
-# Cased letters (Python's notion of a character that has case).
-CASED_RUN_RE = r"([\p{Lu}\p{Ll}\p{Lt}]+|[^\p{Lu}\p{Ll}\p{Lt}]+)"
+# Cased characters (Python's notion: Lowercase, Uppercase or Lt), runs of
+# them and of the rest, and the case-ignorable characters (Mn, Me, Cf, Lm,
+# Sk and the word-break MidLetter/MidNumLet/Single_Quote characters) used
+# by the final-sigma rule.
+CASED = r"\p{IsUppercase}\p{IsLowercase}\p{Lt}"
+CASED_RUN_RE = rf"([{CASED}]+|[^{CASED}]+)"
+CASE_IGNORABLE = (r"\p{Mn}\p{Me}\p{Cf}\p{Lm}\p{Sk}'.:\x{00B7}\x{0387}\x{05F4}\x{2018}\x{2019}"
+                  r"\x{2024}\x{2027}\x{FE13}\x{FE52}\x{FE55}\x{FF07}\x{FF0E}\x{FF1A}")
+# Σ is final when, skipping case-ignorables on each side, a cased letter
+# comes before it and none after it.
+_CASED_ANCHOR = rf"[{CASED}&&[^{CASE_IGNORABLE}]]"
+FINAL_SIGMA_RE = (rf"(?<={_CASED_ANCHOR}[{CASE_IGNORABLE}]{{0,16}})\x{{03A3}}"
+                  rf"(?![{CASE_IGNORABLE}]*+{_CASED_ANCHOR})")
 
 # Elements whose text the HTML-to-text conversion leaves out, and the named
 # character references decoded natively (``&amp;`` is decoded last).
@@ -220,11 +231,16 @@ def python_none_to_null(c: ColumnOrName) -> Column:
 # --------------------------------------------------------------------------
 
 def title_case(c: ColumnOrName) -> Column:
-    """Python ``str.title``: the first cased letter of each run of cased
-    letters is upper-cased, the rest lower-cased (``d'alema`` → ``D'Alema``,
-    ``jean-luc 3rd`` → ``Jean-Luc 3Rd``)."""
-    runs = F.regexp_extract_all(_c(c), F.lit(CASED_RUN_RE), 1)
-    return F.array_join(F.transform(runs, lambda r: F.initcap(r)), "")
+    """Python ``str.title``: the first letter of each run of cased letters
+    is title-cased, the rest lower-cased (``d'alema`` → ``D'Alema``,
+    ``jean-luc 3rd`` → ``Jean-Luc 3Rd``, ``ǆa`` → ``ǅa``, ``ßa`` → ``Ssa``)."""
+    # A capital sigma ending a word (judged on the whole text) becomes final
+    # sigma; every other one lower-cases to σ.  Runs are then title-cased
+    # on their own: first character title case, the rest lower case.
+    text = F.regexp_replace(_c(c), FINAL_SIGMA_RE, "\u03c2")
+    runs = F.regexp_extract_all(text, F.lit(CASED_RUN_RE), 1)
+    return F.array_join(F.transform(runs, lambda r: F.concat(
+        F.initcap(F.substring(r, 1, 1)), F.lower(F.replace(F.substring(r, 2, 1 << 30), F.lit("Σ"), F.lit("σ"))))), "")
 
 
 # --------------------------------------------------------------------------
