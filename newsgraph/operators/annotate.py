@@ -1,12 +1,11 @@
 """Annotation of articles by an external language model.
 
-Prompts are rendered natively (string concatenation).  Rows are
-hash-partitioned on the prompt hash and the calls run in ``mapInPandas``
-with one client per partition, one call per distinct prompt, so the number
-of partitions bounds the number of concurrent callers.  Replies can be kept
-in a store keyed by the prompt hash: later runs send only the prompts not
-yet answered, and the annotated rows are written once so a recomputed stage
-reads them instead of calling again.
+Prompts are rendered natively (string concatenation).  Only the distinct
+prompts are sent; the calls run in ``mapInPandas`` with one client per
+partition, so the number of partitions bounds the number of concurrent
+callers.  Replies can be kept in a store keyed by the prompt hash: later
+runs send only the prompts not yet answered, and a recomputed stage reads
+the pinned replies instead of calling again.
 
 Replies are parsed with ``from_json`` against a fixed schema; a reply that
 does not parse goes to a rejects table instead of stopping the run."""
@@ -125,40 +124,30 @@ CLEAN_CALL = CallSpec(SYSTEM_CLEAN, 1024, on_error="empty")
 CLUSTER_CALL = CallSpec(SYSTEM_CLUSTER, 4096)
 
 
-def _call_rows(client_factory: Callable, spec: CallSpec, out_cols: list[str]):
-    """Per partition: one call per distinct prompt (rows with the same
-    prompt key are in the same partition), every row returned with its
-    reply.  A reply already known (``_stored``) is reused."""
+def _call_batches(client_factory: Callable, spec: CallSpec):
+    """Per partition of distinct prompts: one client, one call per prompt."""
     import pandas as pd
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         client = None
-        known: dict[str, tuple[str | None, str | None]] = {}
         last = 0.0
         for b in batches:
             replies, errors = [], []
-            stored = b["_stored"] if "_stored" in b else [None] * len(b)
-            for key, prompt, old in zip(b["prompt_key"], b["_prompt"], stored):
-                if old is not None:
-                    known.setdefault(key, (old, None))
-                if key not in known:
-                    if client is None:
-                        client = client_factory()
-                    if spec.min_interval:
-                        wait = spec.min_interval - (time.monotonic() - last)
-                        if wait > 0:
-                            time.sleep(wait)
-                        last = time.monotonic()
-                    try:
-                        known[key] = (client.complete(spec.system, prompt, spec.max_tokens), None)
-                    except Exception as ex:  # the reply is marked, the run goes on
-                        known[key] = ("" if spec.on_error == "empty" else None,
-                                      f"{type(ex).__name__}: {ex}"[:500])
-                r, e = known[key]
-                replies.append(r)
-                errors.append(e)
-            out = b.assign(reply=replies, error=errors)
-            yield out[out_cols]
+            for p in b["prompt"]:
+                if client is None:
+                    client = client_factory()
+                if spec.min_interval:
+                    wait = spec.min_interval - (time.monotonic() - last)
+                    if wait > 0:
+                        time.sleep(wait)
+                    last = time.monotonic()
+                try:
+                    replies.append(client.complete(spec.system, p, spec.max_tokens))
+                    errors.append(None)
+                except Exception as ex:  # the reply is marked, the run goes on
+                    replies.append("" if spec.on_error == "empty" else None)
+                    errors.append(f"{type(ex).__name__}: {ex}"[:500])
+            yield pd.DataFrame({"prompt_key": b["prompt_key"], "reply": replies, "error": errors})
 
     return run
 
@@ -168,33 +157,38 @@ def call_model(df: DataFrame, prompt: Column, client_factory: Callable, spec: Ca
                pin: bool = False) -> DataFrame:
     """Add ``prompt_key``, ``reply`` and ``error`` to ``df``.
 
-    One pass: rows are hash-partitioned on the prompt key (so equal prompts
-    meet in one task, and ``partitions`` bounds the concurrent callers), and
-    each task calls the model once per distinct prompt.  With ``store`` (a
-    folder in the shared file system) stored replies are joined in first
-    and only new prompts are sent; new replies are appended to it.  With
-    ``pin`` or ``store`` the annotated rows are written once to the shared
-    folder, so no recomputed stage calls the model again."""
+    Distinct prompts only are sent (the dedupe combines on the map side, so
+    a prompt shared by a third of all rows costs one partial row per map
+    task); the calls run in ``partitions`` round-robin partitions of
+    distinct prompts (the number of concurrent callers); replies are joined
+    back on the prompt hash (AQE splits a hot key).  ``prompt`` must refer
+    to columns by name.
+
+    With ``store`` (a folder in the shared file system) stored replies are
+    reused and only new prompts are sent, the new replies appended.  With
+    ``pin`` or ``store`` the input rows are written once to the shared
+    folder (so the input plan is not run twice) and the replies too (so no
+    recomputed stage calls the model again)."""
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    keyed = df.withColumn("_prompt", prompt).withColumn("prompt_key", F.sha2(F.col("_prompt"), 256))
+    base = df.withColumn("prompt_key", F.sha2(prompt, 256))
+    if store or pin:
+        base = materialize(base, "prompted")
+    todo = base.select("prompt_key", prompt.alias("prompt")).dropDuplicates(["prompt_key"])
+    stored = None
     if store:
         try:
-            done = (spark.read.schema(REPLY).parquet(store).filter(F.col("reply").isNotNull())
-                    .groupBy("prompt_key").agg(F.first("reply").alias("_stored")))
-            keyed = keyed.join(done, "prompt_key", "left")
+            stored = spark.read.schema(REPLY).parquet(store)
+            todo = todo.join(stored.select("prompt_key"), "prompt_key", "left_anti")
         except Exception:  # nothing stored yet
-            pass
-    out_cols = [c for c in keyed.columns if c not in ("_prompt", "_stored")] + ["reply", "error"]
-    schema = T.StructType([f for f in keyed.schema.fields if f.name in out_cols]
-                          + [T.StructField("reply", T.StringType()), T.StructField("error", T.StringType())])
-    out = keyed.repartition(n, "prompt_key").mapInPandas(_call_rows(client_factory, spec, out_cols), schema)
-    if store or pin:
-        out = materialize(out, "replied")
+            stored = None
+    replies = todo.repartition(n).mapInPandas(_call_batches(client_factory, spec), REPLY)
     if store:
-        (out.select("prompt_key", "reply", "error").dropDuplicates(["prompt_key"])
-         .write.mode("append").parquet(store))
-    return out
+        replies.write.mode("append").parquet(store)
+        replies = spark.read.schema(REPLY).parquet(store).dropDuplicates(["prompt_key"])
+    elif pin:
+        replies = materialize(replies, "replies")
+    return base.join(replies, "prompt_key", "left")
 
 
 def annotate(df: DataFrame, client_factory: Callable, query: str, topics: Sequence[str] | None = None,
