@@ -51,8 +51,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
     key = TEXT_TABLES.get(name)
     if key:
-        par = spark.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() < par:
+        try:
+            par = spark.sparkContext.defaultParallelism
+            few = df.rdd.getNumPartitions() < par
+        except Exception:  # sessions without an RDD view (Spark Connect)
+            few = False
+        if few:
             df = df.repartition(par, key)
     return df
 

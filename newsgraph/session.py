@@ -55,16 +55,19 @@ def shared_dir(spark: SparkSession) -> str:
     Read from ``spark.checkpoint.dir``.  Only when it is unset and the
     session is local (tests) is a folder of our own made."""
     path = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: the server's configuration applies
+        sc = None
+    if not path and sc is not None:
+        path = sc.getConf().get("spark.checkpoint.dir", None)
     if not path:
-        path = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if not path:
-        master = spark.sparkContext.master
-        if not master.startswith("local"):
+        if sc is None or not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
         path = tempfile.mkdtemp(prefix="newsgraph-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(path)
+    if sc is not None and sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(path)
     return path
 
 
