@@ -115,6 +115,73 @@ def first_keyword_match(c: ColumnOrName, keywords: Sequence[str], words: Sequenc
 # HTML to text
 # --------------------------------------------------------------------------
 
+def _entity_tables():
+    """Named references (HTML5, with the semicolon) and the remapped numeric
+    range 0x80-0x9F, both built from the standard library."""
+    import html.entities
+    import json
+
+    # named references bucketed by their first, then second character:
+    # a map lookup scans its keys, so three small scans beat one of 2125
+    named: dict[str, dict[str, dict[str, str]]] = {}
+    for k, v in html.entities.html5.items():
+        if k.endswith(";"):
+            named.setdefault(k[0], {}).setdefault(k[1], {})[k] = v
+    remap = {str(n): bytes([n]).decode("cp1252", errors="ignore") or "\ufffd" for n in range(0x80, 0xA0)}
+    return json.dumps(named), json.dumps(remap)
+
+
+def _codepoint_char(n: Column) -> Column:
+    """The character of code point ``n`` for a numeric reference: C1
+    controls read as Windows-1252, 0, surrogates and values above U+10FFFF
+    give U+FFFD."""
+    named_json, remap_json = _entity_tables()
+    remap = F.from_json(F.lit(remap_json), "map<string,string>")
+    utf32 = F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "utf-32")
+    bad = (n == 0) | n.between(0xD800, 0xDFFF) | (n > 0x10FFFF)
+    return (F.when(bad, F.lit("\ufffd"))
+            .when(n.between(0x80, 0x9F), F.element_at(remap, n.cast("string")))
+            .otherwise(utf32))
+
+
+def unescape_entities(c: ColumnOrName) -> Column:
+    """Decode character references in one pass: the text is split on ``&``
+    and each piece's leading reference is looked up — named references of
+    HTML5 (with their semicolon) in a map constant, decimal and hex numeric
+    references (with their semicolon) by code point.  Anything else keeps
+    its ``&``.  (References without the closing semicolon are left as
+    written; ``html_to_text(entities="python")`` decodes those too.)"""
+    named_json, _ = _entity_tables()
+    named = F.from_json(F.lit(named_json), "map<string,map<string,map<string,string>>>")
+    pieces = F.split(_c(c), "&", -1)
+
+    def lookup(name):
+        bucket = F.element_at(F.element_at(named, F.substring(name, 1, 1)), F.substring(name, 2, 1))
+        return F.element_at(bucket, name)
+
+    def piece(p):
+        tail = lambda n: F.substring(p, n + 1, 1 << 30)
+        # everyday references by prefix, no regex
+        fast = None
+        for ent, ch in NATIVE_ENTITIES:
+            cond = F.startswith(p, F.lit(ent[1:]))
+            val = F.concat(F.lit(ch), tail(len(ent) - 1))
+            fast = F.when(cond, val) if fast is None else fast.when(cond, val)
+        ref = F.regexp_extract(p, r"^(#[xX][0-9a-fA-F]{1,8};|#[0-9]{1,8};|[A-Za-z][A-Za-z0-9]{0,31};)", 1)
+        n = F.length(ref)
+        is_hex = F.startswith(ref, F.lit("#x")) | F.startswith(ref, F.lit("#X"))
+        code = F.when(is_hex, F.conv(F.substring(ref, 3, n - 3), 16, 10)).otherwise(
+            F.substring(ref, 2, n - 2)).cast("bigint")
+        value = F.when(F.startswith(ref, F.lit("#")), _codepoint_char(code)).otherwise(lookup(ref))
+        general = (F.when((ref != "") & value.isNotNull(), F.concat(value, tail(n)))
+                   .otherwise(F.concat(F.lit("&"), p)))
+        return fast.otherwise(general)
+
+    rest = F.slice(pieces, 2, 1 << 30)
+    out = F.concat(F.element_at(pieces, 1), F.array_join(F.transform(rest, piece), ""))
+    return F.when(_c(c).contains("&"), out).otherwise(_c(c))
+
+
 def _python_unescape(s):
     import html
 
@@ -127,8 +194,9 @@ def html_to_text(c: ColumnOrName, entities: str = "native") -> Column:
 
     Comments, declarations, processing instructions and the bodies of
     script/style/template/rt/rp are left out.  ``entities="native"`` decodes
-    the common named references in the JVM; ``"python"`` decodes every HTML5
-    reference with the standard library in an Arrow-batched UDF."""
+    character references in the JVM (:func:`unescape_entities`);
+    ``"common"`` only the few named ones of ``NATIVE_ENTITIES``; ``"python"``
+    uses the standard library's decoder in an Arrow-batched UDF."""
     col = _c(c)
     col = F.regexp_replace(col, r"(?s)<!--.*?(-->|$)", "")
     for tag in SKIPPED_ELEMENTS:
@@ -136,13 +204,15 @@ def html_to_text(c: ColumnOrName, entities: str = "native") -> Column:
     col = F.regexp_replace(col, r"(?s)<[!?][^>]*>", "")
     col = F.regexp_replace(col, r"(?s)</?[A-Za-z][^>]*>", "")
     if entities == "native":
+        col = unescape_entities(col)
+    elif entities == "common":
         for ent, ch in NATIVE_ENTITIES:
             col = F.replace(col, F.lit(ent), F.lit(ch))
     elif entities == "python":
         unescape = F.pandas_udf(_python_unescape, "string")
         col = F.when(col.contains("&"), unescape(col)).otherwise(col)
     else:
-        raise ValueError(f"entities must be 'native' or 'python', not {entities!r}")
+        raise ValueError(f"entities must be 'native', 'common' or 'python', not {entities!r}")
     return F.replace(col, F.lit("\n"), F.lit(""))
 
 
@@ -220,10 +290,14 @@ def fix_trailing_commas(c: ColumnOrName) -> Column:
 def python_none_to_null(c: ColumnOrName) -> Column:
     """A bare ``None``/``True``/``False`` value (after ``:``, ``[`` or ``,``)
     to its JSON spelling."""
-    out = _c(c)
+    col = _c(c)
+    out, seen = col, F.lit(False)
     for py, js in (("None", "null"), ("True", "true"), ("False", "false")):
         out = F.regexp_replace(out, rf"([:\[,]\s{{0,16}}){py}(?=\s*[,}}\]])", f"$1{js}")
-    return out
+        seen = seen | col.contains(py)
+    # the regex passes run only on texts holding one of the words; pass a
+    # column (not a costly expression): it is read more than once
+    return F.when(seen, out).otherwise(col)
 
 
 # --------------------------------------------------------------------------
@@ -237,7 +311,8 @@ def title_case(c: ColumnOrName) -> Column:
     # A capital sigma ending a word (judged on the whole text) becomes final
     # sigma; every other one lower-cases to σ.  Runs are then title-cased
     # on their own: first character title case, the rest lower case.
-    text = F.regexp_replace(_c(c), FINAL_SIGMA_RE, "\u03c2")
+    col = _c(c)
+    text = F.when(col.contains("\u03a3"), F.regexp_replace(col, FINAL_SIGMA_RE, "\u03c2")).otherwise(col)
     runs = F.regexp_extract_all(text, F.lit(CASED_RUN_RE), 1)
     return F.array_join(F.transform(runs, lambda r: F.concat(
         F.initcap(F.substring(r, 1, 1)), F.lower(F.replace(F.substring(r, 2, 1 << 30), F.lit("Σ"), F.lit("σ"))))), "")

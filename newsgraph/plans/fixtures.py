@@ -44,16 +44,17 @@ TEXT_TABLES = {"documents": "doc_id", "pages": "page_id", "conversations": "conv
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Read a driver table.  A text-heavy table whose scan yields fewer
-    partitions than the session's parallelism (a small file with one row
-    group) is hash-partitioned on its key so every core gets text to work
-    on; large inputs already scan into many partitions and are left as read."""
+    """Read a driver table.  A text-heavy table whose scan yields no more
+    splits than the session has cores (a small file, possibly one row group
+    that only one split reads) is hash-partitioned on its key so every core
+    gets text to work on; large inputs scan into many splits and are left
+    as read."""
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
     key = TEXT_TABLES.get(name)
     if key:
         try:
             par = spark.sparkContext.defaultParallelism
-            few = df.rdd.getNumPartitions() < par
+            few = df.rdd.getNumPartitions() <= par
         except Exception:  # sessions without an RDD view (Spark Connect)
             few = False
         if few:

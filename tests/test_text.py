@@ -121,3 +121,17 @@ def test_none_fix_and_commas(spark):
     s = "{'text': 'x', 'topic': None, 'persons': ['A',],}"
     col = T.fix_trailing_commas(T.python_none_to_null(F.col("s")))
     assert one(spark, col, s) == "{'text': 'x', 'topic': null, 'persons': ['A']}"
+
+
+def test_unescape_entities_native_matches_stdlib(spark):
+    import html
+    import random
+
+    rnd = random.Random(5)
+    refs = ["&amp;", "&lt;", "&eacute;", "&rsquo;", "&hellip;", "&#233;", "&#x27;", "&#8217;", "&#128512;",
+            "&#150;", "&#0;", "&#xD800;", "&NotAnEntity;", "& ", "&&", "&amp;lt;", "&#;", "&#x;", "&Aacute;",
+            "&nbsp;", "&copy;", "&middot;", "&quot;", "&#1114112;", "&fjlig;"]
+    vals = ["".join(rnd.choice(refs + ["a", "b", " ", "é"]) for _ in range(rnd.randint(0, 10))) for _ in range(300)]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(vals)], "i int, s string")
+    got = [r.r for r in df.select("i", T.unescape_entities("s").alias("r")).orderBy("i").collect()]
+    assert got == [html.unescape(v) for v in vals]
