@@ -44,16 +44,24 @@ class NewsRun:
     pandas_compat: bool = False
     model_partitions: int | None = None
     reply_store: str | None = None
+    dedup_links: bool = False   # keep one row per link before the model calls
     extra: dict = field(default_factory=dict)
 
 
 def collect_articles(replies: DataFrame, run: NewsRun) -> DataFrame:
     """Search replies → items → newspaper and day → date window →
-    newspaper filter → ``title, newspaper, link, date, row_ord``."""
+    newspaper filter (→ one row per link with ``dedup_links``) →
+    ``title, newspaper, link, date, row_ord``."""
     items = feed_items(replies, run.limit) if "news_results" in replies.columns else replies
     arts = normalize_feed(items)
     arts = date_window(arts, run.start_date, run.end_date)
-    return filter_newspapers(arts, list(run.sources))
+    arts = filter_newspapers(arts, list(run.sources))
+    if run.dedup_links:
+        # an article returned for two newspapers is annotated once: the
+        # first occurrence (lowest row order) is kept
+        first = arts.groupBy("link").agg(F.min("row_ord").alias("_first"))
+        arts = (arts.join(first, (arts["link"] == first["link"]) & (arts["row_ord"] == first["_first"]), "left_semi"))
+    return arts
 
 
 def annotate_articles(articles: DataFrame, run: NewsRun, client_factory: Callable,

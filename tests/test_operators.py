@@ -267,3 +267,16 @@ def test_workflow_with_model_cleaning(spark):
     assert [(r.title, r.topics, r.persons, r.text) for r in rows] == [
         ("t1", "the", ["Mario Rossi"], "Mario Rossi parla the end")]
     assert rej.count() == 0
+
+
+def test_collect_articles_dedup_links(spark):
+    from newsgraph.plans import workflow as W
+
+    items = [(None, "t", "same", "1/5/2024", ("Paper A",)), (None, "u", "other", "1/6/2024", ("Paper A",))]
+    replies = spark.createDataFrame([(0, "a q", items), (1, "b q", [(None, "t2", "same", "1/5/2024", ("Paper B",))])],
+                                    FD.FEED_REPLY)
+    run = W.NewsRun(query="q", sources=["paper"], start_date="2024-01-01", end_date="2024-01-31")
+    assert W.collect_articles(replies, run).count() == 3
+    run.dedup_links = True
+    got = sorted((r.link, r.newspaper) for r in W.collect_articles(replies, run).collect())
+    assert got == [("other", "Paper A"), ("same", "Paper A")]
