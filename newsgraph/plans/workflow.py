@@ -109,13 +109,15 @@ def process_articles(articles: DataFrame, pages: DataFrame, run: NewsRun, client
 
 def cluster_topics(df: DataFrame, topics: Sequence[str] | None = None, col: str = "topics",
                    order_col: str = "row_ord", seed: int = 42, density_cut: float | None = None,
-                   max_iter: int = 300) -> DataFrame:
+                   max_iter: int = 300, noise_as_cluster: bool = False) -> DataFrame:
     """Merge topics by vectors.  One Word2Vec over the words of all topic
     rows and the given topics; each distinct topic (weighted by its rows) is
     a point.  With ``topics``: k-means started at the given topics' vectors
     (they are points too), each cluster named by its given topic.  Without:
     density clusters at ``density_cut``, each named by its commonest topic
-    (noise keeps its own topic).  Adds ``topic_cluster``."""
+    (noise keeps its own topic; ``noise_as_cluster`` names all noise rows by
+    the commonest noise topic, as the reference does).  Adds
+    ``topic_cluster``."""
     spark = df.sparkSession
     rows = df.select(F.col(col).alias("topics"))
     if topics:
@@ -140,6 +142,9 @@ def cluster_topics(df: DataFrame, topics: Sequence[str] | None = None, col: str
     cl = density_components(ids.select("id", "vec", "weight"), density_cut)
     lab = ids.join(cl, "id").select("topic", F.col("cluster").alias("topic_cluster"))
     out = df.join(lab, df[col] == lab["topic"], "left").drop("topic")
+    if noise_as_cluster:  # the reference's behaviour: noise is one more cluster
+        return apply_representatives(out, representatives(out, "topic_cluster", col, order_col),
+                                     "topic_cluster", col)
     clustered = out.filter(F.col("topic_cluster") != -1)
     reps = representatives(clustered, "topic_cluster", col, order_col)
     named = apply_representatives(clustered, reps, "topic_cluster", col)

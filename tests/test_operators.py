@@ -280,3 +280,18 @@ def test_collect_articles_dedup_links(spark):
     run.dedup_links = True
     got = sorted((r.link, r.newspaper) for r in W.collect_articles(replies, run).collect())
     assert got == [("other", "Paper A"), ("same", "Paper A")]
+
+
+def test_cluster_topics_by_density(spark):
+    from newsgraph.plans import workflow as W
+
+    topics = ["red plate"] * 3 + ["red plates"] * 2 + ["blue ring", "green rod", "old gizmo"]
+    df = spark.createDataFrame(list(enumerate(topics)), "row_ord long, topics string")
+    out = W.cluster_topics(df, density_cut=10.0)
+    assert out.count() == len(topics)
+    noisy = W.cluster_topics(df, density_cut=0.0, noise_as_cluster=True)
+    # "red plate" (3 copies) is a cluster; all noise rows take the commonest noise topic
+    assert sorted(r.topics for r in noisy.collect()) == ["red plate"] * 3 + ["red plates"] * 5
+    kept = W.cluster_topics(df, density_cut=0.0)
+    # copies (weight >= 3) have core distance 0 and form a cluster of their own
+    assert sorted({r.topics for r in kept.collect()}) == sorted(set(topics))
