@@ -15,6 +15,9 @@ from pyspark.sql import DataFrame, SparkSession
 LIBRARY_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # text rows are costly per row but shuffle small (they compress well):
+    # keep coalesced partitions small enough to use every core
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": str(256 * 1024),
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": str(10 * 1024 * 1024),
     "spark.sql.session.timeZone": "UTC",
