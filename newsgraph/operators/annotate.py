@@ -215,11 +215,6 @@ def clean_texts(df: DataFrame, client_factory: Callable, text_col: str = "text",
 # Parsing replies
 # --------------------------------------------------------------------------
 
-def reply_json(reply: Column) -> Column:
-    """The JSON object inside a reply, cleaned for parsing."""
-    return fix_trailing_commas(python_none_to_null(clean_json_text(extract_braces(reply))))
-
-
 def parse_annotations(df: DataFrame, reply_col: str = "reply",
                       drop_columns: Sequence[str] = ("prompt_key", "error")) -> tuple[DataFrame, DataFrame]:
     """Split replies into (accepted, rejects).

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newsgraph.functions.text import html_title, url_host
-from newsgraph.sources.feed import FEED_ITEM, row_order
+from newsgraph.sources.feed import FEED_ITEM
 
 # Fixed values of the derivations (shared with plans/sql.py).
 FEED_EPOCH = "2024-01-01"
@@ -158,6 +158,3 @@ def part_topics(part: DataFrame) -> DataFrame:
     return part.select(F.col("p_partkey").cast("bigint").alias("row_ord"), F.col("p_name").alias("topics"),
                        "p_partkey", "p_size", "p_type")
 
-
-def feed_rows_order(source_idx: Column, pos: Column) -> Column:
-    return row_order(source_idx, pos)
