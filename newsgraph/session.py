@@ -75,8 +75,14 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path under the shared folder."""
-    return os.path.join(shared_dir(spark), "newsgraph", f"{name}-{uuid.uuid4().hex[:12]}")
+    """A fresh path under the shared folder, grouped per application
+    (``<dir>/newsgraph/<application id>/``) so a finished run's
+    intermediate tables can be dropped as one folder."""
+    try:
+        app = spark.sparkContext.applicationId
+    except Exception:  # sessions without a SparkContext view
+        app = spark.conf.get("spark.app.id", "app")
+    return os.path.join(shared_dir(spark), "newsgraph", app, f"{name}-{uuid.uuid4().hex[:12]}")
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
