@@ -91,16 +91,20 @@ def read_pages(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFram
 
 
 def attach_pages(articles: DataFrame, pages: DataFrame, link_col: str = "link",
-                 html_col: str = "html") -> DataFrame:
+                 html_col: str = "html", dedupe: bool = True) -> DataFrame:
     """Page fetch as a join: each article gets the landed HTML of its link;
     a link with no page, or a page whose status is not 200, gives null.
 
     Both sides are shuffled on the URL (sort-merge join); AQE turns it into
-    a broadcast join when the page side is measured small at run time."""
+    a broadcast join when the page side is measured small at run time.
+    ``dedupe`` keeps one page per URL (a sort-based aggregation of the
+    HTML rows); pass ``False`` for landed pages already keyed by URL."""
     p = pages
     if "status" in p.columns:
         p = p.filter(F.col("status") == 200)
-    p = p.select(F.col("url").alias("_url"), F.col(html_col).alias("_html")).dropDuplicates(["_url"])
+    p = p.select(F.col("url").alias("_url"), F.col(html_col).alias("_html"))
+    if dedupe:
+        p = p.dropDuplicates(["_url"])
     out = articles.join(p, articles[link_col] == p["_url"], "left").drop("_url")
     return out.withColumnRenamed("_html", html_col)
 
