@@ -23,11 +23,23 @@ from newsgraph.functions.text import ws_tokens
 W2V_DIM, W2V_WINDOW, W2V_MIN_COUNT = 100, 5, 1
 
 
+W2V_MAX_PARTITIONS = 32  # per-partition updates are averaged: more partitions train faster, less exactly
+
+
 def train_word2vec(df: DataFrame, col: str = "topics", dim: int = W2V_DIM, window: int = W2V_WINDOW,
-                   min_count: int = W2V_MIN_COUNT, seed: int = 42, partitions: int = 1):
-    """Word2Vec over the whitespace words of every non-null topic row."""
+                   min_count: int = W2V_MIN_COUNT, seed: int = 42, partitions: int | None = None):
+    """Word2Vec over the whitespace words of every non-null topic row.
+
+    Training runs in ``partitions`` parallel parts (default: the session's
+    parallelism, at most ``W2V_MAX_PARTITIONS``); ``partitions=1`` gives
+    vectors that repeat exactly for the same seed and data."""
     from pyspark.ml.feature import Word2Vec
 
+    if partitions is None:
+        try:
+            partitions = max(1, min(df.sparkSession.sparkContext.defaultParallelism, W2V_MAX_PARTITIONS))
+        except Exception:
+            partitions = 1
     words = df.filter(F.col(col).isNotNull()).select(ws_tokens(F.col(col)).alias("_words"))
     w2v = Word2Vec(vectorSize=dim, windowSize=window, minCount=min_count, seed=seed,
                    numPartitions=partitions, inputCol="_words", outputCol="_vec")

@@ -112,7 +112,7 @@ def test_mean_word_vectors(spark):
 
 def test_word2vec_repeatable(spark):
     df = spark.createDataFrame([("red plate",), ("hot plate",), ("blue ring",)], "topics string")
-    v1 = V.topic_vectors(df.withColumnRenamed("topics", "topic"), V.train_word2vec(df, dim=8)).collect()
-    v2 = V.topic_vectors(df.withColumnRenamed("topics", "topic"), V.train_word2vec(df, dim=8)).collect()
+    v1 = V.topic_vectors(df.withColumnRenamed("topics", "topic"), V.train_word2vec(df, dim=8, partitions=1)).collect()
+    v2 = V.topic_vectors(df.withColumnRenamed("topics", "topic"), V.train_word2vec(df, dim=8, partitions=1)).collect()
     assert [r.vec for r in v1] == [r.vec for r in v2] and len(v1[0].vec) == 8
     assert F is not None
