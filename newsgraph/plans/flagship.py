@@ -28,7 +28,7 @@ def _annotator():
     return A.StubAnnotator(fx.STUB_TOPICS)
 
 
-def processed_articles(spark: SparkSession, sf_dir: str, pin: bool = False) -> tuple[DataFrame, DataFrame]:
+def processed_articles(spark: SparkSession, sf_dir: str, pin: bool = True) -> tuple[DataFrame, DataFrame]:
     run = W.NewsRun(**FLAGSHIP_RUN)
     pages = fx.table(spark, sf_dir, "pages")
     arts = W.collect_articles(fx.feed_items_from_pages(pages), run)
@@ -36,7 +36,7 @@ def processed_articles(spark: SparkSession, sf_dir: str, pin: bool = False) -> t
                               cluster_client_factory=A.StubClusterer, cluster="model", pin=pin)
 
 
-def flagship_graph(spark: SparkSession, sf_dir: str, pin: bool = False) -> ArticleGraph:
+def flagship_graph(spark: SparkSession, sf_dir: str, pin: bool = True) -> ArticleGraph:
     processed, _ = processed_articles(spark, sf_dir, pin)
     # regrouped rows come in the order of their group keys
     ordered = processed.withColumn("row_ord", F.struct(*[F.col(k) for k in REGROUP_KEYS]))
