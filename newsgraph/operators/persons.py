@@ -78,10 +78,12 @@ def regroup_persons(articles: DataFrame, persons: DataFrame, keys: Sequence[str]
 
 
 def process_persons(articles: DataFrame, keys: Sequence[str] = REGROUP_KEYS, order_col: str = "row_ord",
-                    pandas_compat: bool = False) -> DataFrame:
+                    pandas_compat: bool = False, sort_keys: bool = False) -> DataFrame:
     """Explode → title-case → complete surnames (over all rows, null keys
-    included) → regroup."""
+    included) → regroup.  ``sort_keys`` orders the result by the keys, as
+    the reference's grouping returns it (a range-partitioned sort)."""
     p = explode_persons(articles, order_col)
     p = title_persons(p, pandas_compat)
     p = complete_surnames(p, (order_col, "pos"))
-    return regroup_persons(articles, p, keys, order_col)
+    out = regroup_persons(articles, p, keys, order_col)
+    return out.orderBy(*keys) if sort_keys else out

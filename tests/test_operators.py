@@ -295,3 +295,11 @@ def test_cluster_topics_by_density(spark):
     kept = W.cluster_topics(df, density_cut=0.0)
     # copies (weight >= 3) have core distance 0 and form a cluster of their own
     assert sorted({r.topics for r in kept.collect()}) == sorted(set(topics))
+
+
+def test_process_persons_sorted_by_keys(spark):
+    d = dt.date(2024, 1, 1)
+    arts = _arts(spark, [(0, "b", "n", "l", d, "x", "t", ["A B"]), (1, "a", "n", "l", d, "x", "t", []),
+                         (2, "c", "m", "l", d, "x", "t", ["B"])])
+    got = [r.title for r in P.process_persons(arts, sort_keys=True).collect()]
+    assert got == ["a", "b", "c"]
