@@ -3,9 +3,10 @@
 ``readStream`` over the reply folder → items → newspaper and day →
 event-time watermark on the day → ``dropDuplicatesWithinWatermark`` on the
 link (an article returned again, for another newspaper or a later search,
-is kept once) → newspaper filter → append to a parquet table.  The
-checkpoint lives in the shared folder, so a restarted query resumes
-where it stopped."""
+is kept once) → newspaper filter → append to a parquet table.  Rows older
+than the watermark are dropped as late (Spark judges lateness against the
+previous micro-batch's watermark).  The checkpoint lives in the shared
+folder, so a restarted query resumes where it stopped."""
 
 from __future__ import annotations
 
