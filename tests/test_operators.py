@@ -303,3 +303,10 @@ def test_process_persons_sorted_by_keys(spark):
                          (2, "c", "m", "l", d, "x", "t", ["B"])])
     got = [r.title for r in P.process_persons(arts, sort_keys=True).collect()]
     assert got == ["a", "b", "c"]
+
+
+def test_attach_pages_without_dedupe(spark):
+    arts = spark.createDataFrame([("u1",), ("u2",)], "link string")
+    pages = spark.createDataFrame([("u1", "<p>x</p>"), ("u1", "<p>y</p>")], "url string, html string")
+    assert FD.attach_pages(arts, pages).count() == 2                      # one page per URL
+    assert FD.attach_pages(arts, pages, dedupe=False).count() == 3        # caller vouches for unique URLs

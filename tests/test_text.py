@@ -135,3 +135,10 @@ def test_unescape_entities_native_matches_stdlib(spark):
     df = spark.createDataFrame([(i, v) for i, v in enumerate(vals)], "i int, s string")
     got = [r.r for r in df.select("i", T.unescape_entities("s").alias("r")).orderBy("i").collect()]
     assert got == [html.unescape(v) for v in vals]
+
+
+def test_html_to_text_entity_modes(spark):
+    html = "<p>a &amp; b &eacute; &#8217;</p>"
+    assert one(spark, T.html_to_text(F.col("s")), html) == "a & b é ’"
+    assert one(spark, T.html_to_text(F.col("s"), entities="common"), html) == "a & b &eacute; &#8217;"
+    assert one(spark, T.html_to_text(F.col("s"), entities="python"), html) == "a & b é ’"
