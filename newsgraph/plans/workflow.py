@@ -45,6 +45,7 @@ class NewsRun:
     model_partitions: int | None = None
     reply_store: str | None = None
     dedup_links: bool = False   # keep one row per link before the model calls
+    sort_keys: bool = False     # order the result by the article keys, as the reference returns it
     extra: dict = field(default_factory=dict)
 
 
@@ -104,7 +105,7 @@ def process_articles(articles: DataFrame, pages: DataFrame, run: NewsRun, client
         merged = annotated
     else:
         raise ValueError(f"cluster must be 'model', 'vectors' or 'none', not {cluster!r}")
-    return process_persons(merged, pandas_compat=run.pandas_compat), rejects
+    return process_persons(merged, pandas_compat=run.pandas_compat, sort_keys=run.sort_keys), rejects
 
 
 def cluster_topics(df: DataFrame, topics: Sequence[str] | None = None, col: str = "topics",
