@@ -273,3 +273,11 @@ def _edge_mark(e: DataFrame) -> tuple:
     row = e.agg(F.count(F.lit(1)).alias("n"),
                 F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("s")).first()
     return row["n"], row["s"]
+
+
+def fresh(df: DataFrame, base: str) -> str:
+    """A column name that ``df`` does not use yet."""
+    name, used = base, {c.lower() for c in df.columns}
+    while name.lower() in used:
+        name = f"_{name}"
+    return name

@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from newsgraph.llm import toxicity
+from newsgraph.llm import decontaminate, minhash, mixing, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -29,3 +29,18 @@ def query(name: str, sql: str | None = None):
 @query("op8_toxicity")
 def _(spark, d):
     return toxicity.op8(_table(spark, d, "documents"), _table(spark, d, "labels"))
+
+
+@query("op3_minhash")
+def _(spark, d):
+    return minhash.op3(_table(spark, d, "documents"))
+
+
+@query("op1_mixing")
+def _(spark, d):
+    return mixing.op1(_table(spark, d, "documents"))
+
+
+@query("op5_decontaminate")
+def _(spark, d):
+    return decontaminate.op5(_table(spark, d, "documents"), _table(spark, d, "benchmark"))
