@@ -281,3 +281,13 @@ def fresh(df: DataFrame, base: str) -> str:
     while name.lower() in used:
         name = f"_{name}"
     return name
+
+
+BROADCAST_ROWS = 1_000_000
+
+
+def small_side(df: DataFrame, rows: int | None = None) -> DataFrame:
+    """``df`` marked for broadcast if a count finds it small enough, else as
+    it is: the join then shuffles."""
+    most = BROADCAST_ROWS if rows is None else rows
+    return F.broadcast(df) if df.limit(most + 1).count() <= most else df

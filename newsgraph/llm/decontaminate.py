@@ -34,6 +34,7 @@ NEAR = 5             # words by which a proximity match may be off
 BLOCK_DOCS = 4096    # documents per block of the index
 BLOCK_BYTES = 16 << 20
 BITMAP_BITS = 22
+BLOCKS = 10_000       # blocks whose document lists are broadcast; beyond that, a join
 _ENTRY = "kind int, block long, ord int, doc_id long, n_words long, term long, ords array<int>, poss array<int>"
 
 
@@ -174,6 +175,20 @@ def _intersect(b: pa.RecordBatch):
         ["block", "item", "ord", "delta", "near"])
 
 
+def _of_documents(b: pa.RecordBatch):
+    """Posting rows cut down to the wanted documents of their block."""
+    lengths = b.column("ords").value_lengths().to_numpy()
+    ords, poss = b.column("ords").flatten().to_numpy(), b.column("poss").flatten().to_numpy()
+    row = np.repeat(np.arange(b.num_rows), lengths)
+    wanted = b.column("wanted")
+    pairs = (np.repeat(np.arange(b.num_rows), wanted.value_lengths().to_numpy()) << 32) | wanted.flatten().to_numpy()
+    use = np.isin((row << 32) | ords, pairs)
+    left = np.bincount(row[use], minlength=b.num_rows)
+    yield pa.RecordBatch.from_arrays(
+        [b.column("block"), b.column("term"), C.list_of(ords[use], left), C.list_of(poss[use], left)],
+        ["block", "term", "ords", "poss"]).filter(pa.array(left > 0))
+
+
 def _phrases(window: int):
     """Cogroup function per block: posting rows and alignments to hits."""
     def run(postings: pa.Table, found: pa.Table) -> pa.Table:
@@ -237,6 +252,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
     anchors = C.keep(window_anchors(items, index, window), "bench-anchors")
     first = posting.select("block", F.col("term").alias("t1"), F.col("ords").alias("o1"), F.col("poss").alias("p1"))
     second = posting.select("block", F.col("term").alias("t2"), F.col("ords").alias("o2"), F.col("poss").alias("p2"))
+    # lists of other terms, the frequent ones among them, stay where they are
+    first = first.join(C.small_side(anchors.select("t1").distinct()), "t1", "left_semi")
+    second = second.join(C.small_side(anchors.select("t2").distinct()), "t2", "left_semi")
     both = anchors.join(first, "t1").join(second, ["block", "t2"])
     places = C.keep(C.map_arrow(both.select("block", "item", "j1", "j2", "o1", "p1", "o2", "p2"), _intersect,
                                 "block long, item long, ord int, delta long, near boolean"), "bench-places")
@@ -244,8 +262,12 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
             .groupBy("block", "ord").agg(F.count(F.lit(1)).alias("n_near")))
     found = places.where("not near").select("block", "ord", "item", "delta").distinct().join(items, "item")
     found = C.keep(found.select("block", "ord", "item", "delta", "terms"), "bench-found")
-    needed = found.select("block", F.explode("terms").alias("term")).distinct()
-    hits = (posting.join(needed, ["block", "term"], "left_semi").groupBy("block")
+    needed = C.small_side(found.select(F.explode("terms").alias("term")).distinct())
+    docs_found = C.small_side(found.groupBy("block").agg(F.collect_set("ord").alias("wanted")), BLOCKS)
+    lists = posting.join(needed, "term", "left_semi").join(docs_found, "block")
+    lists = C.map_arrow(lists.select("block", "term", "ords", "poss", "wanted"), _of_documents,
+                        "block long, term long, ords array<int>, poss array<int>")
+    hits = (lists.groupBy("block")
             .cogroup(found.groupBy("block"))
             .applyInArrow(_phrases(window), "block long, ord int, n_hit long, items array<long>"))
     hits = C.keep(hits, "bench-hits")

@@ -3,7 +3,13 @@
 Every pair of items that shares a band is either verified or already in one
 class, without emitting all pairs of a bucket: each bucket first verifies
 its members against one leader; only members left outside the bucket's main
-class are then compared with the members of other classes."""
+class are then compared with the members of other classes, and of those
+pairs only the ones that an exact bound lets through.
+
+The bound: a mark sets one of 1024 bits per element, so each bit that A has
+and B lacks stands for at least one element of A outside B.  Sets of equal
+weights with similarity t share at least t / (1 + t) of their joint size;
+for weighted sets, 1 - t bounds the share of A's weight outside B."""
 
 from __future__ import annotations
 
@@ -15,6 +21,31 @@ from pyspark.sql import functions as F
 from newsgraph.llm import common as C
 
 SETS = "id long, h binary, c binary"
+MARK_WORDS = 16
+MARKS = "bits array<long>, n long, weight long"
+
+
+def marks(rows: np.ndarray, h: np.ndarray, count: np.ndarray, n: int) -> list[pa.Array]:
+    """The MARKS columns of n sets given as (row, hash, count)."""
+    bits = np.zeros((n, MARK_WORDS), C.U64)
+    x = C.mix64(h + C.U64(77))
+    np.bitwise_or.at(bits, (rows, (x & C.U64(MARK_WORDS - 1)).astype(np.int64)), C.U64(1) << (x >> C.U64(58)))
+    weight = np.bincount(rows, weights=count, minlength=n).astype(np.int64)
+    return [C.list_of(bits.view(np.int64).ravel(), np.full(n, MARK_WORDS)), pa.array(C.row_counts(rows, n)), pa.array(weight)]
+
+
+def _may_link(threshold: float):
+    """The bound as a join condition between sides l and r."""
+    def only(a, b):
+        out = F.lit(0)
+        for i in range(MARK_WORDS):
+            out = out + F.bit_count(F.col(f"{a}.bits")[i].bitwiseAND(F.bitwise_not(F.col(f"{b}.bits")[i])))
+        return out
+
+    both = (F.col("l.n") + F.col("r.n")) * F.lit(threshold / (1 + threshold)) - 1e-6
+    flat = (F.col("l.n") == F.col("l.weight")) & (F.col("r.n") == F.col("r.weight"))
+    most = lambda a: F.when(flat, F.col(f"{a}.n") - both).otherwise(F.col(f"{a}.weight") * (1 - threshold) + 1e-6)
+    return (only("l", "r") <= most("l")) & (only("r", "l") <= most("r"))
 
 
 def band_keys(signature: np.ndarray, rows: int) -> np.ndarray:
@@ -83,10 +114,11 @@ def verify(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     return C.map_arrow(wide, run, "a long, b long")
 
 
-def classes(bands: DataFrame, make_sets, threshold: float, name: str) -> DataFrame:
+def classes(bands: DataFrame, marked: DataFrame, make_sets, threshold: float, name: str) -> DataFrame:
     """(node, root) for the items that link with another one.
 
     ``bands``: (id, band), one row per item and band key, on disk already.
+    ``marked``: (id and the MARKS columns), one row per item.
     ``make_sets(ids)``: the shingle sets (id, h, c) of the items in ``ids``."""
     lead = bands.groupBy("band").agg(F.min("id").alias("a"), F.max("id").alias("z")).where("a != z")
     pairs = C.keep(bands.join(lead.select("band", "a"), "band").where("a != id")
@@ -102,9 +134,10 @@ def classes(bands: DataFrame, make_sets, threshold: float, name: str) -> DataFra
     mixed = (labelled.groupBy("band", "root").agg(F.count(F.lit(1)).alias("n"))
              .groupBy("band").agg(F.count(F.lit(1)).alias("k"), F.max_by("root", F.struct("n", "root")).alias("main"))
              .where("k > 1").select("band", "main"))
-    rest = C.keep(labelled.join(mixed, "band"), f"{name}-mixed")
+    rest = C.keep(labelled.join(mixed, "band").join(marked, "id"), f"{name}-mixed")
     left, right = rest.where("root != main").alias("l"), rest.alias("r")
-    more = (left.join(right, (F.col("l.band") == F.col("r.band")) & (F.col("l.root") != F.col("r.root")))
+    more = (left.join(right, (F.col("l.band") == F.col("r.band")) & (F.col("l.root") != F.col("r.root"))
+                      & _may_link(threshold))
             .select(F.least("l.id", "r.id").alias("a"), F.greatest("l.id", "r.id").alias("b")).distinct()
             .join(pairs, ["a", "b"], "left_anti"))
     more = C.keep(more, f"{name}-more")

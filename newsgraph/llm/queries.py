@@ -7,7 +7,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from newsgraph.llm import decontaminate, minhash, mixing, toxicity
+from newsgraph.llm import (decontaminate, language, minhash, mixing, paragraphs, suffix, toxicity, urlfilter,
+                           vectors, warc)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -44,3 +45,33 @@ def _(spark, d):
 @query("op5_decontaminate")
 def _(spark, d):
     return decontaminate.op5(_table(spark, d, "documents"), _table(spark, d, "benchmark"))
+
+
+@query("op2_vectors")
+def _(spark, d):
+    return vectors.op2(_table(spark, d, "embeddings"))
+
+
+@query("op4_language")
+def _(spark, d):
+    return language.op4(_table(spark, d, "pages"), _table(spark, d, "documents"))
+
+
+@query("op6_url_rules", urlfilter.ORACLE)
+def _(spark, d):
+    return urlfilter.op6(_table(spark, d, "pages"))
+
+
+@query("op7_warc")
+def _(spark, d):
+    return warc.op7(_table(spark, d, "pages"))
+
+
+@query("op9_paragraphs")
+def _(spark, d):
+    return paragraphs.op9(_table(spark, d, "documents"))
+
+
+@query("op10_suffix")
+def _(spark, d):
+    return suffix.op10(_table(spark, d, "documents"))

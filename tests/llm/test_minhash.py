@@ -1,4 +1,5 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from newsgraph.llm import common as C
@@ -34,13 +35,15 @@ def test_bucket_members_that_the_leader_misses_are_linked(spark):
     texts = {1: base[:50] + [f"z{i}" for i in range(50)], 2: base, 3: base[:-1] + ["other"]}
     bands = spark.createDataFrame([(i, 7) for i in texts], "id long, band long")
 
+    w = pa.array([" ".join(t) for t in texts.values()])
+    sets = C.shingle_sets(C.scan_words(w), 3)
+    marked = pa.RecordBatch.from_arrays([pa.array(list(texts)), *lsh.marks(*sets, 3)], ["id", "bits", "n", "weight"])
+    marked = spark.createDataFrame(marked.to_pylist(), f"id long, {lsh.MARKS}")
+
     def make_sets(ids):
-        import pyarrow as pa
-        w = pa.array([" ".join(t) for t in texts.values()])
-        b = lsh.pack_sets(pa.array(list(texts)), *C.shingle_sets(C.scan_words(w), 3))
-        return spark.createDataFrame(b.to_pandas(), lsh.SETS)
+        return spark.createDataFrame(lsh.pack_sets(pa.array(list(texts)), *sets).to_pandas(), lsh.SETS)
 
-    got = lsh.classes(bands, make_sets, 0.8, "t").collect()
+    got = lsh.classes(bands, marked, make_sets, 0.8, "t").collect()
     assert sorted((r.node, r.root) for r in got) == [(2, 2), (3, 2)]
 
 
