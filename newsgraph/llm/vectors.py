@@ -23,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from newsgraph.llm import common as C
 
@@ -83,7 +84,8 @@ def tiles(vectors: DataFrame, axes: np.ndarray, d: int, name: str) -> DataFrame:
     def first(b: pa.RecordBatch):
         yield b.append_column("x", pa.array(unit(_matrix(b.column("v"), d)) @ axes[:, 0]))
 
-    placed = C.keep(C.map_arrow(vectors, first, vectors.schema.add("x", "double")), f"{name}-placed")
+    placed = C.keep(C.map_arrow(vectors, first, T.StructType(
+        [*vectors.schema.fields, T.StructField("x", T.DoubleType())])), f"{name}-placed")
     cuts = sorted(set(placed.approxQuantile("x", [i / CHUNKS for i in range(1, CHUNKS)], 0.25 / CHUNKS)))
     chunk = F.lit(0)
     for c in cuts:  # at most CHUNKS of them
