@@ -7,9 +7,12 @@ class are then compared with the members of other classes, and of those
 pairs only the ones that an exact bound lets through.
 
 The bound: a mark sets one of 1024 bits per element, so each bit that A has
-and B lacks stands for at least one element of A outside B.  Sets of equal
-weights with similarity t share at least t / (1 + t) of their joint size;
-for weighted sets, 1 - t bounds the share of A's weight outside B."""
+and B lacks stands for at least one element of A outside B, of weight one or
+more.  With a the share of A's weight outside B and b that of B's outside A,
+the similarity is at most ((1 - a) / (1 + a) + (1 - b) / (1 + b)) / 2: its
+i-th term 1 / sum_j max(p_j / p_i, q_j / q_i) is at most 1 / (1 / p_i + b / q_i)
+and 1 / (1 / q_i + a / p_i), hence at most the mean of p_i / (1 + a) and
+q_i / (1 + b)."""
 
 from __future__ import annotations
 
@@ -22,7 +25,7 @@ from newsgraph.llm import common as C
 
 SETS = "id long, h binary, c binary"
 MARK_WORDS = 16
-MARKS = "bits array<long>, n long, weight long"
+MARKS = "bits array<long>, weight long"
 
 
 def marks(rows: np.ndarray, h: np.ndarray, count: np.ndarray, n: int) -> list[pa.Array]:
@@ -31,7 +34,7 @@ def marks(rows: np.ndarray, h: np.ndarray, count: np.ndarray, n: int) -> list[pa
     x = C.mix64(h + C.U64(77))
     np.bitwise_or.at(bits, (rows, (x & C.U64(MARK_WORDS - 1)).astype(np.int64)), C.U64(1) << (x >> C.U64(58)))
     weight = np.bincount(rows, weights=count, minlength=n).astype(np.int64)
-    return [C.list_of(bits.view(np.int64).ravel(), np.full(n, MARK_WORDS)), pa.array(C.row_counts(rows, n)), pa.array(weight)]
+    return [C.list_of(bits.view(np.int64).ravel(), np.full(n, MARK_WORDS)), pa.array(weight)]
 
 
 def _may_link(threshold: float):
@@ -42,10 +45,9 @@ def _may_link(threshold: float):
             out = out + F.bit_count(F.col(f"{a}.bits")[i].bitwiseAND(F.bitwise_not(F.col(f"{b}.bits")[i])))
         return out
 
-    both = (F.col("l.n") + F.col("r.n")) * F.lit(threshold / (1 + threshold)) - 1e-6
-    flat = (F.col("l.n") == F.col("l.weight")) & (F.col("r.n") == F.col("r.weight"))
-    most = lambda a: F.when(flat, F.col(f"{a}.n") - both).otherwise(F.col(f"{a}.weight") * (1 - threshold) + 1e-6)
-    return (only("l", "r") <= most("l")) & (only("r", "l") <= most("r"))
+    a = only("l", "r") / F.col("l.weight")
+    b = only("r", "l") / F.col("r.weight")
+    return (1 - a) / (1 + a) + (1 - b) / (1 + b) >= 2 * threshold - 1e-9
 
 
 def band_keys(signature: np.ndarray, rows: int) -> np.ndarray:

@@ -30,7 +30,7 @@ SHINGLE_WORDS = 5
 MIN_WORDS = 8
 BANDS, ROWS = 12, 3
 _ENTRY = ("kind int, rid long, doc_id long, n int, at array<int>, pids array<long>, pid long, bands array<long>, "
-          "bits array<long>, set_n long, weight long")
+          "bits array<long>, weight long")
 
 
 def split(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
@@ -77,7 +77,7 @@ def distinct_shingles(rows: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.n
 def _scan(batches):
     rid = TaskContext.get().partitionId() << 32
     ints, longs = pa.list_(pa.int32()), pa.list_(pa.int64())
-    names = ["kind", "rid", "doc_id", "n", "at", "pids", "pid", "bands", "bits", "set_n", "weight"]
+    names = ["kind", "rid", "doc_id", "n", "at", "pids", "pid", "bands", "bits", "weight"]
     for b in batches:
         if not b.num_rows:
             continue
@@ -94,7 +94,7 @@ def _scan(batches):
             [pa.array(np.zeros(m, np.int32)), pa.array(rid + np.arange(m)), b.column("doc_id"),
              pa.array(per.astype(np.int32)), C.list_of(place[used].astype(np.int32), lengths),
              C.list_of(pid[used], lengths), pa.nulls(m, pa.int64()), pa.nulls(m, longs), pa.nulls(m, longs),
-             pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64())], names)
+             pa.nulls(m, pa.int64())], names)
         rid += m
         at = np.flatnonzero(used)
         _, first = np.unique(pid[at], return_index=True)
@@ -139,7 +139,7 @@ def clusters(docs: DataFrame, threshold: float = SIMILARITY) -> tuple[DataFrame,
     C.use_small_batches(spark)
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     scan = C.keep(base.mapInArrow(_scan, _ENTRY), "para-scan")
-    distinct = C.keep(scan.where("kind = 1").groupBy("pid", "bands", "bits", "set_n", "weight").agg(F.min("doc_id").alias("doc_id")), "para-distinct")
+    distinct = C.keep(scan.where("kind = 1").groupBy("pid", "bands", "bits", "weight").agg(F.min("doc_id").alias("doc_id")), "para-distinct")
     bands = distinct.select(F.col("pid").alias("id"), F.explode("bands").alias("band"))
 
     def make_sets(ids: DataFrame) -> DataFrame:
@@ -149,7 +149,7 @@ def clusters(docs: DataFrame, threshold: float = SIMILARITY) -> tuple[DataFrame,
         return C.map_arrow(found, _sets, lsh.SETS).dropDuplicates(["id"])
 
     linked = lsh.classes(
-        bands, distinct.select(F.col("pid").alias("id"), "bits", F.col("set_n").alias("n"), "weight"), make_sets, threshold, "para")
+        bands, distinct.select(F.col("pid").alias("id"), "bits", "weight"), make_sets, threshold, "para")
     docs_table = scan.where("kind = 0").select("rid", "doc_id", "n")
     each = (scan.where("kind = 0").select("rid", "doc_id", F.explode(F.arrays_zip("at", "pids")).alias("x"))
             .select("rid", "doc_id", "x.at", F.col("x.pids").alias("pid"))

@@ -37,7 +37,7 @@ def test_bucket_members_that_the_leader_misses_are_linked(spark):
 
     w = pa.array([" ".join(t) for t in texts.values()])
     sets = C.shingle_sets(C.scan_words(w), 3)
-    marked = pa.RecordBatch.from_arrays([pa.array(list(texts)), *lsh.marks(*sets, 3)], ["id", "bits", "n", "weight"])
+    marked = pa.RecordBatch.from_arrays([pa.array(list(texts)), *lsh.marks(*sets, 3)], ["id", "bits", "weight"])
     marked = spark.createDataFrame(marked.to_pylist(), f"id long, {lsh.MARKS}")
 
     def make_sets(ids):
@@ -80,3 +80,13 @@ def test_registers_agree_as_often_as_the_sets():
             rows.append(r), h.append(int(C.mix64(np.array([e + 1], np.uint64))[0])), c.append(s[e])
     sig = minhash.prob_minhash(np.array(rows), np.array(h, np.uint64), np.array(c), 2, k)
     assert abs((sig[0] == sig[1]).mean() - brute.probability_jaccard(v, w)) < 0.03
+
+
+def test_bound_never_lies_below_the_similarity():
+    rng = np.random.default_rng(3)
+    for _ in range(300):
+        v = {int(k): int(c) for k, c in zip(rng.choice(60, 30, False), rng.integers(1, 6, 30))}
+        w = {k: c for k, c in v.items() if rng.random() < 0.9} | {int(k): 1 for k in rng.choice(60, rng.integers(1, 6))}
+        a = sum(c for k, c in v.items() if k not in w) / sum(v.values())
+        b = sum(c for k, c in w.items() if k not in v) / sum(w.values())
+        assert brute.probability_jaccard(v, w) <= ((1 - a) / (1 + a) + (1 - b) / (1 + b)) / 2 + 1e-12
