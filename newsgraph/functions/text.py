@@ -8,7 +8,7 @@ counter in :func:`token_count`)."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -51,7 +51,7 @@ CASE_IGNORABLE = (r"\p{Mn}\p{Me}\p{Cf}\p{Lm}\p{Sk}'.:\x{00B7}\x{0387}\x{05F4}\x{
 # Σ is final when, skipping case-ignorables on each side, a cased letter
 # comes before it and none after it.
 _CASED_ANCHOR = rf"[{CASED}&&[^{CASE_IGNORABLE}]]"
-FINAL_SIGMA_RE = (rf"(?<={_CASED_ANCHOR}[{CASE_IGNORABLE}]{{0,16}})\x{{03A3}}"
+FINAL_SIGMA_RE = (rf"({_CASED_ANCHOR}[{CASE_IGNORABLE}]*+)\x{{03A3}}"
                   rf"(?![{CASE_IGNORABLE}]*+{_CASED_ANCHOR})")
 
 # Elements whose text the HTML-to-text conversion leaves out, and the named
@@ -131,6 +131,14 @@ def _entity_tables():
     return json.dumps(named), json.dumps(remap)
 
 
+def _bare_names() -> str:
+    """Pattern of the references HTML5 knows without a semicolon, longest first."""
+    from html.entities import html5
+
+    names = sorted((n for n in html5 if not n.endswith(";")), key=len, reverse=True)
+    return "^(" + "|".join(names) + ")"
+
+
 def _codepoint_char(n: Column) -> Column:
     """The character of code point ``n`` for a numeric reference: C1
     controls read as Windows-1252, 0, surrogates and values above U+10FFFF
@@ -147,41 +155,62 @@ def _codepoint_char(n: Column) -> Column:
 def unescape_entities(c: ColumnOrName) -> Column:
     """Decode character references in one pass: the text is split on ``&``
     and each piece's leading reference is looked up — named references of
-    HTML5 (with their semicolon) in a map constant, decimal and hex numeric
-    references (with their semicolon) by code point.  Anything else keeps
-    its ``&``.  (References without the closing semicolon are left as
-    written; ``html_to_text(entities="python")`` decodes those too.)"""
+    HTML5 in a map constant, decimal and hex numeric references of any
+    length by code point; both also without a semicolon, the named ones that
+    HTML5 allows so by their longest match.  Anything else keeps its ``&``."""
     named_json, _ = _entity_tables()
     named = F.from_json(F.lit(named_json), "map<string,map<string,map<string,string>>>")
     pieces = F.split(_c(c), "&", -1)
+    bare = _bare_names()
 
     def lookup(name):
         bucket = F.element_at(F.element_at(named, F.substring(name, 1, 1)), F.substring(name, 2, 1))
         return F.element_at(bucket, name)
 
-    def piece(p):
-        tail = lambda n: F.substring(p, n + 1, 1 << 30)
-        # everyday references by prefix, no regex
-        fast = None
-        for ent, ch in NATIVE_ENTITIES:
-            cond = F.startswith(p, F.lit(ent[1:]))
-            val = F.concat(F.lit(ch), tail(len(ent) - 1))
-            fast = F.when(cond, val) if fast is None else fast.when(cond, val)
-        ref = F.regexp_extract(p, r"^(#[xX][0-9a-fA-F]{1,8};|#[0-9]{1,8};|[A-Za-z][A-Za-z0-9]{0,31};)", 1)
-        n = F.length(ref)
-        is_hex = F.startswith(ref, F.lit("#x")) | F.startswith(ref, F.lit("#X"))
-        code = F.when(is_hex, F.conv(F.substring(ref, 3, n - 3), 16, 10)).otherwise(
-            F.substring(ref, 2, n - 2)).cast("bigint")
-        value = F.when(F.startswith(ref, F.lit("#")), _codepoint_char(code)).otherwise(lookup(ref))
-        general = (F.when((ref != "") & value.isNotNull(), F.concat(value, tail(n)))
-                   .otherwise(F.concat(F.lit("&"), p)))
-        return fast.otherwise(general)
+    # each step is a transform of its own, so it is evaluated once per piece
+    def written(p):
+        return F.struct(p.alias("p"), F.regexp_extract(
+            p, r"^(#[xX][0-9a-fA-F]++;?|#[0-9]++;?|[A-Za-z][A-Za-z0-9]*+;)", 1).alias("ref"))
+
+    def named_value(x):
+        number = F.startswith(x["ref"], F.lit("#"))
+        return F.struct(x["p"].alias("p"), x["ref"].alias("ref"), number.alias("number"),
+                        F.when((x["ref"] != "") & ~number, lookup(x["ref"])).alias("value"))
+
+    def longest(x):
+        found = x["number"] | x["value"].isNotNull()
+        ref = F.when(found, x["ref"]).otherwise(F.regexp_extract(x["p"], bare, 1))
+        return F.struct(x["p"].alias("p"), ref.alias("ref"), x["number"].alias("number"), x["value"].alias("value"))
+
+    def digits(x):
+        hexed = F.startswith(x["ref"], F.lit("#x")) | F.startswith(x["ref"], F.lit("#X"))
+        value = F.coalesce(x["value"], F.when((x["ref"] != "") & ~x["number"], lookup(F.concat(x["ref"], F.lit(";")))))
+        return F.struct(x["p"].alias("p"), x["ref"].alias("ref"), x["number"].alias("number"), value.alias("value"),
+                        hexed.alias("hexed"), F.when(x["number"], F.regexp_extract(
+                            x["ref"], r"^#[xX]?0*+([0-9a-fA-F]*+)", 1)).alias("digits"))
+
+    def code(x):
+        # eight digits or more lie beyond the last code point
+        n = (F.when(x["digits"] == "", F.lit("0")).when(F.length(x["digits"]) > 7, F.lit(str(0x110000)))
+             .when(x["hexed"], F.conv(x["digits"], 16, 10)).otherwise(x["digits"])).cast("bigint")
+        return F.struct(x["p"].alias("p"), x["ref"].alias("ref"), x["value"].alias("value"), n.alias("code"))
+
+    def decoded(x):
+        value = F.when(x["code"].isNotNull(), _codepoint_char(x["code"])).otherwise(x["value"])
+        return F.when(value.isNotNull(), F.concat(value, F.substring(x["p"], F.length(x["ref"]) + 1, 1 << 30))).otherwise(
+            F.concat(F.lit("&"), x["p"]))
 
     rest = F.slice(pieces, 2, 1 << 30)
-    out = F.concat(F.element_at(pieces, 1), F.array_join(F.transform(rest, piece), ""))
+    for step in (written, named_value, longest, digits, code, decoded):
+        rest = F.transform(rest, step)
+    out = F.concat(F.element_at(pieces, 1), F.array_join(rest, ""))
     return F.when(_c(c).contains("&"), out).otherwise(_c(c))
 
 
+# The rest of a tag, with quoted values taken whole.
+_ATTRIBUTES = r"""[^>"']*+(?:(?:"[^"]*+"|'[^']*+')[^>"']*+)*+"""
+
+
 def _python_unescape(s):
     import html
 
@@ -193,16 +222,19 @@ def html_to_text(c: ColumnOrName, entities: str = "native") -> Column:
     then every newline deleted.
 
     Comments, declarations, processing instructions and the bodies of
-    script/style/template/rt/rp are left out.  ``entities="native"`` decodes
+    script/style/template/rt/rp are left out; CDATA sections keep their
+    text.  ``entities="native"`` decodes
     character references in the JVM (:func:`unescape_entities`);
     ``"common"`` only the few named ones of ``NATIVE_ENTITIES``; ``"python"``
     uses the standard library's decoder in an Arrow-batched UDF."""
     col = _c(c)
-    col = F.regexp_replace(col, r"(?s)<!--.*?(-->|$)", "")
-    for tag in SKIPPED_ELEMENTS:
-        col = F.regexp_replace(col, rf"(?is)<{tag}\b[^>]*>.*?(</{tag}\s*>|$)", "")
-    col = F.regexp_replace(col, r"(?s)<[!?][^>]*>", "")
-    col = F.regexp_replace(col, r"(?s)</?[A-Za-z][^>]*>", "")
+    # one pass, left to right: what opens first decides (a comment mark inside
+    # a script is script, a > inside a quoted attribute is no end of a tag)
+    skipped = "|".join(SKIPPED_ELEMENTS)
+    col = F.regexp_replace(col, (
+        r"(?is)<!--.*?(?:-->|$)|<!\[CDATA\[(.*?)(?:\]\]>|$)"
+        rf"|<({skipped})\b{_ATTRIBUTES}>.*?(?:</\2\s*>|$)"
+        rf"|<[!?][^>]*>|</?[a-z]{_ATTRIBUTES}>|</?[a-z][^>]*>"), "$1")
     if entities == "native":
         col = unescape_entities(col)
     elif entities == "common":
@@ -282,22 +314,24 @@ def clean_json_text(c: ColumnOrName) -> Column:
                             r"[\x00-\x1F]+", "")
 
 
-def fix_trailing_commas(c: ColumnOrName) -> Column:
-    """``{"a": 1,}`` and ``[1, 2,]`` as a Python literal allows them."""
-    return F.regexp_replace(_c(c), r",\s*([}\]])", "$1")
+# A double- or single-quoted string, a run without quotes, or a stray quote.
+_JSON_PIECES = r"""(?s)("[^"\\]*+(?:\\.[^"\\]*+)*+"|'[^'\\]*+(?:\\.[^'\\]*+)*+'|[^"']+|["'])"""
 
 
-def python_none_to_null(c: ColumnOrName) -> Column:
-    """A bare ``None``/``True``/``False`` value (after ``:``, ``[`` or ``,``)
-    to its JSON spelling."""
-    col = _c(c)
-    out, seen = col, F.lit(False)
-    for py, js in (("None", "null"), ("True", "true"), ("False", "false")):
-        out = F.regexp_replace(out, rf"([:\[,]\s{{0,16}}){py}(?=\s*[,}}\]])", f"$1{js}")
-        seen = seen | col.contains(py)
-    # the regex passes run only on texts holding one of the words; pass a
-    # column (not a costly expression): it is read more than once
-    return F.when(seen, out).otherwise(col)
+def repair_json(c: ColumnOrName) -> Column:
+    """What a Python literal allows and JSON does not, mended outside
+    strings: trailing commas go, ``None``/``True``/``False`` take their JSON
+    spelling, typographic quotes become plain ones."""
+    pieces = F.regexp_extract_all(_c(c), F.lit(_JSON_PIECES), 1)
+
+    def mend(p):
+        out = F.regexp_replace(clean_json_text(p), r",(\s*[}\]])", "$1")
+        for py, js in (("None", "null"), ("True", "true"), ("False", "false")):
+            out = F.regexp_replace(out, rf"\b{py}\b", js)
+        quoted = (F.length(p) > 1) & (F.startswith(p, F.lit('"')) | F.startswith(p, F.lit("'")))
+        return F.when(quoted, p).otherwise(out)
+
+    return F.array_join(F.transform(pieces, mend), "")
 
 
 # --------------------------------------------------------------------------
@@ -312,7 +346,7 @@ def title_case(c: ColumnOrName) -> Column:
     # sigma; every other one lower-cases to σ.  Runs are then title-cased
     # on their own: first character title case, the rest lower case.
     col = _c(c)
-    text = F.when(col.contains("\u03a3"), F.regexp_replace(col, FINAL_SIGMA_RE, "\u03c2")).otherwise(col)
+    text = F.when(col.contains("\u03a3"), F.regexp_replace(col, FINAL_SIGMA_RE, "$1\u03c2")).otherwise(col)
     runs = F.regexp_extract_all(text, F.lit(CASED_RUN_RE), 1)
     return F.array_join(F.transform(runs, lambda r: F.concat(
         F.initcap(F.substring(r, 1, 1)), F.lower(F.replace(F.substring(r, 2, 1 << 30), F.lit("Σ"), F.lit("σ"))))), "")
@@ -331,13 +365,17 @@ def token_count(c: ColumnOrName, encoder_factory: Callable | None = None) -> Col
     """Token count.  With ``encoder_factory`` (returns an object with
     ``encode(str) -> list``, e.g. a BPE encoder whose vocabulary is
     available on the executors) the count is exact, computed in an
-    Arrow-batched UDF with one encoder per batch; without it the native
+    Arrow-batched UDF with one encoder per task; without it the native
     approximation :func:`pretoken_count` is used."""
     if encoder_factory is None:
         return pretoken_count(c)
 
-    def count(s):  # pandas Series in, pandas Series out
+    import pandas as pd
+
+    def count(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         enc = encoder_factory()
-        return s.map(lambda v: None if v is None else len(enc.encode(v))).astype("Int64")
+        for s in batches:
+            yield s.map(lambda v: None if v is None else len(enc.encode(v))).astype("Int64")
 
+    count.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.Series]}
     return F.pandas_udf(count, "bigint")(_c(c))

@@ -16,18 +16,18 @@ import time
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from newsgraph.functions.text import (clean_json_text, extract_braces, fix_trailing_commas,
-                                      python_none_to_null, with_columns_once)
+from newsgraph.functions.text import extract_braces, repair_json, with_columns_once
 from newsgraph.session import materialize
 
 ANNOTATION = T.StructType([
     T.StructField("text", T.StringType()),
     T.StructField("topic", T.StringType()),
-    T.StructField("persons", T.ArrayType(T.StringType())),
+    T.StructField("persons", T.StringType()),  # a list as JSON text, or one name
     T.StructField("_corrupt_record", T.StringType()),
 ])
 
@@ -44,10 +44,10 @@ REPLY = T.StructType([
 
 TEXT_MARKER = "\n### TESTO\n"
 
-SYSTEM_ANNOTATE = "Sei un analista di notizie."
-SYSTEM_SUMMARY = "Sei un analista di notizie."
-SYSTEM_CLEAN = "Estrai e analizzi articoli di giornale."
-SYSTEM_CLUSTER = "You are a news analyzer."
+SYSTEM_ANNOTATE = "Leggi articoli e ne ricavi dati ordinati. Rispondi sempre in JSON."
+SYSTEM_SUMMARY = "Riassumi articoli in modo fedele e breve."
+SYSTEM_CLEAN = "Separi il testo di un articolo dal resto della pagina."
+SYSTEM_CLUSTER = "You sort short topic names into groups and answer in JSON."
 
 ANNOTATE_HEAD = (
     "Leggi l'articolo qui sotto, preso da una pagina web, e rispondi con un solo "
@@ -116,6 +116,7 @@ class CallSpec:
     max_tokens: int = 1024
     min_interval: float = 0.0       # seconds between calls of one caller
     on_error: str = "null"          # "null" or "empty"
+    model: str = ""                 # passed on to the client factory's caller; part of the store key
 
 
 ANNOTATE_CALL = CallSpec(SYSTEM_ANNOTATE, 1024)
@@ -146,7 +147,7 @@ def _call_batches(client_factory: Callable, spec: CallSpec):
                     errors.append(None)
                 except Exception as ex:  # the reply is marked, the run goes on
                     replies.append("" if spec.on_error == "empty" else None)
-                    errors.append(f"{type(ex).__name__}: {ex}"[:500])
+                    errors.append(f"{type(ex).__name__}: {ex}")
             yield pd.DataFrame({"prompt_key": b["prompt_key"], "reply": replies, "error": errors})
 
     return run
@@ -165,13 +166,16 @@ def call_model(df: DataFrame, prompt: Column, client_factory: Callable, spec: Ca
     to columns by name.
 
     With ``store`` (a folder in the shared file system) stored replies are
-    reused and only new prompts are sent, the new replies appended.  With
+    reused and only new prompts are sent, the new replies appended; a failed
+    call is not stored, so the next run sends it again.  The key covers the
+    model, the system line and the token limit besides the prompt.  With
     ``pin`` or ``store`` the input rows are written once to the shared
     folder (so the input plan is not run twice) and the replies too (so no
     recomputed stage calls the model again)."""
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    base = df.withColumn("prompt_key", F.sha2(prompt, 256))
+    call = F.lit(f"{spec.model}\x00{spec.system}\x00{spec.max_tokens}\x00")
+    base = df.withColumn("prompt_key", F.sha2(F.concat(call, prompt), 256))
     if store or pin:
         base = materialize(base, "prompted")
     todo = base.select("prompt_key", prompt.alias("prompt")).dropDuplicates(["prompt_key"])
@@ -179,13 +183,18 @@ def call_model(df: DataFrame, prompt: Column, client_factory: Callable, spec: Ca
     if store:
         try:
             stored = spark.read.schema(REPLY).parquet(store)
+        except AnalysisException as ex:
+            if ex.getCondition() != "PATH_NOT_FOUND":
+                raise
+        else:
             todo = todo.join(stored.select("prompt_key"), "prompt_key", "left_anti")
-        except Exception:  # nothing stored yet
-            stored = None
     replies = todo.repartition(n).mapInPandas(_call_batches(client_factory, spec), REPLY)
     if store:
-        replies.write.mode("append").parquet(store)
-        replies = spark.read.schema(REPLY).parquet(store).dropDuplicates(["prompt_key"])
+        replies = materialize(replies, "replies")
+        good = replies.where(F.col("error").isNull())
+        good.write.mode("append").parquet(store)
+        every = spark.read.schema(REPLY).parquet(store).dropDuplicates(["prompt_key"])
+        replies = every.unionByName(replies.where(F.col("error").isNotNull()))
     elif pin:
         replies = materialize(replies, "replies")
     return base.join(replies, "prompt_key", "left")
@@ -221,24 +230,36 @@ def parse_annotations(df: DataFrame, reply_col: str = "reply",
 
     accepted: rows whose reply holds a parseable non-empty object, with
     ``text`` replaced by the reply's text, ``topics`` and ``persons`` added;
-    a missing key gives null.  An empty object drops the row.  rejects: rows
-    whose object does not parse, with the reply and the extracted object."""
+    a missing key gives null, a bare string as persons is one person.  The
+    object is parsed as it was sent; only one that does not parse is
+    repaired (outside its strings) and parsed again.  An empty object drops
+    the row.  rejects: rows whose object does not parse and rows whose call
+    failed, with the reply, the extracted object and the error."""
     # three once-per-row steps, so no stage sees a costly input twice
-    parsed = with_columns_once(df, _j0=clean_json_text(extract_braces(F.col(reply_col))))
-    parsed = with_columns_once(parsed, _json=fix_trailing_commas(python_none_to_null(F.col("_j0"))))
-    parsed = with_columns_once(parsed.drop("_j0"), _ann=F.from_json(
-        F.col("_json"), ANNOTATION,
-        {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record", "allowSingleQuotes": "true"}))
-    empty = F.regexp_like(F.col("_json"), F.lit(r"^\{\s*\}$"))
-    bad = F.col("_ann").isNull() | F.col("_ann._corrupt_record").isNotNull()
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record", "allowSingleQuotes": "true",
+               "allowUnquotedControlChars": "true"}
+    broken = lambda c: F.col(c).isNull() | F.col(f"{c}._corrupt_record").isNotNull()
+    parsed = with_columns_once(df, _j0=extract_braces(F.col(reply_col)))
+    parsed = with_columns_once(parsed, _a0=F.from_json(F.col("_j0"), ANNOTATION, options))
+    parsed = with_columns_once(parsed, _json=F.when(broken("_a0"), repair_json(F.col("_j0"))).otherwise(F.col("_j0")))
+    parsed = with_columns_once(parsed, _ann=F.when(
+        broken("_a0"), F.from_json(F.col("_json"), ANNOTATION, options)).otherwise(F.col("_a0")))
+    parsed = parsed.drop("_j0", "_a0")
+    failed = F.col("error").isNotNull() if "error" in df.columns else F.lit(False)
+    empty = F.regexp_like(F.col("_json"), F.lit(r"^\{\s*\}$")) & ~failed
+    bad = broken("_ann") | failed
+    given = F.col("_ann.persons")
+    persons = (F.when(F.startswith(given, F.lit("[")), F.from_json(given, "array<string>"))
+               .when(given.isNotNull(), F.array(given)))
     base = [c for c in df.columns if c not in (reply_col, "text", *drop_columns)]
     accepted = (parsed.filter(~empty & ~bad)
                 .select(*base,
                         F.col("_ann.text").alias("text"),
                         F.col("_ann.topic").alias("topics"),
-                        F.col("_ann.persons").alias("persons")))
+                        persons.alias("persons")))
+    error = F.col("error") if "error" in df.columns else F.lit(None).cast("string")
     rejects = parsed.filter(~empty & bad).select(*base, F.col(reply_col).alias("reply"),
-                                                 F.col("_json").alias("json"))
+                                                 F.col("_json").alias("json"), error.alias("error"))
     return accepted, rejects
 
 
@@ -246,73 +267,3 @@ def drop_empty_topics(df: DataFrame, col: str = "topics") -> DataFrame:
     """Drop rows whose topic is the empty string.  Null topics stay here;
     they leave at the regroup, after their persons fed the surname map."""
     return df.filter(~F.col(col).eqNullSafe(F.lit("")))
-
-
-# --------------------------------------------------------------------------
-# Deterministic clients (tests, fixtures, dry runs)
-# --------------------------------------------------------------------------
-
-# Fixed patterns of the deterministic annotator.
-STUB_PERSON_RE = r"\p{Lu}\p{Ll}+(?: \p{Lu}\p{Ll}+)?"
-STUB_KEEP_RE = r"[^\p{L} ]"
-STUB_WORD_RE = r"\p{L}+"
-
-
-class StubAnnotator:
-    """Deterministic stand-in for the model: text = letters and spaces of
-    the whole article, topic = the first of ``topics`` found as a lower-cased
-    word of the article (empty if none), persons = capitalised words, or two
-    in a row, in text order."""
-
-    def __init__(self, topics: Sequence[str]):
-        self.topics = list(topics)
-
-    def complete(self, system: str, prompt: str, max_tokens: int) -> str:
-        import json
-
-        import regex
-
-        body = prompt_body(prompt)
-        words = set(regex.findall(STUB_WORD_RE, body.lower()))
-        topic = next((t for t in self.topics if t in words), "")
-        text = regex.sub(STUB_KEEP_RE, "", body)
-        persons = regex.findall(STUB_PERSON_RE, body)
-        return "Ecco: " + json.dumps({"text": text, "topic": topic, "persons": persons},
-                                     ensure_ascii=False) + " fine"
-
-
-class StubSummarizer:
-    """Deterministic summary: counts of words and full stops and the length
-    of the longest word of the whole text."""
-
-    def complete(self, system: str, prompt: str, max_tokens: int) -> str:
-        import regex
-
-        body = prompt_body(prompt)
-        words = regex.findall(STUB_WORD_RE, body)
-        longest = max((len(w) for w in words), default=0)
-        return f"{len(words)} parole, {body.count('.')} punti, parola piu' lunga: {longest} lettere"
-
-
-class StubCleaner:
-    """Deterministic cleaning: keeps letters, digits, spaces and . , of the
-    whole text."""
-
-    def complete(self, system: str, prompt: str, max_tokens: int) -> str:
-        import regex
-
-        return regex.sub(r"[^\p{L}\p{N} .,]", "", prompt_body(prompt))
-
-
-class StubClusterer:
-    """Deterministic topic clustering: the label of a topic is its last
-    word; members listed in the order given."""
-
-    def complete(self, system: str, prompt: str, max_tokens: int) -> str:
-        import json
-
-        out: dict[str, list[str]] = {}
-        for t in prompt_body(prompt, CLUSTER_MARKER).split("\n"):
-            if t:
-                out.setdefault(t.split()[-1] if t.split() else t, []).append(t)
-        return "Here it is: " + json.dumps(out, ensure_ascii=False)

@@ -158,7 +158,7 @@ def reachability_edges(points: DataFrame, cores: DataFrame, cut: float,
     return rep.groupBy("_g1", "_g2").applyInPandas(pairs, "a bigint, b bigint, w double")
 
 
-def connected_components(vertices: DataFrame, edges: DataFrame, max_rounds: int = 200) -> DataFrame:
+def connected_components(vertices: DataFrame, edges: DataFrame) -> DataFrame:
     """``(id, comp)`` with comp = smallest id of the component.
 
     Each round: min-label propagation over the edges, then a pointer jump
@@ -170,7 +170,7 @@ def connected_components(vertices: DataFrame, edges: DataFrame, max_rounds: int
     labels = cut_lineage(vertices.select("id", F.col("id").alias("comp")))
     total = F.sum(F.col("comp").cast("decimal(38,0)"))
     prev = labels.agg(total).first()[0]
-    for _ in range(max_rounds):
+    while True:
         prop = (e.join(labels.withColumnRenamed("id", "src"), "src")
                 .select(F.col("dst").alias("id"), "comp"))
         step = labels.union(prop).groupBy("id").agg(F.min("comp").alias("comp"))
@@ -182,7 +182,6 @@ def connected_components(vertices: DataFrame, edges: DataFrame, max_rounds: int
         if cur == prev:
             return labels
         prev = cur
-    raise RuntimeError(f"components did not settle in {max_rounds} rounds")
 
 
 def density_components(points: DataFrame, cut: float, min_samples: int = MIN_SAMPLES,

@@ -27,7 +27,7 @@ SIZE_BASE, SIZE_SCALE = 200.0, 2000.0
 
 class LayoutError(ValueError):
     def __init__(self, layout: str):
-        super().__init__(f"Invalid layout type: {layout!r}. Available layouts: {', '.join(LAYOUTS)}.")
+        super().__init__(f"no layout is called {layout!r}; choose one of {', '.join(LAYOUTS)}")
         self.layout = layout
 
 
@@ -65,13 +65,13 @@ def explode_array_columns(df: DataFrame, columns: Sequence[str], order_col: str
     order an explode of the table gives: (row, element position).  An empty
     or null list keeps one row with a null value."""
     arrays = [c for c in columns if isinstance(df.schema[c].dataType, T.ArrayType)]
-    out = df.withColumn("_sub", F.lit(0).cast("bigint"))
+    out, places = df, []
     for c in arrays:
         out = (out.select("*", F.posexplode_outer(c).alias(f"_{c}_pos", f"_{c}_val"))
                .drop(c).withColumnRenamed(f"_{c}_val", c)
-               .withColumn("_sub", F.col("_sub") * F.lit(1 << 20) + F.coalesce(F.col(f"_{c}_pos"), F.lit(0)))
-               .drop(f"_{c}_pos"))
-    return out.withColumn(order_col, F.struct(F.col(order_col), F.col("_sub"))).drop("_sub")
+               .withColumn(f"_{c}_pos", F.coalesce(F.col(f"_{c}_pos"), F.lit(0))))
+        places.append(f"_{c}_pos")
+    return out.withColumn(order_col, F.struct(F.col(order_col), *[F.col(p) for p in places])).drop(*places)
 
 
 def endpoints(df: DataFrame, relationships, order_col: str = "row_ord") -> DataFrame:

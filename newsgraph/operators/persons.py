@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from newsgraph.functions.text import title_case, ws_tokens
+from newsgraph.session import materialize
 
 REGROUP_KEYS = ("title", "newspaper", "link", "date", "text", "topics")
 
@@ -50,13 +51,15 @@ def complete_surnames(persons: DataFrame, order_cols: Sequence[str] = ("row_ord"
     full = (tagged.filter(F.col("_ntok") >= 2)
             .groupBy(F.col("_last").alias("_surname"))
             .agg(F.max_by("person", order).alias("_full")))
-    out = tagged.join(full, (F.col("_ntok") == 1) & (F.col("_last") == F.col("_surname")), "left")
-    return (out.withColumn("person", F.coalesce(F.col("_full"), F.col("person")))
-            .drop("_ntok", "_last", "_surname", "_full"))
+    # only one-word names can match: the others do not enter the join
+    single = tagged.filter(F.col("_ntok") == 1).join(full, F.col("_last") == F.col("_surname"), "left")
+    single = single.withColumn("person", F.coalesce(F.col("_full"), F.col("person")))
+    rest = tagged.filter((F.col("_ntok") != 1) | F.col("_ntok").isNull())
+    return single.select(*persons.columns).unionByName(rest.select(*persons.columns))
 
 
 def regroup_persons(articles: DataFrame, persons: DataFrame, keys: Sequence[str] = REGROUP_KEYS,
-                    order_col: str = "row_ord") -> DataFrame:
+                    order_col: str = "row_ord", keep_order: bool = False) -> DataFrame:
     """One row per distinct article key with its persons in row order
     (duplicates kept).  A row with a null key is dropped.  Null persons
     (from empty lists) are left out, so such an article has an empty list.
@@ -74,16 +77,28 @@ def regroup_persons(articles: DataFrame, persons: DataFrame, keys: Sequence[str]
         F.array_sort(F.collect_list(F.struct(F.col(order_col).alias("o"),
                                              F.coalesce("_plist", F.array().cast("array<string>")).alias("l"))))
         .alias("_lists"))
-    return grouped.select(*keys, F.flatten(F.transform("_lists", lambda x: x["l"])).alias("persons"))
+    order = [F.col("_lists")[0]["o"].alias(order_col)] if keep_order else []
+    return grouped.select(*keys, F.flatten(F.transform("_lists", lambda x: x["l"])).alias("persons"), *order)
+
+
+def numbered(articles: DataFrame, order_col: str = "row_ord") -> DataFrame:
+    """``articles`` as a written table whose ``order_col`` is unique and
+    keeps the rows' order (rows that share a place, or have none, follow
+    their key columns): one range sort, then a row number per partition."""
+    ties = [c for c in REGROUP_KEYS if c in articles.columns and c != "text"]
+    ordered = articles.orderBy(F.col(order_col).asc_nulls_last(), *ties)
+    return materialize(ordered.withColumn(order_col, F.monotonically_increasing_id()), "numbered")
 
 
 def process_persons(articles: DataFrame, keys: Sequence[str] = REGROUP_KEYS, order_col: str = "row_ord",
                     pandas_compat: bool = False, sort_keys: bool = False) -> DataFrame:
-    """Explode → title-case → complete surnames (over all rows, null keys
-    included) → regroup.  ``sort_keys`` orders the result by the keys, as
-    the reference's grouping returns it (a range-partitioned sort)."""
+    """Number the rows → explode → title-case → complete surnames (over all
+    rows, null keys included) → regroup; each article carries the smallest
+    number of its rows as ``order_col``.  ``sort_keys`` orders the result by
+    the keys, as a sorted grouping returns it (a range-partitioned sort)."""
+    articles = numbered(articles, order_col)
     p = explode_persons(articles, order_col)
     p = title_persons(p, pandas_compat)
     p = complete_surnames(p, (order_col, "pos"))
-    out = regroup_persons(articles, p, keys, order_col)
+    out = regroup_persons(articles, p, keys, order_col, keep_order=True)
     return out.orderBy(*keys) if sort_keys else out

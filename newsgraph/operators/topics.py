@@ -13,8 +13,9 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newsgraph.functions.text import clean_json_text, extract_braces, fix_trailing_commas
+from newsgraph.functions.text import extract_braces, repair_json
 from newsgraph.operators.annotate import CLUSTER_CALL, call_model, cluster_prompt
+from newsgraph.session import materialize
 
 MAPPING_TYPE = "map<string,array<string>>"
 
@@ -85,17 +86,50 @@ def topic_batches(topics: DataFrame, batch_size: int = 200) -> DataFrame:
                     F.array_join(F.transform("_t", lambda x: x["topic"]), "\n").alias("prompt_lines")))
 
 
+def _placed(topics: DataFrame, client_factory: Callable, labels, batch_size: int, **kw) -> DataFrame:
+    """(member, label): what the model says of ``topics`` (topic, first_ord),
+    one call per batch."""
+    replies = call_model(topic_batches(topics, batch_size), cluster_prompt(F.col("prompt_lines"), labels),
+                         client_factory, CLUSTER_CALL, **kw)
+    raw = replies.withColumn("_j", extract_braces(F.col("reply")))
+    parsed = raw.withColumn("_json", F.when(
+        F.from_json("_j", MAPPING_TYPE, {"allowSingleQuotes": "true"}).isNull(), repair_json(F.col("_j"))).otherwise(F.col("_j")))
+    return reverse_mapping(mapping_from_json(parsed, "_json", ("first_ord",)))
+
+
 def cluster_with_model(df: DataFrame, client_factory: Callable, labels: Sequence[str] | None = None,
                        col: str = "topics", order_col: str = "row_ord", batch_size: int = 200,
                        partitions: int | None = None, store: str | None = None,
                        pin: bool = False) -> DataFrame:
     """Merge topics by a model: distinct topics are sent in batches, each
     reply (``{label: [topics]}``) is brace-extracted and parsed, and the
-    topics are remapped; a topic the model did not place stays."""
-    batches = topic_batches(distinct_topics(df, col, order_col), batch_size)
-    replies = call_model(batches, cluster_prompt(F.col("prompt_lines"), labels), client_factory,
-                         CLUSTER_CALL, partitions=partitions, store=store, pin=pin)
-    parsed = replies.withColumn("_json", fix_trailing_commas(clean_json_text(extract_braces(F.col("reply")))))
-    mapping = mapping_from_json(parsed, "_json", ("first_ord",))
-    return remap(df, col, reverse_mapping(mapping))
-
+    topics are remapped; a topic the model did not place stays.
+
+    More topics than one batch holds take several rounds: the labels found
+    are sent again, in order of their first topic, until one batch holds
+    them all (or a round merges nothing), so labels of different batches
+    are reconciled.  With given ``labels`` one round is enough."""
+    kw = {"partitions": partitions, "store": store, "pin": pin}
+    now = materialize(distinct_topics(df, col, order_col).select("topic", "first_ord"), "topics")
+    n = now.count()
+    placed = _placed(now, client_factory, labels, batch_size, **kw)
+    many = n > batch_size and not labels
+    if many:
+        placed = materialize(placed, "topic-labels")
+    total = placed
+    while many:
+        found = now.join(placed, now["topic"] == placed["member"], "left").select(
+            F.coalesce("label", "topic").alias("topic"), "first_ord")
+        now = materialize(found.groupBy("topic").agg(F.min("first_ord").alias("first_ord")), "topics")
+        left = now.count()
+        placed = materialize(_placed(now, client_factory, labels, batch_size, **kw), "topic-labels")
+        step = placed.select(F.col("member").alias("_m"), F.col("label").alias("_l"))
+        # topics that stayed as they were can be placed now, too
+        fresh = placed.join(total.select("member"), "member", "left_anti")
+        total = materialize(
+            total.join(step, total["label"] == step["_m"], "left").select("member", F.coalesce("_l", "label").alias("label"))
+            .unionByName(fresh), "topic-labels")
+        if left <= batch_size or left >= n:
+            break
+        n = left
+    return remap(df, col, total)

@@ -23,26 +23,24 @@ from newsgraph.functions.text import ws_tokens
 W2V_DIM, W2V_WINDOW, W2V_MIN_COUNT = 100, 5, 1
 
 
-W2V_MAX_PARTITIONS = 32  # per-partition updates are averaged: more partitions train faster, less exactly
+W2V_PARTITIONS = 8       # parallel parts of the training; fixed, as the vectors depend on it
+W2V_PASSES = 5
 
 
 def train_word2vec(df: DataFrame, col: str = "topics", dim: int = W2V_DIM, window: int = W2V_WINDOW,
                    min_count: int = W2V_MIN_COUNT, seed: int = 42, partitions: int | None = None):
     """Word2Vec over the whitespace words of every non-null topic row.
 
-    Training runs in ``partitions`` parallel parts (default: the session's
-    parallelism, at most ``W2V_MAX_PARTITIONS``); ``partitions=1`` gives
-    vectors that repeat exactly for the same seed and data."""
+    Training makes ``W2V_PASSES`` passes in ``partitions`` parallel parts, of
+    rows in a fixed order, so the vectors follow from the data and the seed
+    and not from the number of cores."""
     from pyspark.ml.feature import Word2Vec
 
-    if partitions is None:
-        try:
-            partitions = max(1, min(df.sparkSession.sparkContext.defaultParallelism, W2V_MAX_PARTITIONS))
-        except Exception:
-            partitions = 1
+    partitions = partitions or W2V_PARTITIONS
     words = df.filter(F.col(col).isNotNull()).select(ws_tokens(F.col(col)).alias("_words"))
+    words = words.repartition(partitions, F.xxhash64("_words")).sortWithinPartitions("_words")
     w2v = Word2Vec(vectorSize=dim, windowSize=window, minCount=min_count, seed=seed,
-                   numPartitions=partitions, inputCol="_words", outputCol="_vec")
+                   numPartitions=partitions, maxIter=W2V_PASSES, inputCol="_words", outputCol="_vec")
     return w2v.fit(words)
 
 
@@ -129,8 +127,11 @@ def seeded_kmeans(points: DataFrame, seeds: list[list[float]], vec_col: str = "v
 
             w = F.col(weight_col).cast("double") if weight_col else F.lit(1.0)
             var = (pts.select(array_to_vector(F.col(vec_col).cast("array<double>")).alias("_v"), w.alias("_w"))
-                   .agg(vector_to_array(Summarizer.variance(F.col("_v"), F.col("_w"))).alias("v"))
-                   .first()["v"])  # weighted: equal to the variance over all copies
+                   .withColumn("_q", F.transform(vector_to_array("_v"), lambda x: x * x))
+                   .agg(vector_to_array(Summarizer.mean(F.col("_v"), F.col("_w"))).alias("m"),
+                        vector_to_array(Summarizer.mean(array_to_vector("_q"), F.col("_w"))).alias("q")).first())
+            # population variance over all copies: the mean square less the squared mean
+            var = [q - m * m for q, m in zip(var["q"], var["m"])] if var["m"] else []
             threshold = tol * (sum(var) / len(var) if var else 0.0)
         rounds = fixed_iterations if fixed_iterations is not None else max_iter
         for _ in range(rounds):

@@ -22,6 +22,7 @@ from newsgraph.operators import persons as P
 from newsgraph.operators import topics as TP
 from newsgraph.operators import vectors as V
 from newsgraph.plans import fixtures as fx
+from newsgraph.plans import stand_ins as SI
 from newsgraph.plans import sql as S
 from newsgraph.plans import workflow as W
 from newsgraph.session import materialize
@@ -63,7 +64,6 @@ DENSITY_CUT = 1.14
 KMEANS_ROUNDS = 3
 WORD_VEC_SLOTS = 500
 GIVEN_TOPICS = ["plate", "widget", "ring"]
-STREAM_WATERMARK = "400 days"
 
 
 def _lst(values) -> str:
@@ -328,7 +328,7 @@ def q_prompt_clean(spark, d):
 
 
 def _stub_topic_sql(x: str) -> str:
-    words = f"regexp_extract_all(lower({x}), {S.lit(A.STUB_WORD_RE)}, 0)"
+    words = f"regexp_extract_all(lower({x}), {S.lit(SI.STUB_WORD_RE)}, 0)"
     whens = " ".join(f"WHEN list_contains({words}, {S.lit(t)}) THEN {S.lit(t)}" for t in fx.STUB_TOPICS)
     return f"CASE {whens} ELSE '' END"
 
@@ -338,17 +338,17 @@ def _stub_client(kind: str):
 
     def make():
         if kind == "annotate":
-            return A.StubAnnotator(topics)
+            return SI.StubAnnotator(topics)
         if kind == "summary":
-            return A.StubSummarizer()
-        return A.StubCleaner()
+            return SI.StubSummarizer()
+        return SI.StubCleaner()
     return make
 
 
 @query("annotate_stub", f"""
-SELECT doc_id, 'Ecco: {{"text": "' || regexp_replace(text, {S.lit(A.STUB_KEEP_RE)}, '', 'g')
+SELECT doc_id, 'Ecco: {{"text": "' || regexp_replace(text, {S.lit(SI.STUB_KEEP_RE)}, '', 'g')
        || '", "topic": "' || {_stub_topic_sql('text')} || '", "persons": ['
-       || array_to_string(list_transform(regexp_extract_all(text, {S.lit(A.STUB_PERSON_RE)}, 0), lambda x: '"' || x || '"'), ', ')
+       || array_to_string(list_transform(regexp_extract_all(text, {S.lit(SI.STUB_PERSON_RE)}, 0), lambda x: '"' || x || '"'), ', ')
        || ']}} fine' AS reply
 FROM documents""")
 def q_annotate_stub(spark, d):
@@ -359,9 +359,9 @@ def q_annotate_stub(spark, d):
 
 
 @query("summary_stub", f"""
-SELECT doc_id, CAST(len(regexp_extract_all(text, {S.lit(A.STUB_WORD_RE)}, 0)) AS VARCHAR) || ' parole, '
+SELECT doc_id, CAST(len(regexp_extract_all(text, {S.lit(SI.STUB_WORD_RE)}, 0)) AS VARCHAR) || ' parole, '
        || CAST(length(text) - length(replace(text, '.', '')) AS VARCHAR) || ' punti, parola piu'' lunga: '
-       || CAST(coalesce(list_max(list_transform(regexp_extract_all(text, {S.lit(A.STUB_WORD_RE)}, 0), lambda w: length(w))), 0) AS VARCHAR)
+       || CAST(coalesce(list_max(list_transform(regexp_extract_all(text, {S.lit(SI.STUB_WORD_RE)}, 0), lambda w: length(w))), 0) AS VARCHAR)
        || ' lettere' AS reply
 FROM documents""")
 def q_summary_stub(spark, d):
@@ -457,7 +457,7 @@ def q_topic_remap(spark, d):
 @query("topic_llm_merge", f"SELECT p_partkey, {S.ws_tokens('p_name')}[-1] AS topics FROM part")
 def q_topic_llm_merge(spark, d):
     pt = fx.part_topics(_t(spark, d, "part"))
-    merged = TP.cluster_with_model(pt, A.StubClusterer, batch_size=16)
+    merged = TP.cluster_with_model(pt, SI.StubClusterer, batch_size=16)
     return merged.select("p_partkey", "topics")
 
 
@@ -742,9 +742,9 @@ arts AS (
 fetched AS (SELECT a.*, {S.html_to_text('p.html')} AS page_text FROM arts a LEFT JOIN pages p ON a.link = p.url),
 ann AS (
   SELECT row_ord, title, newspaper, link, date,
-         regexp_replace(page_text, {S.lit(A.STUB_KEEP_RE)}, '', 'g') AS text,
+         regexp_replace(page_text, {S.lit(SI.STUB_KEEP_RE)}, '', 'g') AS text,
          {_stub_topic_sql('page_text')} AS topics,
-         regexp_extract_all(page_text, {S.lit(A.STUB_PERSON_RE)}, 0) AS persons
+         regexp_extract_all(page_text, {S.lit(SI.STUB_PERSON_RE)}, 0) AS persons
   FROM fetched WHERE length(page_text) < {AR.MAX_TEXT_CHARS}),
 merged AS (
   SELECT row_ord, title, newspaper, link, date, text, {S.ws_tokens('topics')}[-1] AS topics, persons
@@ -790,6 +790,56 @@ def q_process_articles(spark, d):
                       F.size("persons").alias("n_persons"))
 
 
+# ---------------------------------------------------------------------------
+# Failed calls (I-12, I-34) and hard pages (I-25)
+# ---------------------------------------------------------------------------
+
+def _outcomes(accepted: DataFrame, rejects: DataFrame) -> DataFrame:
+    return (accepted.select("row_ord", F.lit("accepted").alias("outcome"))
+            .union(rejects.select("row_ord", F.col("error").alias("outcome"))))
+
+
+def _asked(spark, d) -> DataFrame:
+    return fx.articles_from_documents(_t(spark, d, "documents")).drop("reply")
+
+
+@query("annotation_failures", """
+SELECT CAST(doc_id AS BIGINT) AS row_ord,
+       CASE WHEN length(text) % 5 = 0 THEN 'RuntimeError: busy' ELSE 'accepted' END AS outcome
+FROM documents""")
+def q_annotation_failures(spark, d):
+    """Every article is accepted, or rejected with the error of its call."""
+    asked = A.annotate(_asked(spark, d), lambda: SI.FailingAnnotator(fx.STUB_TOPICS), fx.QUERY, fx.STUB_TOPICS, pin=True)
+    return _outcomes(*A.parse_annotations(asked))
+
+
+@query("annotation_retry", "SELECT CAST(doc_id AS BIGINT) AS row_ord, 'accepted' AS outcome FROM documents")
+def q_annotation_retry(spark, d):
+    """Failed calls are not stored: the next run sends them again."""
+    from newsgraph.session import scratch_path
+
+    store = scratch_path(spark, "reply-store")
+    for client in (SI.FailingAnnotator, SI.StubAnnotator):
+        asked = A.annotate(_asked(spark, d), lambda c=client: c(fx.STUB_TOPICS), fx.QUERY, fx.STUB_TOPICS, store=store)
+        out = _outcomes(*A.parse_annotations(asked))
+        if client is SI.FailingAnnotator:
+            out.count()
+    return out
+
+
+HARD_HTML = ("<img alt=\"x > y\">one<script>var s=\"<!--\";</script><![CDATA[two]]>&copy 2024 AT&ampT "
+             "&#0000000065;&#x0041&notit;<p title='a>b'><!-- <script> -->three</p>")
+HARD_HTML_TEXT = "onetwo\u00a9 2024 AT&T AA\u00acit;three"
+
+
+@query("html_to_text_hard", f"""
+SELECT page_id, {S.lit(HARD_HTML_TEXT)} || {S.html_to_text('html')} AS text FROM pages""")
+def q_html_to_text_hard(spark, d):
+    """Each page with a hard piece of HTML in front, whose text is stated."""
+    p = _t(spark, d, "pages")
+    return p.select("page_id", T.html_to_text(F.concat(F.lit(HARD_HTML), F.col("html"))).alias("text"))
+
+
 # ---------------------------------------------------------------------------
 # Incremental feed (E-1)
 # ---------------------------------------------------------------------------
@@ -800,8 +850,7 @@ WHERE list_has_any({S.ws_tokens('lower(newspaper)')}, {_acc_tokens(ACCEPTED_NAME
 def q_feed_stream(spark, d):
     """Feed replies derived from pages (one reply per page) are landed twice
     (the second landing repeats every article) and read in micro-batches of
-    four files; the stream keeps each link once.  The watermark spans more
-    than the feed's days, so no article is late."""
+    four files; the stream keeps each link once, with its default settings."""
     import os
 
     from newsgraph.session import scratch_path
@@ -815,6 +864,6 @@ def q_feed_stream(spark, d):
     for i in range(2):
         replies.write.json(os.path.join(base, "in", f"landing-{i}"))
     q = run_feed_stream(spark, os.path.join(base, "in", "*"), ACCEPTED_NAMES, os.path.join(base, "out"),
-                        os.path.join(base, "ckpt"), watermark=STREAM_WATERMARK, max_files_per_trigger=4)
+                        os.path.join(base, "ckpt"), max_files_per_trigger=4)
     q.awaitTermination()
     return spark.read.parquet(os.path.join(base, "out")).select("row_ord", "title", "newspaper", "link", "date")

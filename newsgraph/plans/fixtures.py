@@ -35,6 +35,11 @@ ANCHOR_RE = r'<a href="([^"]*)">([^<]*)</a>'
 # Defects injected into model replies, by doc_id divisibility, first match wins.
 MISSING_COMMA, NO_BRACES, NO_TOPIC_KEY, SINGLE_QUOTES, TRAILING_COMMA = 17, 31, 29, 23, 19
 EMPTY_TOPIC, NO_PERSONS = 13, 11
+# Replies that are valid and hard to read: quotes, a bare word and a bracket
+# inside the text (not in single-quoted replies), a bare string as persons.
+HARD_TEXT, STRING_PERSONS = 7, 41
+HARD_WORDS = ' Disse \u201cciao\u201d: None, [a, ] "x" l\u2019altro'
+ONE_PERSON = "Mario Rossi"
 STUB_TOPICS = ("the", "les", "der", "los", "und", "con")
 QUERY = "elezioni europee"
 
@@ -111,11 +116,14 @@ def reply_parts(documents: DataFrame) -> DataFrame:
     """``doc_id`` and the fields the deterministic annotator puts in its
     reply: letters and spaces of the whole text, topic, persons."""
     d = F.col("doc_id")
-    persons = F.when(_divisible(d, NO_PERSONS), F.array().cast("array<string>")).otherwise(
-        F.regexp_extract_all(F.col("text"), F.lit(REPLY_PERSON_RE), 0))
+    persons = (F.when(_divisible(d, STRING_PERSONS), F.array(F.lit(ONE_PERSON)))
+               .when(_divisible(d, NO_PERSONS), F.array().cast("array<string>")).otherwise(
+        F.regexp_extract_all(F.col("text"), F.lit(REPLY_PERSON_RE), 0)))
+    hard = _divisible(d, HARD_TEXT) & ~_divisible(d, SINGLE_QUOTES)
     return documents.select(
         "doc_id", "lang", "source", "text",
-        F.regexp_replace(F.col("text"), REPLY_KEEP_RE, "").alias("r_text"),
+        F.concat(F.regexp_replace(F.col("text"), REPLY_KEEP_RE, ""),
+                 F.when(hard, F.lit(HARD_WORDS)).otherwise(F.lit(""))).alias("r_text"),
         F.when(_divisible(d, EMPTY_TOPIC), F.lit("")).otherwise(F.col("source")).alias("r_topic"),
         persons.alias("r_persons"))
 
@@ -126,7 +134,8 @@ def replies_from_documents(documents: DataFrame) -> DataFrame:
     d = F.col("doc_id")
     plist = F.concat(F.lit("["), F.array_join(F.transform("r_persons", lambda x: F.concat(F.lit('"'), x, F.lit('"'))), ", "),
                      F.lit("]"))
-    text_kv = F.concat(F.lit('"text": "'), F.col("r_text"), F.lit('"'))
+    plist = F.when(_divisible(d, STRING_PERSONS), F.lit(f'"{ONE_PERSON}"')).otherwise(plist)
+    text_kv = F.concat(F.lit('"text": "'), F.replace(F.col("r_text"), F.lit('"'), F.lit('\\"')), F.lit('"'))
     topic_kv = F.concat(F.lit('"topic": "'), F.col("r_topic"), F.lit('"'))
     persons_kv = F.concat(F.lit('"persons": '), plist)
     normal = F.concat(F.lit("{"), F.concat_ws(", ", text_kv, topic_kv, persons_kv), F.lit("}"))

@@ -14,6 +14,7 @@ from newsgraph.operators import annotate as A
 from newsgraph.operators.graph import ArticleGraph
 from newsgraph.operators.persons import REGROUP_KEYS
 from newsgraph.plans import fixtures as fx
+from newsgraph.plans import stand_ins as SI
 from newsgraph.plans import workflow as W
 
 # Fixed run parameters: the window covers every feed day, the accepted
@@ -25,7 +26,7 @@ FLAGSHIP_RELS = [("newspaper", "topics", "covers"), ("newspaper", "persons", "ci
 
 
 def _annotator():
-    return A.StubAnnotator(fx.STUB_TOPICS)
+    return SI.StubAnnotator(fx.STUB_TOPICS)
 
 
 def processed_articles(spark: SparkSession, sf_dir: str, pin: bool = True) -> tuple[DataFrame, DataFrame]:
@@ -33,7 +34,7 @@ def processed_articles(spark: SparkSession, sf_dir: str, pin: bool = True) -> tu
     pages = fx.table(spark, sf_dir, "pages")
     arts = W.collect_articles(fx.feed_items_from_pages(pages), run)
     return W.process_articles(arts, pages.select("url", "html"), run, _annotator,
-                              cluster_client_factory=A.StubClusterer, cluster="model", pin=pin)
+                              cluster_client_factory=SI.StubClusterer, cluster="model", pin=pin)
 
 
 def flagship_graph(spark: SparkSession, sf_dir: str, pin: bool = True) -> ArticleGraph:

@@ -111,16 +111,19 @@ def _div(n: int) -> str:
 REPLY_PARTS = f"""
 reply_parts AS (
   SELECT doc_id, lang, source, text,
-         regexp_replace(text, {lit(fx.REPLY_KEEP_RE)}, '', 'g') AS r_text,
+         regexp_replace(text, {lit(fx.REPLY_KEEP_RE)}, '', 'g')
+           || CASE WHEN {_div(fx.HARD_TEXT)} AND NOT ({_div(fx.SINGLE_QUOTES)}) THEN {lit(fx.HARD_WORDS)} ELSE '' END AS r_text,
          CASE WHEN {_div(fx.EMPTY_TOPIC)} THEN '' ELSE source END AS r_topic,
-         CASE WHEN {_div(fx.NO_PERSONS)} THEN CAST([] AS VARCHAR[])
+         CASE WHEN {_div(fx.STRING_PERSONS)} THEN [{lit(fx.ONE_PERSON)}]
+              WHEN {_div(fx.NO_PERSONS)} THEN CAST([] AS VARCHAR[])
               ELSE regexp_extract_all(text, {lit(fx.REPLY_PERSON_RE)}, 0) END AS r_persons
   FROM documents)"""
 
 REPLIES = REPLY_PARTS + f""",
 reply_kv AS (
-  SELECT *, '"text": "' || r_text || '"' AS text_kv, '"topic": "' || r_topic || '"' AS topic_kv,
-         '"persons": [' || array_to_string(list_transform(r_persons, lambda x: '"' || x || '"'), ', ') || ']' AS persons_kv
+  SELECT *, '"text": "' || replace(r_text, '"', chr(92) || '"') || '"' AS text_kv, '"topic": "' || r_topic || '"' AS topic_kv,
+         '"persons": ' || CASE WHEN {_div(fx.STRING_PERSONS)} THEN '"' || {lit(fx.ONE_PERSON)} || '"' ELSE
+           '[' || array_to_string(list_transform(r_persons, lambda x: '"' || x || '"'), ', ') || ']' END AS persons_kv
   FROM reply_parts),
 replies AS (
   SELECT doc_id, lang, source, text, 'Ecco: ' || CASE

@@ -7,12 +7,12 @@ from __future__ import annotations
 
 import datetime as _dt
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newsgraph.functions.text import html_to_text
+from newsgraph.functions.text import html_to_text, with_columns_once
 from newsgraph.operators.annotate import (ANNOTATE_CALL, annotate_prompt, call_model, clean_texts,
                                           drop_empty_topics, parse_annotations)
 from newsgraph.operators.articles import (ARTICLE_COLUMNS, date_window, filter_newspapers,
@@ -38,15 +38,16 @@ class NewsRun:
     topics: Sequence[str] | None = None
     start_date: str | _dt.date | None = None
     end_date: str | _dt.date | None = None
-    limit: int = 10000
+    limit: int | None = None    # entries kept of each landed reply; none are cut by default
     country: str = "it"
     max_chars: int = 15000
+    model: str = ""             # model name: part of the store key
+    pause: float = 0.0          # seconds between two calls of one caller
     pandas_compat: bool = False
     model_partitions: int | None = None
     reply_store: str | None = None
     dedup_links: bool = False   # keep one row per link before the model calls
     sort_keys: bool = False     # order the result by the article keys, as the reference returns it
-    extra: dict = field(default_factory=dict)
 
 
 def collect_articles(replies: DataFrame, run: NewsRun) -> DataFrame:
@@ -60,23 +61,35 @@ def collect_articles(replies: DataFrame, run: NewsRun) -> DataFrame:
     if run.dedup_links:
         # an article returned for two newspapers is annotated once: the
         # first occurrence (lowest row order) is kept
-        first = arts.groupBy("link").agg(F.min("row_ord").alias("_first"))
-        arts = (arts.join(first, (arts["link"] == first["link"]) & (arts["row_ord"] == first["_first"]), "left_semi"))
+        whole = F.struct(*[F.col(c) for c in arts.columns])
+        first = arts.where("link is not null").groupBy("link").agg(F.min_by(whole, F.struct("row_ord", "title")).alias("_a"))
+        arts = first.select("_a.*").select(*arts.columns).unionByName(arts.where("link is null"))
     return arts
 
 
 def annotate_articles(articles: DataFrame, run: NewsRun, client_factory: Callable,
                       pin: bool = True) -> tuple[DataFrame, DataFrame]:
     """Length filter → model call (distinct prompts, pinned replies) →
-    parse → drop empty topics → project.  Returns (annotated, rejects)."""
+    parse → drop empty topics → project.  Returns (annotated, rejects): an
+    article whose text is too long, whose page could not be read, whose call
+    failed or whose reply does not parse is in rejects, with the reason in
+    ``error``."""
     arts = length_filter(articles, "text", run.max_chars, run.pandas_compat)
+    cut = F.when(F.col("text").isNull(), F.lit("no text")).otherwise(
+        F.concat(F.lit("text of "), F.length("text").cast("string"), F.lit(" characters")))
+    skipped = articles.filter(F.col("text").isNull() if not run.pandas_compat else F.lit(False)).unionByName(
+        articles.filter(F.length("text") >= run.max_chars))
+    call = replace(ANNOTATE_CALL, model=run.model, min_interval=run.pause)
     text = F.coalesce(F.col("text"), F.lit("None")) if run.pandas_compat else F.col("text")
     replied = call_model(arts, annotate_prompt(text, run.query, run.topics), client_factory,
-                         ANNOTATE_CALL, partitions=run.model_partitions, store=run.reply_store, pin=pin)
+                         call, partitions=run.model_partitions, store=run.reply_store, pin=pin)
     accepted, rejects = parse_annotations(replied)
     accepted = drop_empty_topics(accepted)
     keep = [c for c in ("row_ord", *PROCESSED_COLUMNS) if c in accepted.columns]
-    return accepted.select(*keep), rejects
+    own = [c for c in rejects.columns if c in skipped.columns]
+    skipped = skipped.select(*own, F.lit(None).cast("string").alias("reply"), F.lit(None).cast("string").alias("json"),
+                             cut.alias("error"))
+    return accepted.select(*keep), rejects.unionByName(skipped)
 
 
 def process_articles(articles: DataFrame, pages: DataFrame, run: NewsRun, client_factory: Callable,
@@ -89,7 +102,8 @@ def process_articles(articles: DataFrame, pages: DataFrame, run: NewsRun, client
 
     With ``keep`` the annotated table is written once to the shared folder:
     the topic merge and the persons steps read it several times."""
-    fetched = attach_pages(articles, pages).withColumn("text", html_to_text(F.col("html"))).drop("html")
+    # decoded once: the length filter and the prompt both read the text
+    fetched = with_columns_once(attach_pages(articles, pages), text=html_to_text(F.col("html"))).drop("html")
     if clean_client_factory is not None:  # optional model cleaning of the page text (off by default)
         fetched = clean_texts(fetched, clean_client_factory, partitions=run.model_partitions,
                               store=run.reply_store, pin=pin).drop("prompt_key", "error")
@@ -98,7 +112,7 @@ def process_articles(articles: DataFrame, pages: DataFrame, run: NewsRun, client
         annotated = materialize(annotated, "annotated")
     if cluster == "model":
         merged = cluster_with_model(annotated, cluster_client_factory or client_factory, run.topics,
-                                    partitions=run.model_partitions, pin=pin)
+                                    partitions=run.model_partitions, store=run.reply_store, pin=pin)
     elif cluster == "vectors":
         merged = cluster_topics(annotated, run.topics, density_cut=density_cut)
     elif cluster == "none":

@@ -41,8 +41,12 @@ DEFAULT_COUNTRY = "it"
 
 def row_order(source_idx: Column, position: Column) -> Column:
     """Order of an item in the concatenation of all replies: reply (source)
-    index in the high 32 bits, position in the reply in the low ones."""
-    return F.shiftleft(source_idx.cast("bigint"), 32) + position.cast("bigint")
+    index in the high 32 bits, position in the reply in the low ones.  A
+    reply as the service sends it has no source index (null): its items are
+    ordered by position.  Not unique over several landings; what gathers
+    rows uses a row number of its own (:func:`newsgraph.operators.persons.numbered`)."""
+    idx = F.coalesce(source_idx.cast("bigint"), F.lit(0).cast("bigint"))
+    return F.shiftleft(idx, 32) + position.cast("bigint")
 
 
 def search_queries(sources: DataFrame, query: str, source_col: str = "source") -> DataFrame:
@@ -65,17 +69,19 @@ def read_feed(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
     return spark.read.schema(FEED_REPLY).format(fmt).load(path)
 
 
-def feed_items(replies: DataFrame, limit: int = DEFAULT_LIMIT) -> DataFrame:
+def feed_items(replies: DataFrame, limit: int | None = None) -> DataFrame:
     """One row per reply entry, with its position and global row order.
 
-    A reply without results contributes nothing.  ``limit`` keeps the first
-    ``limit`` entries of each reply (the service's maximum count)."""
+    A reply without results contributes nothing.  Landed replies are read
+    whole; ``limit`` keeps the first ``limit`` entries of each reply (the
+    live source passes its limit to the service instead)."""
     items = replies.select(
         "source_idx", "keywords",
         F.posexplode(F.col("news_results")).alias("pos", "item"))
     position = F.coalesce(F.col("item.position"), F.col("pos"))
+    if limit is not None:
+        items = items.filter(F.col("pos") < F.lit(limit))
     return (items
-            .filter(F.col("pos") < F.lit(limit))
             .select(
                 "source_idx", "keywords",
                 position.cast("int").alias("position"),
@@ -95,16 +101,18 @@ def attach_pages(articles: DataFrame, pages: DataFrame, link_col: str = "link",
     """Page fetch as a join: each article gets the landed HTML of its link;
     a link with no page, or a page whose status is not 200, gives null.
 
-    Both sides are shuffled on the URL (sort-merge join); AQE turns it into
-    a broadcast join when the page side is measured small at run time.
-    ``dedupe`` keeps one page per URL (a sort-based aggregation of the
-    HTML rows); pass ``False`` for landed pages already keyed by URL."""
+    Pages that no article links to leave first, by a semi join on the
+    distinct links, so only wanted HTML is deduped.  ``dedupe`` keeps one
+    page per URL, the smallest HTML in byte order; pass ``False`` for landed
+    pages already keyed by URL.  A null link fetches nothing and does not
+    enter the join."""
     p = pages
     if "status" in p.columns:
         p = p.filter(F.col("status") == 200)
     p = p.select(F.col("url").alias("_url"), F.col(html_col).alias("_html"))
     if dedupe:
-        p = p.dropDuplicates(["_url"])
+        links = articles.where(F.col(link_col).isNotNull()).select(F.col(link_col).alias("_link")).distinct()
+        p = p.join(links, p["_url"] == links["_link"], "left_semi").groupBy("_url").agg(F.min("_html").alias("_html"))
     out = articles.join(p, articles[link_col] == p["_url"], "left").drop("_url")
     return out.withColumnRenamed("_html", html_col)
 

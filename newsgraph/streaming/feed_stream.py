@@ -1,11 +1,12 @@
 """Incremental feed: landed search replies picked up as they arrive.
 
 ``readStream`` over the reply folder → items → newspaper and day →
-event-time watermark on the day → ``dropDuplicatesWithinWatermark`` on the
-link (an article returned again, for another newspaper or a later search,
-is kept once) → newspaper filter → append to a parquet table.  Rows older
-than the watermark are dropped as late (Spark judges lateness against the
-previous micro-batch's watermark).  The checkpoint lives in the shared
+``dropDuplicatesWithinWatermark`` on the link (an article returned again,
+for another newspaper or a later search, is kept once) → newspaper filter →
+append to a parquet table.  The watermark follows the time at which a reply
+is picked up, not the article's date: no article is ever late, however old
+its date, and ``remember`` only says how long a link stays known after it
+was picked up.  The checkpoint lives in the shared
 folder, so a restarted query resumes where it stopped."""
 
 from __future__ import annotations
@@ -21,24 +22,24 @@ from newsgraph.sources.feed import FEED_REPLY, feed_items
 
 
 def feed_stream(spark: SparkSession, replies_dir: str, accepted: Sequence[str],
-                watermark: str = "1 day", limit: int = 10000,
+                remember: str = "62 days",
                 max_files_per_trigger: int | None = None) -> DataFrame:
     """Streaming DataFrame of new articles (``title, newspaper, link, date,
     row_ord``)."""
     reader = spark.readStream.schema(FEED_REPLY)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    items = feed_items(reader.json(replies_dir), limit)
-    arts = normalize_feed(items).withColumn("_event", F.col("date").cast("timestamp"))
-    arts = arts.withWatermark("_event", watermark).dropDuplicatesWithinWatermark(["link"])
-    return filter_newspapers(arts.drop("_event"), list(accepted))
+    items = feed_items(reader.json(replies_dir))
+    arts = normalize_feed(items).withColumn("_seen", F.current_timestamp())
+    arts = arts.withWatermark("_seen", remember).dropDuplicatesWithinWatermark(["link"])
+    return filter_newspapers(arts.drop("_seen"), list(accepted))
 
 
 def run_feed_stream(spark: SparkSession, replies_dir: str, accepted: Sequence[str], sink_dir: str,
-                    checkpoint_dir: str, watermark: str = "1 day", available_now: bool = True,
+                    checkpoint_dir: str, remember: str = "62 days", available_now: bool = True,
                     max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Start the incremental feed into a parquet table (append mode)."""
-    df = feed_stream(spark, replies_dir, accepted, watermark, max_files_per_trigger=max_files_per_trigger)
+    df = feed_stream(spark, replies_dir, accepted, remember, max_files_per_trigger=max_files_per_trigger)
     w = (df.writeStream.format("parquet").outputMode("append")
          .option("path", sink_dir).option("checkpointLocation", checkpoint_dir))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")

@@ -7,6 +7,7 @@ import pytest
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
+from newsgraph.plans import stand_ins as SI
 from newsgraph.operators import annotate as A
 from newsgraph.operators import articles as AR
 from newsgraph.operators import graph as G
@@ -119,7 +120,7 @@ def test_call_model_store_reuses_replies(spark, tmp_path):
 
 def test_stub_annotator_reply_parses(spark):
     df = spark.createDataFrame([(1, "Mario Draghi parla con Draghi. the end")], "row_ord long, text string")
-    out = A.call_model(df, A.annotate_prompt(F.col("text"), "q", ["the"]), lambda: A.StubAnnotator(["the"]),
+    out = A.call_model(df, A.annotate_prompt(F.col("text"), "q", ["the"]), lambda: SI.StubAnnotator(["the"]),
                        A.ANNOTATE_CALL)
     acc, _ = A.parse_annotations(out)
     r = acc.first()
@@ -187,7 +188,7 @@ def test_representative_tie_first_seen(spark):
 def test_cluster_with_model_stub(spark):
     df = spark.createDataFrame([(i, t) for i, t in enumerate(["red plate", "hot plate", "blue ring", None])],
                                "row_ord long, topics string")
-    out = TP.cluster_with_model(df, A.StubClusterer, batch_size=2)
+    out = TP.cluster_with_model(df, SI.StubClusterer, batch_size=2)
     assert sorted((r.row_ord, r.topics) for r in out.collect()) == [
         (0, "plate"), (1, "plate"), (2, "ring"), (3, None)]
 
@@ -260,8 +261,8 @@ def test_workflow_with_model_cleaning(spark):
                                   (1, "t2", "Paper", "u2", dt.date(2024, 1, 1))],
                                  "row_ord long, title string, newspaper string, link string, date date")
     run = W.NewsRun(query="q", sources=["paper"], topics=["the"])
-    out, rej = W.process_articles(arts, pages, run, lambda: A.StubAnnotator(["the"]),
-                                  cluster_client_factory=A.StubClusterer, clean_client_factory=A.StubCleaner,
+    out, rej = W.process_articles(arts, pages, run, lambda: SI.StubAnnotator(["the"]),
+                                  cluster_client_factory=SI.StubClusterer, clean_client_factory=SI.StubCleaner,
                                   pin=False)
     rows = out.collect()
     assert [(r.title, r.topics, r.persons, r.text) for r in rows] == [

@@ -1,4 +1,4 @@
-"""Incremental feed: dedup within the watermark across micro-batches."""
+"""Incremental feed: one row per link across micro-batches."""
 
 import json
 import os
@@ -12,17 +12,15 @@ def _reply(idx, items):
                              for i, (t, l, d, n) in enumerate(items)]}
 
 
-def test_feed_stream_dedup_and_late_data(spark, tmp_path):
+def test_feed_stream_keeps_each_link_once_and_loses_none(spark, tmp_path):
     src, out, ckpt = (str(tmp_path / p) for p in ("in", "out", "ckpt"))
     os.makedirs(src)
     landings = [
         [_reply(0, [("a", "L1", "1/10/2024, 07:00 AM", "Paper A"), ("b", "L2", "1/11/2024", "Paper A")])],
-        [_reply(1, [("a again", "L1", "1/11/2024", "Paper B"),      # same link within the watermark: dropped
+        [_reply(1, [("a again", "L1", "1/11/2024", "Paper B"),      # same link: dropped
                     ("c", "L3", "1/12/2024", "Paper B"),            # new: kept
                     ("other", "L4", "1/12/2024", "Gazette")])],     # newspaper not accepted
-        # Spark judges lateness against the previous batch's watermark
-        # (here 1/10 - 2 days = 1/8 after the second landing)
-        [_reply(2, [("old", "L0", "1/1/2024", "Paper C"),           # older than the watermark: dropped
+        [_reply(2, [("old", "L0", "11/1/2023", "Paper C"),          # an old date is not late
                     ("e", "L5", "1/13/2024", "Paper C")])],         # new: kept
     ]
     for i, b in enumerate(landings):
@@ -30,8 +28,8 @@ def test_feed_stream_dedup_and_late_data(spark, tmp_path):
         with open(path, "w") as f:
             f.write("\n".join(json.dumps(r) for r in b))
         os.utime(path, (1_700_000_000 + 10 * i, 1_700_000_000 + 10 * i))  # arrival order
-    q = run_feed_stream(spark, src, ["paper"], out, ckpt, watermark="2 days", max_files_per_trigger=1)
+    q = run_feed_stream(spark, src, ["paper"], out, ckpt, max_files_per_trigger=1)
     q.awaitTermination()
     assert len([p for p in q.recentProgress if p["numInputRows"] > 0]) == 3
     got = sorted((r.link, r.title) for r in spark.read.parquet(out).collect())
-    assert got == [("L1", "a"), ("L2", "b"), ("L3", "c"), ("L5", "e")]
+    assert got == [("L0", "old"), ("L1", "a"), ("L2", "b"), ("L3", "c"), ("L5", "e")]

@@ -7,6 +7,7 @@ from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from conftest import SMALL_SF_DIR
+from newsgraph.plans import stand_ins as SI
 from newsgraph.operators import annotate as A
 from newsgraph.operators.graph import ArticleGraph
 from newsgraph.plans import fixtures as fx
@@ -17,7 +18,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
 def annotator():
-    return A.StubAnnotator(fx.STUB_TOPICS)
+    return SI.StubAnnotator(fx.STUB_TOPICS)
 
 
 class Refusing:
@@ -38,14 +39,14 @@ def test_readme_flow_with_reply_store(spark, tmp_path):
                   start_date="2024-01-01", end_date="2024-03-31", reply_store=str(tmp_path / "replies"))
     articles = collect_articles(read_feed(spark, landed), run)
     processed, rejects = process_articles(articles, pages.select("url", "html"), run, annotator,
-                                          cluster_client_factory=A.StubClusterer)
+                                          cluster_client_factory=SI.StubClusterer)
     first = sorted((r.link, r.topics, tuple(r.persons)) for r in processed.collect())
     assert first and rejects.count() == 0
     assert os.path.isdir(str(tmp_path / "replies"))
 
     # a second run sends nothing new: every annotation prompt is in the store
     again, _ = process_articles(collect_articles(read_feed(spark, landed), run), pages.select("url", "html"), run,
-                                Refusing, cluster_client_factory=A.StubClusterer)
+                                Refusing, cluster_client_factory=SI.StubClusterer)
     assert sorted((r.link, r.topics, tuple(r.persons)) for r in again.collect()) == first
 
     g = ArticleGraph.build(processed.withColumn("row_ord", F.struct("title", "link")),
