@@ -6,7 +6,7 @@ its members against one leader; only members left outside the bucket's main
 class are then compared with the members of other classes, and of those
 pairs only the ones that an exact bound lets through.
 
-The bound: a mark sets one of 1024 bits per element, so each bit that A has
+The bound: a mark sets one of 512 bits per element, so each bit that A has
 and B lacks stands for at least one element of A outside B, of weight one or
 more.  With a the share of A's weight outside B and b that of B's outside A,
 the similarity is at most ((1 - a) / (1 + a) + (1 - b) / (1 + b)) / 2: its
@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from newsgraph.llm import common as C
 
 SETS = "id long, h binary, c binary"
-MARK_WORDS = 16
+MARK_WORDS = 8
 MARKS = "bits array<long>, weight long"
 
 
@@ -37,17 +37,20 @@ def marks(rows: np.ndarray, h: np.ndarray, count: np.ndarray, n: int) -> list[pa
     return [C.list_of(bits.view(np.int64).ravel(), np.full(n, MARK_WORDS)), pa.array(weight)]
 
 
-def _may_link(threshold: float):
-    """The bound as a join condition between sides l and r."""
-    def only(a, b):
-        out = F.lit(0)
-        for i in range(MARK_WORDS):
-            out = out + F.bit_count(F.col(f"{a}.bits")[i].bitwiseAND(F.bitwise_not(F.col(f"{b}.bits")[i])))
-        return out
+def _marked(marked: DataFrame) -> DataFrame:
+    """Marks as plain columns: the words, how many bits are set, the weight."""
+    words = [F.col("bits")[i].alias(f"w{i}") for i in range(MARK_WORDS)]
+    ones = sum((F.bit_count(F.col("bits")[i]) for i in range(1, MARK_WORDS)), F.bit_count(F.col("bits")[0]))
+    return marked.select("id", *words, ones.alias("ones"), "weight")
+
 
-    a = only("l", "r") / F.col("l.weight")
-    b = only("r", "l") / F.col("r.weight")
-    return (1 - a) / (1 + a) + (1 - b) / (1 + b) >= 2 * threshold - 1e-9
+def _may_link(threshold: float):
+    """The bound as a join condition between sides l and r; with both = the
+    bits they share it reads 1 / (1 + a) + 1 / (1 + b) >= 1 + threshold."""
+    share = [F.bit_count(F.col(f"l.w{i}").bitwiseAND(F.col(f"r.w{i}"))) for i in range(MARK_WORDS)]
+    both = sum(share[1:], share[0])
+    part = lambda s: F.col(f"{s}.weight") / (F.col(f"{s}.weight") + F.col(f"{s}.ones") - both)
+    return part("l") + part("r") >= 1 + threshold - 1e-9
 
 
 def band_keys(signature: np.ndarray, rows: int) -> np.ndarray:
@@ -136,7 +139,7 @@ def classes(bands: DataFrame, marked: DataFrame, make_sets, threshold: float, na
     mixed = (labelled.groupBy("band", "root").agg(F.count(F.lit(1)).alias("n"))
              .groupBy("band").agg(F.count(F.lit(1)).alias("k"), F.max_by("root", F.struct("n", "root")).alias("main"))
              .where("k > 1").select("band", "main"))
-    rest = C.keep(labelled.join(mixed, "band").join(marked, "id"), f"{name}-mixed")
+    rest = C.keep(labelled.join(mixed, "band").join(_marked(marked), "id"), f"{name}-mixed")
     left, right = rest.where("root != main").alias("l"), rest.alias("r")
     more = (left.join(right, (F.col("l.band") == F.col("r.band")) & (F.col("l.root") != F.col("r.root"))
                       & _may_link(threshold))
