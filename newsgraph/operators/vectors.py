@@ -57,18 +57,19 @@ def mean_word_vectors(topics: DataFrame, words: DataFrame, col: str = "topic") -
     """Mean of word vectors from a given ``(word, vec)`` table: the
     averaging step alone, as joins and aggregations.  A word missing from
     the table is skipped; a topic with no known word gets no row."""
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from pyspark.ml.stat import Summarizer
+
     toks = topics.select(F.col(col).alias("topic"), F.posexplode(ws_tokens(F.col(col))).alias("wpos", "word"))
     joined = toks.join(words.select("word", F.col("vec")), "word", "inner")
-    dims = joined.select("topic", "wpos", F.posexplode("vec").alias("dim", "x"))
-    means = dims.groupBy("topic", "dim").agg(F.avg(F.col("x").cast("double")).alias("x"))
-    return (means.groupBy("topic")
-            .agg(F.array_sort(F.collect_list(F.struct("dim", "x"))).alias("_v"))
-            .select("topic", F.transform("_v", lambda e: e["x"]).alias("vec")))
+    vec = array_to_vector(F.col("vec").cast("array<double>"))
+    return joined.groupBy("topic").agg(vector_to_array(Summarizer.mean(vec)).alias("vec"))
 
 
 def kmeans(points: DataFrame, k: int, seed: int = 42, vec_col: str = "vec", max_iter: int = 300,
-           weight_col: str | None = None) -> DataFrame:
-    """Plain k-means (k-means|| start, fixed seed); adds ``cluster``."""
+           weight_col: str | None = None) -> tuple[DataFrame, list[list[float]]]:
+    """Plain k-means (k-means|| start, fixed seed): the points with
+    ``cluster``, and the centres."""
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.functions import array_to_vector
 
@@ -76,7 +77,8 @@ def kmeans(points: DataFrame, k: int, seed: int = 42, vec_col: str = "vec", max_
     km = KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol="_v", predictionCol="cluster")
     if weight_col:
         km = km.setWeightCol(weight_col)
-    return km.fit(p).transform(p).drop("_v")
+    model = km.fit(p)
+    return model.transform(p).drop("_v"), [list(map(float, c)) for c in model.clusterCenters()]
 
 
 def _centres_const(centres: list[list[float]]) -> Column:

@@ -62,7 +62,6 @@ CUSTOMER_RELS = [("c_name", "n_name", "lives_in"), ("n_name", "r_name", "part_of
                  ("c_name", "c_mktsegment", "segment")]
 DENSITY_CUT = 1.14
 KMEANS_ROUNDS = 3
-WORD_VEC_SLOTS = 500
 GIVEN_TOPICS = ["plate", "widget", "ring"]
 
 
@@ -476,12 +475,12 @@ def q_topic_representative(spark, d):
 # Vectors and clustering (I-27, I-41, I-43, I-44, I-45)
 # ---------------------------------------------------------------------------
 
-def _word_slot(w):
-    return F.pmod(F.ascii(w) * 31 + F.length(w) * 7 + F.ascii(F.reverse(w)), F.lit(WORD_VEC_SLOTS))
+def _word_slot(w, n: int):
+    return F.pmod((F.ascii(w) * 31 + F.length(w) * 7 + F.ascii(F.reverse(w))) * 7919, F.lit(n))
 
 
 def _word_slot_sql(w: str) -> str:
-    return f"(ascii({w}) * 31 + length({w}) * 7 + ascii(reverse({w}))) % {WORD_VEC_SLOTS}"
+    return f"((ascii({w}) * 31 + length({w}) * 7 + ascii(reverse({w}))) * 7919) % (SELECT count(*) FROM embeddings)"
 
 
 @query("topic_vector_mean", f"""
@@ -496,17 +495,23 @@ def q_topic_vector_mean(spark, d):
     part = _t(spark, d, "part")
     words = part.select(F.explode(T.ws_tokens("p_name")).alias("word")).distinct()
     emb = _t(spark, d, "embeddings")
-    wv = words.join(emb, emb["vec_id"] == _word_slot(F.col("word"))).select("word", F.col("embedding").alias("vec"))
+    wv = words.join(emb, emb["vec_id"] == _word_slot(F.col("word"), emb.count())).select("word", F.col("embedding").alias("vec"))
     means = V.mean_word_vectors(part.select(F.col("p_name").alias("topic")).distinct(), wv)
     return means.select("topic", F.posexplode("vec").alias("dim", "x")).withColumn("x", F.round("x", 6))
 
 
-@query("topic_word2vec")
+@query("topic_word2vec", "SELECT DISTINCT p_name AS topic, 100 AS dims, CAST(0 AS DOUBLE) AS off FROM part")
 def q_topic_word2vec(spark, d):
+    from pyspark.ml.functions import vector_to_array
+
     pt = fx.part_topics(_t(spark, d, "part"))
     model = V.train_word2vec(pt, "topics")
     vecs = V.topic_vectors(TP.distinct_topics(pt), model)
-    return vecs.select("topic", F.size("vec").alias("dims"))
+    # each topic's vector is the mean of its words' vectors
+    words = model.getVectors().select("word", vector_to_array("vector").alias("vec"))
+    means = V.mean_word_vectors(vecs.select("topic"), words).withColumnRenamed("vec", "mean")
+    off = F.array_max(F.zip_with("vec", "mean", lambda a, b: F.abs(a - b)))
+    return vecs.join(means, "topic").select("topic", F.size("vec").alias("dims"), F.round(off, 6).alias("off"))
 
 
 def _points(spark, d) -> DataFrame:
@@ -515,10 +520,14 @@ def _points(spark, d) -> DataFrame:
                                              F.lit(1).cast("bigint").alias("weight"))
 
 
-@query("kmeans_plain")
+@query("kmeans_plain", "SELECT vec_id, TRUE AS nearest, 10 AS n_clusters FROM embeddings")
 def q_kmeans_plain(spark, d):
-    out = V.kmeans(_points(spark, d), k=10, seed=42)
-    return out.select(F.col("id").alias("vec_id"), "cluster")
+    """Every point is assigned to the nearest of ten centres, none empty."""
+    out, centres = V.kmeans(_points(spark, d), k=10, seed=42)
+    near = V.assign(out.withColumnRenamed("cluster", "given"), centres)
+    n = out.select("cluster").distinct().count()
+    return near.select(F.col("id").alias("vec_id"), (F.col("cluster") == F.col("given")).alias("nearest"),
+                       F.lit(n).alias("n_clusters"))
 
 
 def _label_seeds(spark, d) -> list[list[float]]:

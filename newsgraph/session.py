@@ -85,6 +85,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(shared_dir(spark), "newsgraph", app, f"{name}-{uuid.uuid4().hex[:12]}")
 
 
+def drop_scratch(spark: SparkSession) -> None:
+    """Remove this application's intermediate tables from the shared folder.
+    Call it when the results are written: plans that read them end here."""
+    folder = os.path.dirname(scratch_path(spark, "any"))
+    sc = spark.sparkContext
+    path = sc._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared folder (survives executor loss,
     unlike a local checkpoint)."""

@@ -10,13 +10,13 @@ SMALL_SF_DIR = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
-def spark():
-    from newsgraph.session import build_session
+def spark(tmp_path_factory):
+    from newsgraph.session import build_session, drop_scratch
 
-    # The shared folder comes from the session's spark.checkpoint.dir; only
-    # when that is unset does the library make one (local sessions only).
-    s = build_session("local[4]", shuffle_partitions=4, app_name="newsgraph-tests")
+    s = build_session("local[4]", shuffle_partitions=4, app_name="newsgraph-tests",
+                      extra={"spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared"))})
     yield s
+    drop_scratch(s)
     s.stop()
 
 
