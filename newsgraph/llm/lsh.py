@@ -6,7 +6,7 @@ its members against one leader; only members left outside the bucket's main
 class are then compared with the members of other classes, and of those
 pairs only the ones that an exact bound lets through.
 
-The bound: a mark sets one of 512 bits per element, so each bit that A has
+The bound: a mark sets one of 1024 bits per element, so each bit that A has
 and B lacks stands for at least one element of A outside B, of weight one or
 more.  With a the share of A's weight outside B and b that of B's outside A,
 the similarity is at most ((1 - a) / (1 + a) + (1 - b) / (1 + b)) / 2: its
@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from newsgraph.llm import common as C
 
 SETS = "id long, h binary, c binary"
-MARK_WORDS = 8
+MARK_WORDS = 16
 MARKS = "bits array<long>, weight long"
 
 
