@@ -163,7 +163,9 @@ def normalise(records: DataFrame, folder: str) -> DataFrame:
     spark = records.sparkSession
     back = (revisits(records).groupBy("file").agg(F.collect_list(F.struct("seq", "refers_to")).alias("again")))
     files = records.select("file").distinct().join(back, "file", "left")
-    files = files.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "file")
+    # a list of few rows with much work each: dealt by a key of its own, which
+    # neither the join's partitioning nor coalescing takes over
+    files = files.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), F.xxhash64("file", F.lit(1)))
 
     def run(batches):
         for b in batches:
