@@ -29,7 +29,7 @@ from newsgraph.llm import common as C
 
 COSINE = 0.9
 TILE = 2048           # vectors per tile
-CHUNKS = 64           # ranges of the first coordinate in which tiles are cut
+CHUNKS = 64           # most ranges of the first coordinate in which tiles are cut
 STEP = 16             # coordinates accumulated at a time
 SLACK = 1e-9          # rounding of the partial sums
 
@@ -86,7 +86,9 @@ def tiles(vectors: DataFrame, axes: np.ndarray, d: int, name: str) -> DataFrame:
 
     placed = C.keep(C.map_arrow(vectors, first, T.StructType(
         [*vectors.schema.fields, T.StructField("x", T.DoubleType())])), f"{name}-placed")
-    cuts = sorted(set(placed.approxQuantile("x", [i / CHUNKS for i in range(1, CHUNKS)], 0.25 / CHUNKS)))
+    # ranges of several tiles each, as the last tile of a range is not full
+    n = max(1, min(CHUNKS, placed.count() // (8 * TILE)))
+    cuts = sorted(set(placed.approxQuantile("x", [i / n for i in range(1, n)], 0.25 / n))) if n > 1 else []
     chunk = F.lit(0)
     for c in cuts:  # at most CHUNKS of them
         chunk = chunk + (F.col("x") > c).cast("int")
