@@ -1,9 +1,11 @@
 """Substring dedup by paragraph MinHash banding.
 
-Paragraphs are the lines of a text; those of at least ``MIN_WORDS`` words
-take part.  Equal word sequences are one paragraph; each distinct one gets a
-MinHash signature over its runs of five words, banded for high recall
-(12 bands of 3: a pair at 0.8 shares none with probability 2e-4).  Colliding
+Paragraphs are the lines of a text; those with at least one word take part.
+Equal word sequences are one paragraph; each distinct one gets a MinHash
+signature over its runs of five words, banded for high recall (12 bands of
+3: a pair at 0.8 shares none with probability 2e-4).  A set too small to
+reach the threshold with any other set has its whole content as its one band,
+and a line under five words, one shingle of its own, needs none.  Colliding
 paragraphs are verified by exact Jaccard similarity, linked paragraphs
 cluster as components, and of each cluster the first occurrence (smallest
 doc_id, then position) stays, the others are removed.
@@ -27,7 +29,7 @@ from newsgraph.llm import lsh
 
 SIMILARITY = 0.8
 SHINGLE_WORDS = 5
-MIN_WORDS = 8
+MIN_WORDS = 1
 BANDS, ROWS = 12, 3
 _ENTRY = ("kind int, rid long, doc_id long, n int, at array<int>, pids array<long>, pid long, bands array<long>, "
           "bits array<long>, weight long")
@@ -65,6 +67,27 @@ def minhash(rows: np.ndarray, h: np.ndarray, n: int, k: int) -> np.ndarray:
     return out
 
 
+def bands(rows: np.ndarray, h: np.ndarray, n: int, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Band keys of n sets, flat, and how many each has.  A set of s shingles
+    with s / (s + 1) under the threshold only links with an equal one: its
+    one key is a hash of the whole set."""
+    size = C.row_counts(rows, n)
+    small = size < threshold * (size + 1) - 1e-9
+    keys = np.zeros((n, BANDS), np.int64)
+    large = np.flatnonzero(~small)
+    new = np.full(n, -1)
+    new[large] = np.arange(len(large))
+    own = ~small[rows]
+    keys[large] = lsh.band_keys(minhash(new[rows[own]], h[own], len(large), BANDS * ROWS), ROWS)
+    key = np.zeros(n, C.U64)
+    if len(rows):
+        first = np.flatnonzero(np.append(True, rows[1:] != rows[:-1]))
+        key[rows[first]] = C.mix64(np.add.reduceat(C.mix64(h), first))
+    keys[small, 0] = key[small].view(np.int64)
+    lengths = np.where(small, 1, BANDS)
+    return keys[np.arange(BANDS) < lengths[:, None]], lengths
+
+
 def distinct_shingles(rows: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Each (row, shingle) once, sorted by row and hash (cut to 48 bits)."""
     h = h >> C.U64(64 - C.SHINGLE_BITS)
@@ -74,7 +97,7 @@ def distinct_shingles(rows: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.n
     return rows[new], h[new]
 
 
-def _scan(batches):
+def _scan(batches, threshold: float):
     rid = TaskContext.get().partitionId() << 32
     ints, longs = pa.list_(pa.int32()), pa.list_(pa.int64())
     names = ["kind", "rid", "doc_id", "n", "at", "pids", "pid", "bands", "bits", "weight"]
@@ -96,7 +119,7 @@ def _scan(batches):
              C.list_of(pid[used], lengths), pa.nulls(m, pa.int64()), pa.nulls(m, longs), pa.nulls(m, longs),
              pa.nulls(m, pa.int64())], names)
         rid += m
-        at = np.flatnonzero(used)
+        at = np.flatnonzero(counts >= SHINGLE_WORDS)  # a shorter one equals no other's set
         _, first = np.unique(pid[at], return_index=True)
         at = at[np.sort(first)]
         if not len(at):
@@ -106,12 +129,12 @@ def _scan(batches):
         rows, h = C.shingles(words, len(flat), SHINGLE_WORDS)
         rows = new[rows]
         rows, h = distinct_shingles(rows[rows >= 0], h[rows >= 0])
-        keys = lsh.band_keys(minhash(rows, h, len(at), BANDS * ROWS), ROWS)
         m = len(at)
+        keys = bands(rows, h, m, threshold)
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.ones(m, np.int32)), pa.nulls(m, pa.int64()), b.column("doc_id").take(pa.array(owner[at])),
              pa.nulls(m, pa.int32()), pa.nulls(m, ints), pa.nulls(m, longs), pa.array(pid[at]),
-             C.list_of(keys.ravel(), np.full(m, BANDS)), *lsh.marks(rows, h, np.ones(len(h)), m)], names)
+             C.list_of(*keys), *lsh.marks(rows, h, np.ones(len(h)), m)], names)
 
 
 def _sets(b: pa.RecordBatch):
@@ -138,9 +161,9 @@ def clusters(docs: DataFrame, threshold: float = SIMILARITY) -> tuple[DataFrame,
     spark = docs.sparkSession
     C.use_small_batches(spark)
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    scan = C.keep(base.mapInArrow(_scan, _ENTRY), "para-scan")
+    scan = C.keep(base.mapInArrow(lambda it: _scan(it, threshold), _ENTRY), "para-scan")
     distinct = C.keep(scan.where("kind = 1").groupBy("pid", "bands", "bits", "weight").agg(F.min("doc_id").alias("doc_id")), "para-distinct")
-    bands = distinct.select(F.col("pid").alias("id"), F.explode("bands").alias("band"))
+    banded = distinct.select(F.col("pid").alias("id"), F.explode("bands").alias("band"))
 
     def make_sets(ids: DataFrame) -> DataFrame:
         where = (distinct.join(ids, distinct["pid"] == ids["id"]).groupBy("doc_id")
@@ -149,7 +172,7 @@ def clusters(docs: DataFrame, threshold: float = SIMILARITY) -> tuple[DataFrame,
         return C.map_arrow(found, _sets, lsh.SETS).dropDuplicates(["id"])
 
     linked = lsh.classes(
-        bands, distinct.select(F.col("pid").alias("id"), "bits", "weight"), make_sets, threshold, "para")
+        banded, distinct.select(F.col("pid").alias("id"), "bits", "weight"), make_sets, threshold, "para")
     docs_table = scan.where("kind = 0").select("rid", "doc_id", "n")
     each = (scan.where("kind = 0").select("rid", "doc_id", F.explode(F.arrays_zip("at", "pids")).alias("x"))
             .select("rid", "doc_id", "x.at", F.col("x.pids").alias("pid"))
@@ -157,11 +180,10 @@ def clusters(docs: DataFrame, threshold: float = SIMILARITY) -> tuple[DataFrame,
             .select("rid", "doc_id", "at", F.coalesce("root", "pid").alias("cluster")))
     each = C.keep(each, "para-each")
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "rid", "at")
-    many = (each.groupBy("cluster").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("cluster"))
-    twins = each.join(many, "cluster")
-    first = (twins.groupBy("cluster").agg(F.min(order).alias("f"))
+    # one join, on the written table: AQE splits a line that stands in many documents
+    first = (each.groupBy("cluster").agg(F.count(F.lit(1)).alias("k"), F.min(order).alias("f")).where("k > 1")
              .select("cluster", F.col("f.rid").alias("first_rid"), F.col("f.at").alias("first_at")))
-    twins = (twins.join(first, "cluster").select(
+    twins = (each.join(first, "cluster").select(
         "rid", "doc_id", "at", "cluster",
         ((F.col("rid") == F.col("first_rid")) & (F.col("at") == F.col("first_at"))).alias("first")))
     return docs_table, C.keep(twins, "para-twins")

@@ -60,5 +60,22 @@ def test_removals_match_brute_force(spark, extra):
     assert sum(r[3] for r in got) == sum(r[3] for r in want)
 
 
+def short_lines():
+    """Lines of one to seven words: copies, near copies, equal shingle sets."""
+    lines = ["Read more", "read, more!", "one", "home page of us", "a b c d e", "A-b c d e", "a b c d e f", "a b c d e g",
+             "x x x x x", "x x x x x x x", "a b c d e f g", "g f e d c b a", "p q r s t u v", "P q r s t, u v", "..."]
+    return [(i, "\n".join([line, "Read more", f"own{i}"]), "", "", 0) for i, line in enumerate(lines)]
+
+
+def test_short_lines_take_part(spark):
+    assert paragraphs.MIN_WORDS == 1
+    rows = short_lines()
+    got = sorted(tuple(r) for r in paragraphs.op9(brute.frame(spark, rows)).collect())
+    assert got == sorted(expected(rows))
+    at = {r[0]: r for r in got}
+    assert at[0] == (0, 3, 2, 1, "1") and at[1] == (1, 3, 2, 2, "0,1")
+    assert [at[i][4] for i in (5, 9, 13)] == ["0,1"] * 3
+
+
 def test_empty_table(spark):
     assert paragraphs.op9(brute.frame(spark, []).coalesce(1)).collect() == []
