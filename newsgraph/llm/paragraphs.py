@@ -54,16 +54,16 @@ def identities(words: C.Words, n: int) -> np.ndarray:
 
 
 def minhash(rows: np.ndarray, h: np.ndarray, n: int, k: int) -> np.ndarray:
-    """(n, k) minima of k multiplicative hashes over each row's elements."""
+    """(n, k) minima of k hashes over each row's elements, each mixed anew:
+    the registers of multiples of one number would agree too often."""
     out = np.full((n, k), np.iinfo(np.uint64).max, C.U64)
     if len(rows):
         first = np.flatnonzero(np.append(True, rows[1:] != rows[:-1]))
         own = rows[first]
         h = C.mix64(h)
         for j in range(k):
-            factor = C.U64((0x9E3779B97F4A7C15 * (2 * j + 1) | 1) & 0xFFFFFFFFFFFFFFFF)
-            x = h * factor
-            out[own, j] = np.minimum.reduceat(x ^ (x >> C.U64(29)), first)
+            step = C.U64(0x9E3779B97F4A7C15 * (j + 1) & 0xFFFFFFFFFFFFFFFF)
+            out[own, j] = np.minimum.reduceat(C.mix64(h + step), first)
     return out
 
 

@@ -1,8 +1,9 @@
 import random
 
+import numpy as np
 import pytest
 
-from newsgraph.llm import paragraphs
+from newsgraph.llm import lsh, paragraphs
 from tests.llm import brute
 
 
@@ -77,5 +78,23 @@ def test_short_lines_take_part(spark):
     assert [at[i][4] for i in (5, 9, 13)] == ["0,1"] * 3
 
 
+def missed(common, trials, seed=3):
+    """Share of random pairs at Jaccard 0.8 that share no band; ``common``
+    shingles are shared, an eighth as many are each side's own."""
+    own = common // 8
+    h = np.random.default_rng(seed).integers(0, 1 << 48, (trials, common + 2 * own), dtype=np.uint64)
+    def keys(x):
+        rows = np.repeat(np.arange(trials), x.shape[1])
+        sig = paragraphs.minhash(rows, x.ravel(), trials, paragraphs.BANDS * paragraphs.ROWS)
+        return lsh.band_keys(sig, paragraphs.ROWS)
+    return float((keys(h[:, :common + own]) != keys(np.delete(h, np.s_[common:common + own], 1))).all(1).mean())
+
+
+@pytest.mark.parametrize("common", [8, 40])
+def test_pairs_at_the_threshold_share_a_band(common):
+    assert (1 - 0.8 ** 3) ** 12 < 2e-4
+    assert missed(common, 20_000) < 1e-3  # 3.7 expected, 20 allowed
+
+
 def test_empty_table(spark):
     assert paragraphs.op9(brute.frame(spark, []).coalesce(1)).collect() == []
