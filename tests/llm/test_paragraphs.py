@@ -96,5 +96,21 @@ def test_pairs_at_the_threshold_share_a_band(common):
     assert missed(common, 20_000) < 1e-3  # 3.7 expected, 20 allowed
 
 
+def test_texts_without_id_get_only_their_own_paragraphs(spark, monkeypatch):
+    sizes, plain = [], paragraphs.C.map_arrow
+
+    def counted(df, fn, schema):
+        if "wanted" in df.columns:
+            sizes.extend((len(r.wanted), r.text.count("\n") + 1) for r in df.collect())
+        return plain(df, fn, schema)
+
+    monkeypatch.setattr(paragraphs.C, "map_arrow", counted)
+    line = "one line of some words that near copies of it change at the end by word"
+    rows = [(None, f"{line} {i}\nanother {line} x{i}", "", "", 0) for i in range(20)]
+    got = paragraphs.op9(brute.frame(spark, rows)).collect()
+    assert sum(r.n_removed for r in got) == sum(r[3] for r in expected(rows))
+    assert sizes and all(wanted <= lines for wanted, lines in sizes)
+
+
 def test_empty_table(spark):
     assert paragraphs.op9(brute.frame(spark, []).coalesce(1)).collect() == []
