@@ -79,17 +79,32 @@ def topic_batches(topics: DataFrame, batch_size: int = 200) -> DataFrame:
     first-seen order."""
     n = topics.count()
     buckets = max(1, -(-n // batch_size))
-    b = topics.withColumn("batch", F.pmod(F.xxhash64("topic"), F.lit(buckets)))
+    return _prompt_lines(topics.withColumn("batch", F.pmod(F.xxhash64("topic"), F.lit(buckets))))
+
+
+def _paired_batches(topics: DataFrame, groups: int, turn: int) -> DataFrame:
+    """Batches of two groups each, as a round-robin draw pairs them: in
+    ``groups - 1`` turns in a row (``groups`` is even) each two groups meet
+    once.  A topic's group follows from its first appearance, which its
+    label keeps whatever the model calls it."""
+    odd = groups - 1
+    g = F.pmod(F.xxhash64("first_ord"), F.lit(groups))
+    other = F.pmod(F.lit(turn % odd) - g, F.lit(odd))
+    alone = turn * (groups // 2) % odd  # the group that meets the last one
+    return _prompt_lines(topics.withColumn("batch", F.when(g == odd, F.lit(alone)).otherwise(F.least(g, other))))
+
+
+def _prompt_lines(b: DataFrame) -> DataFrame:
     return (b.groupBy("batch")
             .agg(F.array_sort(F.collect_list(F.struct("first_ord", "topic"))).alias("_t"))
             .select("batch", F.col("_t")[0]["first_ord"].alias("first_ord"),
                     F.array_join(F.transform("_t", lambda x: x["topic"]), "\n").alias("prompt_lines")))
 
 
-def _placed(topics: DataFrame, client_factory: Callable, labels, batch_size: int, **kw) -> DataFrame:
-    """(member, label): what the model says of ``topics`` (topic, first_ord),
+def _placed(batches: DataFrame, client_factory: Callable, labels, **kw) -> DataFrame:
+    """(member, label): what the model says of the topics in ``batches``,
     one call per batch."""
-    replies = call_model(topic_batches(topics, batch_size), cluster_prompt(F.col("prompt_lines"), labels),
+    replies = call_model(batches, cluster_prompt(F.col("prompt_lines"), labels),
                          client_factory, CLUSTER_CALL, **kw)
     raw = replies.withColumn("_j", extract_braces(F.col("reply")))
     parsed = raw.withColumn("_json", F.when(
@@ -107,29 +122,37 @@ def cluster_with_model(df: DataFrame, client_factory: Callable, labels: Sequence
 
     More topics than one batch holds take several rounds: the labels found
     are sent again, in order of their first topic, until one batch holds
-    them all (or a round merges nothing), so labels of different batches
-    are reconciled.  With given ``labels`` one round is enough."""
+    them all, or each two of them were in one call since the last merge
+    (groups of half a batch meet in a round-robin draw), so labels of
+    different batches are reconciled.  With given ``labels`` one round is
+    enough."""
     kw = {"partitions": partitions, "store": store, "pin": pin}
     now = materialize(distinct_topics(df, col, order_col).select("topic", "first_ord"), "topics")
     n = now.count()
-    placed = _placed(now, client_factory, labels, batch_size, **kw)
+    placed = _placed(topic_batches(now, batch_size), client_factory, labels, **kw)
     many = n > batch_size and not labels
     if many:
         placed = materialize(placed, "topic-labels")
     total = placed
+    groups = turn = quiet = 0
     while many:
         found = now.join(placed, now["topic"] == placed["member"], "left").select(
             F.coalesce("label", "topic").alias("topic"), "first_ord")
         now = materialize(found.groupBy("topic").agg(F.min("first_ord").alias("first_ord")), "topics")
         left = now.count()
-        placed = materialize(_placed(now, client_factory, labels, batch_size, **kw), "topic-labels")
+        if left < n or not groups:
+            groups, quiet = 2 * -(-left // batch_size), 0
+        elif quiet == groups - 1:
+            break
+        n, turn, quiet = left, turn + 1, quiet + 1
+        batches = topic_batches(now, batch_size) if left <= batch_size else _paired_batches(now, groups, turn)
+        placed = materialize(_placed(batches, client_factory, labels, **kw), "topic-labels")
         step = placed.select(F.col("member").alias("_m"), F.col("label").alias("_l"))
         # topics that stayed as they were can be placed now, too
         fresh = placed.join(total.select("member"), "member", "left_anti")
         total = materialize(
             total.join(step, total["label"] == step["_m"], "left").select("member", F.coalesce("_l", "label").alias("label"))
             .unionByName(fresh), "topic-labels")
-        if left <= batch_size or left >= n:
+        if left <= batch_size:
             break
-        n = left
     return remap(df, col, total)

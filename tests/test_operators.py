@@ -193,6 +193,39 @@ def test_cluster_with_model_stub(spark):
         (0, "plate"), (1, "plate"), (2, "ring"), (3, None)]
 
 
+class SynonymClusterer:
+    """Topics "t<k> <set>" of one set are synonyms; a set's label is the
+    first of its topics in the call, so it differs per batch."""
+
+    def complete(self, system: str, prompt: str, max_tokens: int) -> str:
+        import json
+
+        from newsgraph.operators.annotate import CLUSTER_MARKER, prompt_body
+
+        sets: dict[str, list[str]] = {}
+        for t in filter(None, prompt_body(prompt, CLUSTER_MARKER).split("\n")):
+            sets.setdefault(t.split()[-1], []).append(t)
+        return json.dumps({members[0]: members for members in sets.values()})
+
+
+def test_cluster_with_model_same_for_any_batch_size(spark):
+    names = [f"t{k} s{i}" for k in range(2) for i in range(20)]
+    df = spark.createDataFrame(list(enumerate(names)), "row_ord long, topics string")
+    for size in (8, 1000):
+        out = TP.cluster_with_model(df, SynonymClusterer, batch_size=size)
+        assert sorted((r.row_ord, r.topics) for r in out.collect()) == [(i, f"t0 s{i % 20}") for i in range(40)]
+
+
+def test_paired_batches_bring_each_two_topics_together(spark):
+    topics = spark.createDataFrame([(f"t{i}", i) for i in range(30)], "topic string, first_ord long").cache()
+    met = set()
+    for turn in range(3, 8):
+        for r in TP._paired_batches(topics, 6, turn).collect():
+            lines = r.prompt_lines.split("\n")
+            met |= {(a, b) for a in lines for b in lines}
+    assert len(met) == 30 * 30
+
+
 # --------------------------------------------------------------------------
 # Graph
 # --------------------------------------------------------------------------
