@@ -17,7 +17,9 @@ anywhere else, found by merging Burrows-Wheeler transforms of shards.
    far.  Rows in blocks of a single shard are settled and leave; after 25
    rounds the blocks are the 200-byte strings that two shards share, and a
    shard's own sorted rows give those within it.  Suffixes are sorted in
-   their shards only, never again.
+   their shards only, never again.  A gram whose representatives have more
+   than GROUP bytes is not merged: the hashes of its windows are counted,
+   combined on the map side, so no group of any size meets in one task.
 
 Matches never cross documents; positions are judged on the input.
 
@@ -47,8 +49,8 @@ SHARDS = 4
 PIECE = 1 << 18       # bytes scanned at a time
 PACK = 1 << 17        # bytes of segments merged at a time
 PART = 1 << 19        # segments listed in one row; longer texts take several
-HOT = 20_000          # classes of a gram beyond which groups are refined
-SIDE = SPAN // 2      # bytes beside the gram that refined groups agree on
+HOT = 20_000          # classes of a gram beyond which windows are counted
+GROUP = 1 << 20       # bytes of a gram's classes beyond which they are, too
 
 
 # -- scan -----------------------------------------------------------------
@@ -248,44 +250,48 @@ def cover(owner: np.ndarray, start: np.ndarray, end: np.ndarray):
 
 # -- the job ----------------------------------------------------------------
 
-def _fetch(b: pa.RecordBatch):
-    """Segment bytes of each wanted class; those of a hot gram in two parts
-    whose groups also agree on SIDE bytes before or after the gram."""
+def _wanted(b: pa.RecordBatch):
+    """(anchor, oid, windows, bytes) of each wanted class."""
     data, offsets = C.text_buffer(b.column("text"))
     wanted = b.column("wanted")
     which = np.repeat(np.arange(b.num_rows), wanted.value_lengths().to_numpy())
     w = wanted.flatten()
-    anchor, oid, lo, windows, hot = (w.field(i).to_numpy(zero_copy_only=False) for i in range(5))
-    out = []
+    anchor, oid, lo, windows = (w.field(i).to_numpy(zero_copy_only=False) for i in range(4))
     for i in range(len(which)):
         a = int(offsets[which[i]] + lo[i])
-        end = a + int(windows[i]) + LENGTH - 1
-        seg = data[a:end].tobytes()
-        if not hot[i]:
-            out.append((int(anchor[i]), int(oid[i]), 0, seg))
-            continue
-        gram = _gram_place(seg)
-        cut = max(0, min(int(windows[i]), gram - SIDE + 1))  # windows with SIDE bytes before the gram
-        for side, x, part, context in (
-                (b"L", 0, seg[:cut + LENGTH - 1] if cut else b"", seg[gram - SIDE:gram]),
-                (b"R", cut, seg[cut:], seg[gram + GRAM:gram + GRAM + SPAN - SIDE])):
-            if len(part) >= LENGTH:
-                h = hashlib.blake2b(context, digest_size=8, key=side,
-                                    salt=int(anchor[i]).to_bytes(8, "little", signed=True)).digest()
-                out.append((int.from_bytes(h, "little", signed=True), int(oid[i]), x, part))
-    cols = list(zip(*out)) or [[]] * 4
-    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(
-        cols, (pa.int64(), pa.int64(), pa.int32(), pa.binary()))], ["grp", "oid", "shift", "bytes"])
+        yield int(anchor[i]), int(oid[i]), int(windows[i]), data[a:a + int(windows[i]) + LENGTH - 1]
 
 
-def _gram_place(seg: bytes) -> int:
-    """Where the gram that all windows of a segment share stands in it."""
-    data = np.frombuffer(seg, np.uint8)
-    prefix = C.prefix_hash(data)
-    last = len(data) - LENGTH      # the gram lies in the first and in the last window
-    at = np.arange(last, SPAN)
-    h = C.span_hash(prefix, at, at + GRAM) & ~C.U64(0xFFFFFF)
-    return int(at[np.argmin(h)])
+def _fetch(b: pa.RecordBatch):
+    """Segment bytes of each wanted class."""
+    cols = list(zip(*((anchor, oid, seg.tobytes()) for anchor, oid, _, seg in _wanted(b)))) or [[]] * 3
+    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(
+        cols, (pa.int64(), pa.int64(), pa.binary()))], ["grp", "oid", "bytes"])
+
+
+def _window_hashes(b: pa.RecordBatch):
+    """Hashes of the windows of each wanted class, in order of position."""
+    anchors, oids, lengths, hashes = [], [], [], [np.zeros(0, C.U64)]
+    for anchor, oid, windows, seg in _wanted(b):
+        at = np.arange(windows)
+        anchors.append(anchor)
+        oids.append(oid)
+        lengths.append(windows)
+        hashes.append(C.span_hash(C.prefix_hash(seg), at, at + LENGTH))
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(anchors, pa.int64()), pa.array(oids, pa.int64()),
+         C.list_of(np.concatenate(hashes).view(np.int64), np.array(lengths, np.int64))], ["anchor", "oid", "hashes"])
+
+
+def _counted(hashes: DataFrame) -> DataFrame:
+    """(oid, s, e): the stretch of each class that windows cover which
+    another class of its gram has too.  Windows of a segment hold one place
+    of the gram, so they are all different and any two of them overlap."""
+    each = hashes.select("anchor", "oid", F.posexplode("hashes").alias("at", "h"))
+    twice = (each.groupBy("anchor", "h").agg(F.min("oid").alias("first"), F.max("oid").alias("last"))
+             .where("first != last").select("anchor", "h"))
+    return (each.join(twice, ["anchor", "h"]).groupBy("oid")
+            .agg(F.min("at").alias("s"), (F.max("at") + LENGTH).alias("e")))
 
 
 def _merge_packs(batches):
@@ -295,26 +301,38 @@ def _merge_packs(batches):
     last = None
 
     def flush():
-        owner, start, end = repeats([r[2] for r in rows])
+        owner, start, end = repeats([r[1] for r in rows])
         if not len(owner):
             return
-        oid, shift = np.array([r[0] for r in rows]), np.array([r[1] for r in rows])
+        oid = np.array([r[0] for r in rows])
         yield pa.RecordBatch.from_arrays(
-            [pa.array(oid[owner]), pa.array((start + shift[owner]).astype(np.int32)),
-             pa.array((end + shift[owner]).astype(np.int32))], ["oid", "s", "e"])
+            [pa.array(oid[owner]), pa.array(start.astype(np.int32)), pa.array(end.astype(np.int32))], ["oid", "s", "e"])
 
     for b in batches:
-        for g, oid, shift, seg in zip(*(b.column(c).to_pylist() for c in ("grp", "oid", "shift", "bytes"))):
+        for g, oid, seg in zip(*(b.column(c).to_pylist() for c in ("grp", "oid", "bytes"))):
             if g != last and size >= PACK:
                 yield from flush()
                 rows, size = [], 0
             last = g
-            rows.append((oid, shift, seg))
+            rows.append((oid, seg))
             size += len(seg)
     if rows:
         yield from flush()
 
 
+def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(text, wanted): texts meet their wanted segments by document and
+    text, so copies of a text spread out."""
+    w = wanted.select(F.col("doc_id").alias("d"), F.col("t").alias("h"), F.col("n_bytes").alias("z"), "wanted")
+    keys = w.select("d", "h", "z")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", _identity("text").alias("t"),
+                        F.octet_length("text").cast("long").alias("n_bytes"))
+    texts = texts.join(C.small_side(keys), texts["doc_id"].eqNullSafe(keys["d"]) & (texts["t"] == keys["h"])
+                       & (texts["n_bytes"] == keys["z"]), "left_semi")
+    return texts.join(w, texts["doc_id"].eqNullSafe(w["d"]) & (texts["t"] == w["h"])
+                      & (texts["n_bytes"] == w["z"])).select("text", "wanted")
+
+
 def repeated_spans(docs: DataFrame) -> DataFrame:
     """(t, n_bytes, spans): for each text with repeats, its identity and the
     maximal stretches of bytes [s, e) that repeats cover."""
@@ -328,26 +346,25 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     grams = C.keep(listed.select("n", F.explode("anchor").alias("anchor")).groupBy("anchor")
                    .agg(F.sum("n").alias("total")).where("total > 1").select("anchor"), "suffix-grams")
     found = C.keep(every.join(C.small_side(grams), "anchor"), "suffix-found")
-    classes = C.keep(found.groupBy("anchor", "seg").agg(F.sum("n").alias("n"), F.min("oid").alias("oid")),
+    classes = C.keep(found.groupBy("anchor", "seg").agg(F.sum("n").alias("n"), F.min("oid").alias("oid"),
+                                                         F.min("windows").alias("windows")),
                      "suffix-classes")
-    kinds = classes.groupBy("anchor").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1")
-    open_ = classes.join(kinds, "anchor").select("oid", (F.col("kinds") > HOT).alias("hot"))
-    wanted = (found.join(open_, "oid").groupBy("doc_id", "t", "n_bytes")
-              .agg(F.collect_list(F.struct("anchor", "oid", "lo", "windows", "hot")).alias("wanted")))
+    kinds = classes.groupBy("anchor").agg(
+        F.count(F.lit(1)).alias("kinds"), F.sum(F.col("windows") + (LENGTH - 1)).alias("size")).where("kinds > 1")
+    open_ = classes.join(kinds, "anchor").select("oid", ((F.col("kinds") > HOT) | (F.col("size") > GROUP)).alias("hot"))
+    wanted = (found.join(open_, "oid").groupBy("doc_id", "t", "n_bytes", "hot")
+              .agg(F.collect_list(F.struct("anchor", "oid", "lo", "windows")).alias("wanted")))
     wanted = C.keep(wanted, "suffix-wanted")
-    # texts meet their wanted segments by document and text, so copies of a text spread out
-    keys = wanted.select(F.col("doc_id").alias("d"), F.col("t").alias("h"), F.col("n_bytes").alias("z"))
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", _identity("text").alias("t"),
-                        F.octet_length("text").cast("long").alias("n_bytes"))
-    texts = texts.join(C.small_side(keys), texts["doc_id"].eqNullSafe(keys["d"]) & (texts["t"] == keys["h"])
-                       & (texts["n_bytes"] == keys["z"]), "left_semi")
-    w = wanted.select(F.col("doc_id").alias("d"), F.col("t").alias("h"), F.col("n_bytes").alias("z"), "wanted")
-    texts = texts.join(w, texts["doc_id"].eqNullSafe(w["d"]) & (texts["t"] == w["h"]) & (texts["n_bytes"] == w["z"]))
-    fetched = C.map_arrow(texts.select("text", "wanted"), _fetch, "grp long, oid long, shift int, bytes binary")
-    fetched = fetched.dropDuplicates(["oid", "shift"])  # a row repeated with its id is fetched twice
+    cold, hot = wanted.where("not hot"), wanted.where("hot")
+    fetched = C.map_arrow(_texts(docs, cold), _fetch, "grp long, oid long, bytes binary")
+    fetched = fetched.dropDuplicates(["oid"])  # a row repeated with its id is fetched twice
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    merged = C.keep(fetched.repartition(parts, "grp").sortWithinPartitions("grp", "oid", "shift")
+    merged = C.keep(fetched.repartition(parts, "grp").sortWithinPartitions("grp", "oid")
                     .mapInArrow(_merge_packs, "oid long, s int, e int"), "suffix-merged")
+    if not hot.isEmpty():
+        hashes = C.keep(C.map_arrow(_texts(docs, hot), _window_hashes, "anchor long, oid long, hashes array<long>"),
+                        "suffix-hashes")
+        merged = merged.union(C.keep(_counted(hashes), "suffix-counted"))
     shared = merged.join(classes.where("n = 1").select("oid", "anchor", "seg"), "oid").select("anchor", "seg", "s", "e")
     whole = classes.where("n > 1").select("anchor", "seg", F.lit(0).alias("s"), F.lit(-1).alias("e"))
     spans = (found.select("t", "n_bytes", "lo", "windows", "anchor", "seg").join(shared.union(whole), ["anchor", "seg"])

@@ -62,6 +62,33 @@ def test_pieces_parts_and_hot_grams(spark, monkeypatch):
     assert sorted((tuple(r) for r in got), key=repr) == expected(rows)
 
 
+def test_no_merge_holds_more_than_the_bound(spark, monkeypatch):
+    """One passage in many documents: its grams are over the bound, and no
+    task merges them; what is removed stays right."""
+    bound = 4000
+    monkeypatch.setattr(suffix, "GROUP", bound)
+    kept, plain = {}, suffix.C.keep
+
+    def noted(df, name):
+        out = plain(df, name)
+        kept[name] = [r.asDict(True) for r in out.collect()] if name in ("suffix-wanted", "suffix-counted") else []
+        return out
+
+    rng = random.Random(4)
+    passage = brute.sentence(rng, 90)
+    rows = [(i, f"{brute.sentence(rng, 30)} {i} {passage} {i} {brute.sentence(rng, 30)}", "", "", 0) for i in range(40)]
+    monkeypatch.setattr(suffix.C, "keep", noted)
+    got = suffix.op10(brute.frame(spark, rows)).collect()
+    assert sorted((tuple(r) for r in got), key=repr) == expected(rows)
+    size = {}
+    for r in kept["suffix-wanted"]:
+        if not r["hot"]:
+            for w in r["wanted"]:
+                size[w["anchor"]] = size.get(w["anchor"], 0) + w["windows"] + N - 1
+    assert not size or max(size.values()) <= bound
+    assert len(kept["suffix-counted"]) >= 40
+
+
 def test_empty_table(spark):
     assert suffix.op10(brute.frame(spark, []).coalesce(1)).collect() == []
 
