@@ -8,6 +8,7 @@ import pytest
 
 import __spark_entry__ as E
 from conftest import SMALL_SF_DIR
+from newsgraph.plans import catalog
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages "
           "benchmark labels conversations").split()
@@ -35,12 +36,12 @@ def duck():
 
 
 def test_every_query_has_sql_or_is_model_bound():
-    rows_only = set(E.queries()) - set(E.oracle_sql())
-    assert rows_only == {"topic_word2vec", "kmeans_plain", "topic_merge"}
-    assert set(E.oracle_sql()) <= set(E.queries())
+    assert set(catalog.QUERIES) - set(catalog.SQL) <= {"topic_word2vec", "kmeans_plain", "topic_merge"}
+    assert set(catalog.SQL) <= set(catalog.QUERIES)
+    assert set(E.oracle_sql()) <= set(E.queries()) and set(catalog.QUERIES) <= set(E.queries())
 
 
-@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(catalog.SQL))
 def test_query_matches_sql(spark, duck, name):
     sdf = E.queries()[name](spark, SMALL_SF_DIR)
     cols = sorted(sdf.columns)
