@@ -7,8 +7,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from newsgraph.llm import (decontaminate, language, minhash, mixing, paragraphs, suffix, toxicity, urlfilter,
-                           vectors, warc)
+from newsgraph.llm import (decontaminate, divergence, language, minhash, mixing, paragraphs, suffix, tokens,
+                           toxicity, urlfilter, vectors, warc)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -75,3 +75,13 @@ def _(spark, d):
 @query("op10_suffix")
 def _(spark, d):
     return suffix.op10(_table(spark, d, "documents"))
+
+
+@query("op12_tokens")
+def _(spark, d):
+    return tokens.op12(_table(spark, d, "documents"))
+
+
+@query("op13_divergence", divergence.ORACLE)
+def _(spark, d):
+    return divergence.op13(_table(spark, d, "documents"))
