@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from newsgraph.llm import (decontaminate, divergence, language, minhash, mixing, paragraphs, suffix, tokens,
+from newsgraph.llm import (decontaminate, divergence, language, lexical, minhash, mixing, paragraphs, suffix, tokens,
                            toxicity, urlfilter, vectors, warc)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -85,3 +85,8 @@ def _(spark, d):
 @query("op13_divergence", divergence.ORACLE)
 def _(spark, d):
     return divergence.op13(_table(spark, d, "documents"))
+
+
+@query("op11_lexical", lexical.ORACLE)
+def _(spark, d):
+    return lexical.op11(_table(spark, d, "documents"), _table(spark, d, "benchmark"))
