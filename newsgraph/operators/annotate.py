@@ -1,11 +1,12 @@
 """Annotation of articles by an external language model.
 
 Prompts are rendered natively (string concatenation).  Only the distinct
-prompts are sent; the calls run in ``mapInPandas`` with one client per
-partition, so the number of partitions bounds the number of concurrent
-callers.  Replies can be kept in a store keyed by the prompt hash: later
-runs send only the prompts not yet answered, and a recomputed stage reads
-the pinned replies instead of calling again.
+prompts are sent; the calls run in ``mapInPandas``, a bounded number at a
+time per task, so tasks times calls in flight bounds the concurrency.  Replies
+can be kept in a store keyed by the prompt hash (``replies``), written by each
+task as it goes: later runs and retried tasks send only the prompts not yet
+answered, and a recomputed stage reads the pinned replies instead of calling
+again.
 
 Replies are parsed with ``from_json`` against a fixed schema; a reply that
 does not parse goes to a rejects table instead of stopping the run."""
@@ -16,12 +17,13 @@ import time
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from newsgraph.functions.text import extract_braces, repair_json, with_columns_once
+from newsgraph.operators.replies import (REPLY, ReplyPart, ReplyStore, key_part, key_part_column, store_uri,
+                                         stored_replies)
 from newsgraph.session import materialize
 
 ANNOTATION = T.StructType([
@@ -31,11 +33,7 @@ ANNOTATION = T.StructType([
     T.StructField("_corrupt_record", T.StringType()),
 ])
 
-REPLY = T.StructType([
-    T.StructField("prompt_key", T.StringType()),
-    T.StructField("reply", T.StringType()),
-    T.StructField("error", T.StringType()),
-])
+CALL_WINDOW = 256   # prompts of a task that are with the pool at a time
 
 # --------------------------------------------------------------------------
 # Prompt templates (own wording).  The article text goes last, after the
@@ -116,6 +114,7 @@ class CallSpec:
     max_tokens: int = 1024
     min_interval: float = 0.0       # seconds between calls of one caller
     on_error: str = "null"          # "null" or "empty"
+    in_flight: int = 4              # calls of one task at a time
     model: str = ""                 # passed on to the client factory's caller; part of the store key
 
 
@@ -125,30 +124,58 @@ CLEAN_CALL = CallSpec(SYSTEM_CLEAN, 1024, on_error="empty")
 CLUSTER_CALL = CallSpec(SYSTEM_CLUSTER, 4096)
 
 
-def _call_batches(client_factory: Callable, spec: CallSpec):
-    """Per partition of distinct prompts: one client, one call per prompt."""
+def _call_batches(client_factory: Callable, spec: CallSpec, store: ReplyStore | None = None, parts: int = 1):
+    """Per partition of distinct prompts: up to ``spec.in_flight`` calls at a
+    time, each on a client of its own thread, started ``spec.min_interval``
+    apart.  With a store, finished replies are written as they come, and those
+    that an earlier attempt of the same part wrote are not asked for again."""
     import pandas as pd
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        client = None
-        last = 0.0
-        for b in batches:
-            replies, errors = [], []
-            for p in b["prompt"]:
-                if client is None:
-                    client = client_factory()
-                if spec.min_interval:
-                    wait = spec.min_interval - (time.monotonic() - last)
+        import threading
+        from concurrent.futures import ThreadPoolExecutor, as_completed
+
+        own, gate, last = threading.local(), threading.Lock(), [-spec.min_interval]
+        part = None
+
+        def call(prompt: str):
+            if not hasattr(own, "client"):
+                own.client = client_factory()
+            if spec.min_interval:
+                with gate:  # one limit for all calls of the task
+                    wait = spec.min_interval - (time.monotonic() - last[0])
                     if wait > 0:
                         time.sleep(wait)
-                    last = time.monotonic()
+                    last[0] = time.monotonic()
+            try:
+                return own.client.complete(spec.system, prompt, spec.max_tokens), None
+            except Exception as ex:  # the reply is marked, the run goes on
+                return "" if spec.on_error == "empty" else None, f"{type(ex).__name__}: {ex}"
+
+        pool = ThreadPoolExecutor(max(1, spec.in_flight))
+        try:
+            for b in batches:
+                keys, prompts = b["prompt_key"].tolist(), b["prompt"].tolist()
+                found = {}
+                if store is not None and keys:
+                    if part is None:
+                        part = ReplyPart(store, key_part(keys[0], parts), parts)
+                    found = {k: (part.known[k], None) for k in keys if k in part.known}
+                todo = [(k, p) for k, p in zip(keys, prompts) if k not in found]
                 try:
-                    replies.append(client.complete(spec.system, p, spec.max_tokens))
-                    errors.append(None)
-                except Exception as ex:  # the reply is marked, the run goes on
-                    replies.append("" if spec.on_error == "empty" else None)
-                    errors.append(f"{type(ex).__name__}: {ex}")
-            yield pd.DataFrame({"prompt_key": b["prompt_key"], "reply": replies, "error": errors})
+                    for at in range(0, len(todo), CALL_WINDOW):  # as many prompts wait in the pool at most
+                        calls = {pool.submit(call, p): k for k, p in todo[at:at + CALL_WINDOW]}
+                        for done in as_completed(calls):
+                            found[calls[done]] = done.result()
+                            if part is not None and found[calls[done]][1] is None:
+                                part.add(calls[done], found[calls[done]][0])
+                finally:
+                    if part is not None:
+                        part.flush()
+                yield pd.DataFrame({"prompt_key": keys, "reply": [found[k][0] for k in keys],
+                                    "error": [found[k][1] for k in keys]})
+        finally:
+            pool.shutdown(wait=True, cancel_futures=True)
 
     return run
 
@@ -166,35 +193,31 @@ def call_model(df: DataFrame, prompt: Column, client_factory: Callable, spec: Ca
     to columns by name.
 
     With ``store`` (a folder in the shared file system) stored replies are
-    reused and only new prompts are sent, the new replies appended; a failed
-    call is not stored, so the next run sends it again.  The key covers the
+    reused and only new prompts are sent.  Each task handles one range of key
+    prefixes and writes its replies to the store as they come, so a task that
+    is killed, or a run that ends halfway, is resumed with the prompts that
+    were not finished; a failed call is not stored and is sent again.  The key covers the
     model, the system line and the token limit besides the prompt.  With
     ``pin`` or ``store`` the input rows are written once to the shared
     folder (so the input plan is not run twice) and the replies too (so no
     recomputed stage calls the model again)."""
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    call = F.lit(f"{spec.model}\x00{spec.system}\x00{spec.max_tokens}\x00")
-    base = df.withColumn("prompt_key", F.sha2(F.concat(call, prompt), 256))
+    key = F.lit(f"{spec.model}\x00{spec.system}\x00{spec.max_tokens}\x00")
+    base = df.withColumn("prompt_key", F.sha2(F.concat(key, prompt), 256))
     if store or pin:
         base = materialize(base, "prompted")
     todo = base.select("prompt_key", prompt.alias("prompt")).dropDuplicates(["prompt_key"])
-    stored = None
-    if store:
-        try:
-            stored = spark.read.schema(REPLY).parquet(store)
-        except AnalysisException as ex:
-            if ex.getCondition() != "PATH_NOT_FOUND":
-                raise
-        else:
-            todo = todo.join(stored.select("prompt_key"), "prompt_key", "left_anti")
-    replies = todo.repartition(n).mapInPandas(_call_batches(client_factory, spec), REPLY)
-    if store:
-        replies = materialize(replies, "replies")
-        good = replies.where(F.col("error").isNull())
-        good.write.mode("append").parquet(store)
-        every = spark.read.schema(REPLY).parquet(store).dropDuplicates(["prompt_key"])
-        replies = every.unionByName(replies.where(F.col("error").isNotNull()))
+    kept = ReplyStore(store_uri(spark, store)) if store else None
+    if kept:
+        todo = todo.join(stored_replies(spark, kept).select("prompt_key"), "prompt_key", "left_anti")
+        todo = todo.repartitionById(n, key_part_column("prompt_key", n))
+    else:
+        todo = todo.repartition(n)
+    replies = todo.mapInPandas(_call_batches(client_factory, spec, kept, n), REPLY)
+    if kept:
+        failed = materialize(replies, "replies").where(F.col("error").isNotNull())
+        replies = stored_replies(spark, kept).unionByName(failed)
     elif pin:
         replies = materialize(replies, "replies")
     return base.join(replies, "prompt_key", "left")

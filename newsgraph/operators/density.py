@@ -1,112 +1,29 @@
 """Density clustering of topic vectors as Spark jobs.
 
-Exact nearest neighbours without emitting all pairs: points are hashed
-into ``B`` blocks of about ``block_size``; each point is sent to the ``B``
-block pairs it belongs to, and every pair of blocks is one
-``applyInPandas`` group (two blocks, bounded by ``2 × block_size`` points)
-that computes its distances with numpy and emits only what is asked — the
-``k`` nearest per point, or the pairs whose mutual-reachability distance is
-under a cut.  The k-NN lists from all block pairs are merged per point
-(bounded by ``B × k``).
-
 Core distance (min_samples = m, weights = copies of a topic): the smallest
 distance ``d`` at which the point's other copies plus the weights of its
-neighbours within ``d`` reach ``m``.
+neighbours within ``d`` reach ``m``; from exact neighbours by pivot cells
+(``neighbours``).
 
-Components at a cut are found by min-label propagation with pointer
-jumping; the labels are checkpointed each round to cut the lineage."""
+``density_clusters`` chooses the clusters itself: the minimum spanning tree of
+mutual reachability (``forest``), the condensed hierarchy of its components,
+and the selection by stability (``hierarchy``).  ``density_components`` gives
+the clusters at one density level: block pairs emit spanning forests of what
+is under the cut, never every edge, and their components are found by star
+contraction."""
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newsgraph.session import cut_lineage
+from newsgraph.operators.forest import block_forests, connected_components, reachability_tree
+from newsgraph.operators.hierarchy import condense
+from newsgraph.operators.neighbours import DEFAULT_BLOCK, knn
+from newsgraph.session import Rounds
 
 MIN_SAMPLES = 2
 MIN_CLUSTER_SIZE = 2
-DEFAULT_BLOCK = 2048
-_CHUNK = 256
-
-
-def _with_blocks(points: DataFrame, block_size: int) -> tuple[DataFrame, int]:
-    n = points.count()
-    nb = max(1, math.ceil(n / block_size))
-    return points.withColumn("_blk", F.pmod(F.xxhash64("id"), F.lit(nb)).cast("int")), nb
-
-
-def _replicate(points_b: DataFrame, nb: int) -> DataFrame:
-    j = F.explode(F.sequence(F.lit(0), F.lit(nb - 1)))
-    return (points_b.select("*", j.alias("_j"))
-            .withColumn("_g1", F.least("_blk", "_j")).withColumn("_g2", F.greatest("_blk", "_j"))
-            .drop("_j"))
-
-
-def _dists(a, b):
-    """Exact Euclidean distances, by row chunks (no |a|²+|b|²-2ab error)."""
-    import numpy as np
-
-    out = np.empty((a.shape[0], b.shape[0]))
-    for s in range(0, a.shape[0], _CHUNK):
-        diff = a[s:s + _CHUNK, None, :] - b[None, :, :]
-        out[s:s + _CHUNK] = np.sqrt(np.einsum("ijk,ijk->ij", diff, diff))
-    return out
-
-
-def _split(pdf):
-    import numpy as np
-
-    g1, g2 = int(pdf["_g1"].iloc[0]), int(pdf["_g2"].iloc[0])
-    a = pdf[pdf["_blk"] == g1]
-    b = a if g1 == g2 else pdf[pdf["_blk"] == g2]
-    va = np.array(a["vec"].tolist(), dtype=np.float64)
-    vb = va if g1 == g2 else np.array(b["vec"].tolist(), dtype=np.float64)
-    return g1 == g2, a, b, va, vb
-
-
-def knn(points: DataFrame, k: int = MIN_SAMPLES, block_size: int = DEFAULT_BLOCK) -> DataFrame:
-    """``(id, nbrs array<struct<d double, nb bigint, w bigint>>)``: the ``k``
-    nearest other points of every point (ties by id).  ``points``: ``id
-    bigint, vec array<float|double>, weight bigint``."""
-    import pandas as pd
-
-    pb, nb = _with_blocks(points.select("id", "vec", "weight"), block_size)
-    rep = _replicate(pb, nb)
-
-    def top(pdf: pd.DataFrame) -> pd.DataFrame:
-        import numpy as np
-
-        same, a, b, va, vb = _split(pdf)
-        d = _dists(va, vb)
-        ida, idb = a["id"].to_numpy(), b["id"].to_numpy()
-        wa, wb = a["weight"].to_numpy(), b["weight"].to_numpy()
-        rows_id, rows_nb, rows_d, rows_w = [], [], [], []
-
-        def emit(dm, qids, cids, cw, exclude_self):
-            if exclude_self:
-                dm = dm.copy()
-                np.fill_diagonal(dm, np.inf)
-            kk = min(k, dm.shape[1] - (1 if exclude_self else 0))
-            if kk <= 0:
-                return
-            order = np.lexsort((np.broadcast_to(cids, dm.shape), dm), axis=1)[:, :kk]
-            for i, q in enumerate(qids):
-                for j in order[i]:
-                    rows_id.append(q)
-                    rows_nb.append(cids[j])
-                    rows_d.append(dm[i, j])
-                    rows_w.append(cw[j])
-
-        emit(d, ida, idb, wb, same)
-        if not same:
-            emit(d.T, idb, ida, wa, False)
-        return pd.DataFrame({"id": rows_id, "nb": rows_nb, "d": rows_d, "w": rows_w})
-
-    cand = rep.groupBy("_g1", "_g2").applyInPandas(top, "id bigint, nb bigint, d double, w bigint")
-    return (cand.groupBy("id")
-            .agg(F.slice(F.array_sort(F.collect_list(F.struct("d", "nb", "w"))), 1, k).alias("nbrs")))
 
 
 def core_distances(points: DataFrame, min_samples: int = MIN_SAMPLES,
@@ -128,60 +45,10 @@ def core_distances(points: DataFrame, min_samples: int = MIN_SAMPLES,
     return j.select("id", "weight", F.coalesce(core, F.lit(float("inf"))).alias("core"))
 
 
-def reachability_edges(points: DataFrame, cores: DataFrame, cut: float,
-                       block_size: int = DEFAULT_BLOCK) -> DataFrame:
-    """``(a, b, w)`` with ``a < b``: pairs of core points whose mutual
-    reachability ``max(core_a, core_b, d)`` is at most ``cut``."""
-    import pandas as pd
-
-    pts = (points.select("id", "vec").join(cores.select("id", "core"), "id")
-           .filter(F.col("core") <= cut))
-    pb, nb = _with_blocks(pts, block_size)
-    rep = _replicate(pb, nb)
-
-    def pairs(pdf: pd.DataFrame) -> pd.DataFrame:
-        import numpy as np
-
-        same, a, b, va, vb = _split(pdf)
-        d = _dists(va, vb)
-        ca, cb = a["core"].to_numpy(), b["core"].to_numpy()
-        m = np.maximum(np.maximum(d, ca[:, None]), cb[None, :])
-        ok = m <= cut
-        ida, idb = a["id"].to_numpy(), b["id"].to_numpy()
-        ok &= ida[:, None] != idb[None, :]
-        if same:
-            ok &= ida[:, None] < idb[None, :]
-        ii, jj = np.nonzero(ok)
-        x, y = ida[ii], idb[jj]
-        return pd.DataFrame({"a": np.minimum(x, y), "b": np.maximum(x, y), "w": m[ii, jj]})
-
-    return rep.groupBy("_g1", "_g2").applyInPandas(pairs, "a bigint, b bigint, w double")
-
-
-def connected_components(vertices: DataFrame, edges: DataFrame) -> DataFrame:
-    """``(id, comp)`` with comp = smallest id of the component.
-
-    Each round: min-label propagation over the edges, then a pointer jump
-    (a vertex takes the label of its label); the labels are checkpointed to
-    the shared folder.  Labels only decrease, so a round that leaves their
-    sum unchanged has reached the fixed point (the sum reads the checkpoint)."""
-    e = edges.select(F.col("a").alias("src"), F.col("b").alias("dst"))
-    e = cut_lineage(e.union(e.select(F.col("dst").alias("src"), F.col("src").alias("dst"))))
-    labels = cut_lineage(vertices.select("id", F.col("id").alias("comp")))
-    total = F.sum(F.col("comp").cast("decimal(38,0)"))
-    prev = labels.agg(total).first()[0]
-    while True:
-        prop = (e.join(labels.withColumnRenamed("id", "src"), "src")
-                .select(F.col("dst").alias("id"), "comp"))
-        step = labels.union(prop).groupBy("id").agg(F.min("comp").alias("comp"))
-        look = step.select(F.col("id").alias("_lid"), F.col("comp").alias("_lcomp"))
-        new = (step.join(look, step["comp"] == look["_lid"], "left")
-               .select("id", F.least("comp", F.coalesce("_lcomp", "comp")).alias("comp")))
-        labels = cut_lineage(new)
-        cur = labels.agg(total).first()[0]
-        if cur == prev:
-            return labels
-        prev = cur
+def _weighted(points: DataFrame) -> DataFrame:
+    if "weight" not in points.columns:
+        points = points.withColumn("weight", F.lit(1).cast("bigint"))
+    return points
 
 
 def density_components(points: DataFrame, cut: float, min_samples: int = MIN_SAMPLES,
@@ -192,15 +59,33 @@ def density_components(points: DataFrame, cut: float, min_samples: int = MIN_SAM
     total weight reaches ``min_cluster_size`` is a cluster labelled by its
     smallest id, everything else is noise (-1).  Returns ``(id, cluster,
     core)``."""
-    if "weight" not in points.columns:
-        points = points.withColumn("weight", F.lit(1).cast("bigint"))
-    cores = cut_lineage(core_distances(points, min_samples, block_size))
+    points = _weighted(points)
+    rounds = Rounds(points.sparkSession, "density")
+    cores = rounds.put("cores", core_distances(points, min_samples, block_size))
     core_pts = cores.filter(F.col("core") <= cut).select("id", "weight")
-    edges = reachability_edges(points, cores, cut, block_size)
-    comps = connected_components(core_pts.select("id"), edges)
+    comps = connected_components(core_pts, block_forests(points, cores, block_size, cut))
     sizes = (comps.join(core_pts, "id").groupBy("comp").agg(F.sum("weight").alias("_size")))
     labelled = (comps.join(sizes, "comp")
                 .select("id", F.when(F.col("_size") >= min_cluster_size, F.col("comp"))
                         .otherwise(F.lit(-1)).cast("bigint").alias("cluster")))
     return (cores.join(labelled, "id", "left")
             .select("id", F.coalesce(F.col("cluster"), F.lit(-1).cast("bigint")).alias("cluster"), "core"))
+
+
+def density_tree(points: DataFrame, min_samples: int = MIN_SAMPLES,
+                 block_size: int = DEFAULT_BLOCK) -> tuple[DataFrame, DataFrame]:
+    """The spanning tree ``(a, b, w)`` of mutual reachability, and the cores
+    ``(id, weight, core)`` it was made with."""
+    points = _weighted(points)
+    cores = Rounds(points.sparkSession, "density").put("cores", core_distances(points, min_samples, block_size))
+    return reachability_tree(points, cores, block_size), cores
+
+
+def density_clusters(points: DataFrame, min_cluster_size: int = MIN_CLUSTER_SIZE, min_samples: int | None = None,
+                     block_size: int = DEFAULT_BLOCK) -> DataFrame:
+    """Clusters chosen by stability over the whole density hierarchy:
+    ``(id, cluster, core)``, a cluster labelled by its smallest id, noise -1.
+    ``min_samples`` is the least cluster size unless given.  One cluster that
+    holds everything is never the answer; edges of equal weight act at once."""
+    tree, cores = density_tree(points, min_cluster_size if min_samples is None else min_samples, block_size)
+    return condense(cores, tree, min_cluster_size).join(cores.select("id", "core"), "id")

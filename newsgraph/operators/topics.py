@@ -9,12 +9,14 @@ sort-merge joins otherwise."""
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import partial
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newsgraph.functions.text import extract_braces, repair_json
+from newsgraph.functions.text import extract_braces, lower_tokens, repair_json
 from newsgraph.operators.annotate import CLUSTER_CALL, call_model, cluster_prompt
+from newsgraph.operators.forest import edge_components
 from newsgraph.session import materialize
 
 MAPPING_TYPE = "map<string,array<string>>"
@@ -96,7 +98,7 @@ def _paired_batches(topics: DataFrame, groups: int, turn: int) -> DataFrame:
 
 def _prompt_lines(b: DataFrame) -> DataFrame:
     return (b.groupBy("batch")
-            .agg(F.array_sort(F.collect_list(F.struct("first_ord", "topic"))).alias("_t"))
+            .agg(F.array_sort(F.collect_set(F.struct("first_ord", "topic"))).alias("_t"))
             .select("batch", F.col("_t")[0]["first_ord"].alias("first_ord"),
                     F.array_join(F.transform("_t", lambda x: x["topic"]), "\n").alias("prompt_lines")))
 
@@ -109,50 +111,100 @@ def _placed(batches: DataFrame, client_factory: Callable, labels, **kw) -> DataF
     raw = replies.withColumn("_j", extract_braces(F.col("reply")))
     parsed = raw.withColumn("_json", F.when(
         F.from_json("_j", MAPPING_TYPE, {"allowSingleQuotes": "true"}).isNull(), repair_json(F.col("_j"))).otherwise(F.col("_j")))
-    return reverse_mapping(mapping_from_json(parsed, "_json", ("first_ord",)))
+    return mapping_from_json(parsed, "_json", ("first_ord", "batch"))
+
+
+def label_blocks(labels: DataFrame, batch_size: int, buckets: int) -> DataFrame:
+    """(batch, topic, first_ord): labels that may be one, in the same call.
+
+    Labels meet in the block of each word they share (lower-cased); blocks are
+    packed by a hash of the word into ``buckets`` calls.  The block of a word
+    that more than ``batch_size`` labels share is cut by the labels' next word,
+    so that the nearest of them still meet."""
+    words = F.array_distinct(lower_tokens(F.col("topic")))
+    pairs = labels.select("topic", "first_ord", F.posexplode(words).alias("at", "word"), words.alias("words"))
+    size = pairs.groupBy("word").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    other = F.element_at("words", F.when(F.col("at") == 0, F.lit(-1)).otherwise(F.col("at")).cast("int"))
+    part = F.when(F.col("n") > batch_size, F.pmod(F.xxhash64(other), F.ceil(F.col("n") / batch_size))).otherwise(F.lit(0))
+    return pairs.join(size, "word").select(
+        F.when(part == 0, F.pmod(F.xxhash64("word"), F.lit(buckets)))
+        .otherwise(F.xxhash64("word", part)).alias("batch"), "topic", "first_ord")
+
+
+def _one_label(placed: DataFrame, labels: DataFrame) -> DataFrame:
+    """(member, label) with one answer per label: those that some call put
+    under one label are one, transitively, and take the label of the first."""
+    named = placed.where("member is not null").join(labels.select(F.col("topic").alias("member"), "first_ord"), "member")
+    ends = named.select("label", "first_ord").unionByName(  # a label that is itself among the labels
+        named.select("label").distinct().join(labels.select(F.col("topic").alias("label"), "first_ord"), "label"))
+    low = ends.groupBy("label").agg(F.min("first_ord").alias("b"))
+    links = ends.join(low, "label").select(F.col("first_ord").alias("a"), "b")
+    comps = edge_components(links)
+    found = named.join(comps, named["first_ord"] == comps["id"])
+    best = found.groupBy("comp").agg(F.min_by("label", F.struct("first_ord", "label_ord", "label")).alias("label"))
+    return found.select("member", "comp").distinct().join(best, "comp").select("member", "label")
 
 
 def cluster_with_model(df: DataFrame, client_factory: Callable, labels: Sequence[str] | None = None,
                        col: str = "topics", order_col: str = "row_ord", batch_size: int = 200,
                        partitions: int | None = None, store: str | None = None,
-                       pin: bool = False) -> DataFrame:
+                       pin: bool = False, every_pair: bool = False) -> DataFrame:
     """Merge topics by a model: distinct topics are sent in batches, each
     reply (``{label: [topics]}``) is brace-extracted and parsed, and the
     topics are remapped; a topic the model did not place stays.
 
-    More topics than one batch holds take several rounds: the labels found
-    are sent again, in order of their first topic, until one batch holds
-    them all, or each two of them were in one call since the last merge
-    (groups of half a batch meet in a round-robin draw), so labels of
-    different batches are reconciled.  With given ``labels`` one round is
-    enough."""
-    kw = {"partitions": partitions, "store": store, "pin": pin}
+    More topics than one batch holds are reconciled: the labels found are
+    sent again, all in one call once a batch holds them, else those that share
+    a word in the same calls (``label_blocks``).  What calls put under one label
+    becomes one label, and only calls whose labels have changed are sent
+    again.  A round of n labels of w words takes at most about ``n * w /
+    batch_size`` calls, and later rounds only those that a merge touched, so
+    calls are linear in the labels.  Labels without a common word meet only in
+    the first batches and the last call; with ``every_pair`` each two labels
+    are in one call in the end, by a round-robin draw, which takes calls in
+    the square of the labels.  With given ``labels`` one round is enough."""
+    ask = partial(_placed, client_factory=client_factory, labels=labels, partitions=partitions, store=store, pin=pin)
     now = materialize(distinct_topics(df, col, order_col).select("topic", "first_ord"), "topics")
     n = now.count()
-    placed = _placed(topic_batches(now, batch_size), client_factory, labels, **kw)
-    many = n > batch_size and not labels
-    if many:
-        placed = materialize(placed, "topic-labels")
-    total = placed
-    groups = turn = quiet = 0
-    while many:
-        found = now.join(placed, now["topic"] == placed["member"], "left").select(
-            F.coalesce("label", "topic").alias("topic"), "first_ord")
-        now = materialize(found.groupBy("topic").agg(F.min("first_ord").alias("first_ord")), "topics")
+    placed = reverse_mapping(ask(topic_batches(now, batch_size)))
+    if n <= batch_size or labels:
+        return remap(df, col, placed)
+    total = materialize(now.join(placed, now["topic"] == placed["member"], "left").select(
+        F.col("topic").alias("member"), F.coalesce("label", "topic").alias("label"), "first_ord"), "topic-labels")
+    sent = buckets = None
+    turn = quiet = 0
+    before = None
+    while True:
+        now = materialize(total.groupBy(F.col("label").alias("topic")).agg(F.min("first_ord").alias("first_ord")), "labels")
         left = now.count()
-        if left < n or not groups:
-            groups, quiet = 2 * -(-left // batch_size), 0
-        elif quiet == groups - 1:
-            break
-        n, turn, quiet = left, turn + 1, quiet + 1
-        batches = topic_batches(now, batch_size) if left <= batch_size else _paired_batches(now, groups, turn)
-        placed = materialize(_placed(batches, client_factory, labels, **kw), "topic-labels")
-        step = placed.select(F.col("member").alias("_m"), F.col("label").alias("_l"))
-        # topics that stayed as they were can be placed now, too
-        fresh = placed.join(total.select("member"), "member", "left_anti")
-        total = materialize(
-            total.join(step, total["label"] == step["_m"], "left").select("member", F.coalesce("_l", "label").alias("label"))
-            .unionByName(fresh), "topic-labels")
         if left <= batch_size:
+            return remap(df, col, _moved(total, reverse_mapping(ask(topic_batches(now, batch_size)))))
+        if buckets is None:
+            words = now.select(F.sum(F.size(F.array_distinct(lower_tokens(F.col("topic")))))).first()[0] or 0
+            buckets = max(1, -(-words // batch_size))
+        batches = _prompt_lines(label_blocks(now, batch_size, buckets)).where(F.contains("prompt_lines", F.lit("\n")))
+        batches = batches.withColumn("sign", F.sha2("prompt_lines", 256))
+        if sent is not None:
+            batches = batches.join(sent, "sign", "left_anti")
+        batches = materialize(batches, "label-calls")
+        if not batches.isEmpty():
+            known = batches.select("sign")
+            sent = known if sent is None else sent.unionByName(known)
+        elif every_pair:
+            if left != before:
+                groups, quiet, before = 2 * -(-left // batch_size), 0, left
+            elif quiet == groups - 1:
+                break
+            turn, quiet = turn + 1, quiet + 1
+            batches = _paired_batches(now, groups, turn)
+        else:
             break
+        step = materialize(_one_label(ask(batches), now), "label-step")
+        total = materialize(_moved(total, step), "topic-labels")
     return remap(df, col, total)
+
+
+def _moved(total: DataFrame, step: DataFrame) -> DataFrame:
+    """``total`` (member, label, first_ord) with its labels replaced as ``step`` says."""
+    s = step.select(F.col("member").alias("_m"), F.col("label").alias("_l"))
+    return total.join(s, total["label"] == s["_m"], "left").select("member", F.coalesce("_l", "label").alias("label"), "first_ord")

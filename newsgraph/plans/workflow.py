@@ -42,7 +42,8 @@ class NewsRun:
     country: str = "it"
     max_chars: int = 15000
     model: str = ""             # model name: part of the store key
-    pause: float = 0.0          # seconds between two calls of one caller
+    pause: float = 0.0          # seconds between the starts of two calls of one task
+    in_flight: int = 4          # calls of one task at a time
     pandas_compat: bool = False
     model_partitions: int | None = None
     reply_store: str | None = None
@@ -79,7 +80,7 @@ def annotate_articles(articles: DataFrame, run: NewsRun, client_factory: Callabl
         F.concat(F.lit("text of "), F.length("text").cast("string"), F.lit(" characters")))
     skipped = articles.filter(F.col("text").isNull() if not run.pandas_compat else F.lit(False)).unionByName(
         articles.filter(F.length("text") >= run.max_chars))
-    call = replace(ANNOTATE_CALL, model=run.model, min_interval=run.pause)
+    call = replace(ANNOTATE_CALL, model=run.model, min_interval=run.pause, in_flight=run.in_flight)
     text = F.coalesce(F.col("text"), F.lit("None")) if run.pandas_compat else F.col("text")
     replied = call_model(arts, annotate_prompt(text, run.query, run.topics), client_factory,
                          call, partitions=run.model_partitions, store=run.reply_store, pin=pin)

@@ -108,3 +108,36 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Remove one table of the shared folder."""
+    sc = spark.sparkContext
+    p = sc._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(sc._jsc.hadoopConfiguration()).delete(p, True)
+
+
+class Rounds:
+    """Tables of an iterative job in the shared folder, by name.  A name that
+    is written again gets a fresh path; ``drop`` removes what later rounds no
+    longer read, so a long job keeps its last round and not all of them."""
+
+    def __init__(self, spark: SparkSession, job: str):
+        self.spark, self.job = spark, job
+        self.paths: dict[str, list[str]] = {}
+
+    def put(self, name: str, df: DataFrame) -> DataFrame:
+        """Write ``df`` and read it back with its schema."""
+        path = scratch_path(self.spark, f"{self.job}-{name}")
+        df.write.parquet(path)
+        self.paths.setdefault(name, []).append(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self, *names: str, last: bool = False) -> None:
+        """Remove the superseded tables of ``names``, or with ``last`` all of them."""
+        for name in names:
+            old = self.paths.get(name, [])
+            keep = [] if last else old[-1:]
+            for path in old[:len(old) - len(keep)]:
+                drop_path(self.spark, path)
+            self.paths[name] = keep

@@ -216,6 +216,53 @@ def test_cluster_with_model_same_for_any_batch_size(spark):
         assert sorted((r.row_ord, r.topics) for r in out.collect()) == [(i, f"t0 s{i % 20}") for i in range(40)]
 
 
+class CountingClusterer(SynonymClusterer):
+    """Notes the topics of each call in a file of its own."""
+
+    def __init__(self, folder: str):
+        self.folder = folder
+
+    def complete(self, system: str, prompt: str, max_tokens: int) -> str:
+        import os
+        import uuid
+
+        from newsgraph.operators.annotate import CLUSTER_MARKER, prompt_body
+
+        with open(os.path.join(self.folder, uuid.uuid4().hex), "w") as f:
+            f.write(prompt_body(prompt, CLUSTER_MARKER))
+        return super().complete(system, prompt, max_tokens)
+
+
+def test_cluster_calls_are_linear_in_the_labels(spark, tmp_path):
+    """320 labels in 20 batches: as one large call places them, within a few
+    calls per batch; no call is sent twice."""
+    names = [f"t{k} s{i}" for k in range(4) for i in range(80)]
+    df = spark.createDataFrame(list(enumerate(names)), "row_ord long, topics string")
+    folder = str(tmp_path)
+    out = TP.cluster_with_model(df, lambda: CountingClusterer(folder), batch_size=16, pin=True).collect()
+    assert sorted((r.row_ord, r.topics) for r in out) == [(i, f"t0 s{i % 80}") for i in range(320)]
+    calls = [p.read_text() for p in tmp_path.iterdir()]
+    assert len(calls) == len(set(calls)) <= 20 * 5
+    assert max(len(c.split("\n")) for c in calls) <= 60
+
+
+def test_labels_without_a_common_word_meet_on_request(spark):
+    class OneLabel:
+        def complete(self, system, prompt, max_tokens):
+            import json
+
+            from newsgraph.operators.annotate import CLUSTER_MARKER, prompt_body
+
+            lines = prompt_body(prompt, CLUSTER_MARKER).split("\n")
+            same = [t for t in lines if int(t[1:]) % 10 == 0]
+            return json.dumps({same[0]: same} if len(same) > 1 else {})
+
+    df = spark.createDataFrame([(i, f"w{i}") for i in range(40)], "row_ord long, topics string")
+    out = TP.cluster_with_model(df, OneLabel, batch_size=6, every_pair=True, pin=True).collect()
+    assert {r.topics for r in out if r.row_ord % 10 == 0} == {"w0"}
+    assert all(r.topics == f"w{r.row_ord}" for r in out if r.row_ord % 10)
+
+
 def test_paired_batches_bring_each_two_topics_together(spark):
     topics = spark.createDataFrame([(f"t{i}", i) for i in range(30)], "topic string, first_ord long").cache()
     met = set()
