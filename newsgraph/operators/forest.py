@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newsgraph.operators.neighbours import DEFAULT_BLOCK, vectors_of
+from newsgraph.operators.neighbours import DEFAULT_BLOCK, row_distances, vectors_of
 from newsgraph.session import Rounds
 
 FINISH = 1 << 17
@@ -102,6 +102,7 @@ def block_tree(v: np.ndarray, core: np.ndarray, ids: np.ndarray, cut: float | No
     mutual reachability, edges over ``cut`` left out; a row of distances at a
     time."""
     n = len(ids)
+    columns = np.ascontiguousarray(v.T)
     best = np.full(n, np.inf)
     low, high = np.full(n, np.iinfo(np.int64).max), np.full(n, np.iinfo(np.int64).max)
     out = np.ones(n, bool)
@@ -109,8 +110,7 @@ def block_tree(v: np.ndarray, core: np.ndarray, ids: np.ndarray, cut: float | No
     at = 0
     for step in range(n - 1):
         out[at] = False
-        diff = v - v[at]
-        reach = np.maximum(np.maximum(np.sqrt(np.einsum("ij,ij->i", diff, diff)), core), core[at])
+        reach = np.maximum(np.maximum(row_distances(columns, at), core), core[at])
         lo, hi = np.minimum(ids, ids[at]), np.maximum(ids, ids[at])
         nearer = (reach < best) | ((reach == best) & ((lo < low) | ((lo == low) & (hi < high))))
         nearer &= out

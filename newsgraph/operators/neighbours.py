@@ -24,7 +24,7 @@ from newsgraph.session import Rounds
 
 MAX_PIVOTS = 1024
 DEFAULT_BLOCK = 2048
-_CHUNK_CELLS = 1 << 22    # numbers held at once by a distance kernel
+_CHUNK_CELLS = 1 << 16    # distances computed at once: what stays in a core's cache
 _SLACK = 1e-9             # the bounds are taken this much wider, for rounding
 
 
@@ -36,14 +36,28 @@ def vectors_of(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(n, -1)
 
 
+def row_distances(columns: np.ndarray, at: int) -> np.ndarray:
+    """Distances of all points from one, points being the columns."""
+    diff = columns - columns[:, at:at + 1]
+    diff *= diff
+    return np.sqrt(np.add.reduce(diff, axis=0))
+
+
 def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Exact Euclidean distances, by row chunks (no |a|²+|b|²-2ab error)."""
-    out = np.empty((len(a), len(b)))
-    step = max(1, _CHUNK_CELLS // max(b.size, 1))
+    """Exact Euclidean distances (no |a|²+|b|²-2ab error), summed over the
+    coordinates in order: two points have one distance, bit for bit, from
+    either side and from every kernel, so that ties stay ties."""
+    out = np.zeros((len(a), len(b)))
+    step = max(1, _CHUNK_CELLS // max(len(b), 1))
+    x, y = np.ascontiguousarray(a.T), np.ascontiguousarray(b.T)
     for s in range(0, len(a), step):
-        diff = a[s:s + step, None, :] - b[None, :, :]
-        out[s:s + step] = np.sqrt(np.einsum("ijk,ijk->ij", diff, diff))
-    return out
+        part = out[s:s + step]
+        diff = np.empty_like(part)
+        for j in range(len(x)):
+            np.subtract(x[j, s:s + step, None], y[j], out=diff)
+            diff *= diff
+            part += diff
+    return np.sqrt(out, out=out)
 
 
 def nearest(d: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from newsgraph.functions import text as T
@@ -607,6 +607,74 @@ def q_density_components(spark, d):
     return c.select(F.col("id").alias("vec_id"), "cluster")
 
 
+_REACH_SQL = _PAIRS_SQL + """,
+m AS (SELECT pr.a, pr.b, greatest(x.core, y.core, pr.d) AS w
+      FROM pr JOIN core x ON pr.a = x.id JOIN core y ON pr.b = y.id),
+prim(step, v, best, picked) AS (
+  SELECT 0, vec_id, CAST('inf' AS DOUBLE), vec_id = (SELECT min(vec_id) FROM embeddings) FROM embeddings
+  UNION ALL
+  SELECT step + 1, v, near, row_number() OVER (ORDER BY near, v) = 1
+  FROM (SELECT o.step, o.v, least(o.best, m.w) AS near
+        FROM prim o JOIN prim p ON p.picked AND NOT o.picked JOIN m ON m.a = p.v AND m.b = o.v))"""
+
+
+@query("density_tree", "WITH RECURSIVE " + _REACH_SQL.strip() + """
+SELECT CAST(row_number() OVER (ORDER BY best) AS BIGINT) AS rank, round(best, 6) AS w FROM prim WHERE picked AND step > 0""")
+def q_density_tree(spark, d):
+    """The weights of the spanning tree of mutual reachability, in order (the
+    edges themselves are not unique, their weights are)."""
+    tree, _ = D.density_tree(_points(spark, d), block_size=256)
+    rank = F.row_number().over(Window.orderBy("w")).cast("bigint").alias("rank")
+    return tree.select(rank, F.round("w", 6).alias("w"))
+
+
+# In the order in which the tree takes the points in, a component at a distance
+# is a run of points whose weights are within it; every run of two or more is
+# a large part for a least cluster size of two.
+_CLUSTERS_SQL = _REACH_SQL + """,
+s AS (SELECT step AS i, v, best AS w FROM prim WHERE picked),
+e AS (SELECT i, w FROM s WHERE i > 0),
+run AS (
+  SELECT DISTINCT e.w,
+         coalesce((SELECT max(x.i) FROM e x WHERE x.i < e.i AND x.w > e.w), 0) AS l,
+         coalesce((SELECT min(x.i) FROM e x WHERE x.i > e.i AND x.w > e.w), (SELECT count(*) FROM s)) - 1 AS r
+  FROM e),
+par AS (SELECT c.l, c.r, c.w, p.l AS pl, p.r AS pr, p.w AS pw
+        FROM run c LEFT JOIN run p ON p.l <= c.l AND p.r >= c.r AND p.r - p.l > c.r - c.l
+        QUALIFY row_number() OVER (PARTITION BY c.l, c.r ORDER BY p.r - p.l) = 1),
+kids AS (SELECT pl AS l, pr AS r, count(*) AS n, max(r - l + 1) AS held FROM par WHERE pl IS NOT NULL GROUP BY pl, pr),
+node AS (SELECT p.*, coalesce(k.n, 0) AS n, p.r - p.l + 1 - CASE WHEN k.n = 1 THEN k.held ELSE 0 END AS lost,
+                q.n IS NULL OR q.n >= 2 AS born
+         FROM par p LEFT JOIN kids k ON k.l = p.l AND k.r = p.r LEFT JOIN kids q ON q.l = p.pl AND q.r = p.pr),
+inn AS (SELECT x.l, x.r, x.w, x.lost, b.l AS bl, b.r AS br
+        FROM node x JOIN node b ON b.born AND b.l <= x.l AND b.r >= x.r
+        QUALIFY row_number() OVER (PARTITION BY x.l, x.r ORDER BY b.r - b.l) = 1),
+clu AS (SELECT b.l, b.r, any_value(u.bl) AS ul, any_value(u.br) AS ur,
+               sum(i.lost / i.w) - coalesce((b.r - b.l + 1) / any_value(b.pw), 0) AS stab
+        FROM node b JOIN inn i ON i.bl = b.l AND i.br = b.r LEFT JOIN inn u ON u.l = b.pl AND u.r = b.pr
+        WHERE b.born GROUP BY b.l, b.r),
+st(it, l, r, ul, ur, stab, below, best) AS (
+  SELECT 0, c.l, c.r, c.ul, c.ur, c.stab, CAST(NULL AS DOUBLE),
+         CASE WHEN NOT EXISTS (SELECT 1 FROM clu k WHERE k.ul = c.l AND k.ur = c.r) THEN c.stab END FROM clu c
+  UNION ALL
+  SELECT t.it + 1, t.l, t.r, t.ul, t.ur, t.stab, coalesce(t.below, k.below), coalesce(t.best, greatest(t.stab, k.below))
+  FROM st t LEFT JOIN (SELECT ul, ur, CASE WHEN count(*) = count(best) THEN sum(best) END AS below FROM st GROUP BY ul, ur) k
+    ON k.ul = t.l AND k.ur = t.r
+  WHERE EXISTS (SELECT 1 FROM st WHERE best IS NULL)),
+sel AS (SELECT l, r FROM st WHERE it = (SELECT max(it) FROM st) AND ul IS NOT NULL AND (below IS NULL OR stab >= below)),
+own AS (SELECT s.v, x.l, x.r FROM s JOIN sel x ON s.i BETWEEN x.l AND x.r
+        QUALIFY row_number() OVER (PARTITION BY s.v ORDER BY x.r - x.l DESC) = 1)"""
+
+
+@query("density_clusters", "WITH RECURSIVE " + _CLUSTERS_SQL.strip() + """
+SELECT s.v AS vec_id, CAST(coalesce(min(o.v) OVER (PARTITION BY o.l, o.r), -1) AS BIGINT) AS cluster
+FROM s LEFT JOIN own o ON s.v = o.v""")
+def q_density_clusters(spark, d):
+    """Clusters chosen by stability over the whole hierarchy."""
+    c = D.density_clusters(_points(spark, d), block_size=256)
+    return c.select(F.col("id").alias("vec_id"), "cluster")
+
+
 @query("topic_merge")
 def q_topic_merge(spark, d):
     pt = fx.part_topics(_t(spark, d, "part"))

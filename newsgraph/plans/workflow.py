@@ -17,7 +17,7 @@ from newsgraph.operators.annotate import (ANNOTATE_CALL, annotate_prompt, call_m
                                           drop_empty_topics, parse_annotations)
 from newsgraph.operators.articles import (ARTICLE_COLUMNS, date_window, filter_newspapers,
                                           length_filter, normalize_feed)
-from newsgraph.operators.density import density_components
+from newsgraph.operators.density import density_clusters, density_components
 from newsgraph.operators.persons import process_persons
 from newsgraph.operators.topics import (apply_representatives, cluster_with_model,
                                         distinct_topics, representatives)
@@ -130,7 +130,8 @@ def cluster_topics(df: DataFrame, topics: Sequence[str] | None = None, col: str
     rows and the given topics; each distinct topic (weighted by its rows) is
     a point.  With ``topics``: k-means started at the given topics' vectors
     (they are points too), each cluster named by its given topic.  Without:
-    density clusters at ``density_cut``, each named by its commonest topic
+    density clusters, chosen by stability over the whole hierarchy or taken at
+    ``density_cut`` if that is given, each named by its commonest topic
     (noise keeps its own topic; ``noise_as_cluster`` names all noise rows by
     the commonest noise topic, as the reference does).  Adds
     ``topic_cluster``."""
@@ -152,10 +153,9 @@ def cluster_topics(df: DataFrame, topics: Sequence[str] | None = None, col: str
         lab = labelled.filter(F.col("topic").isNotNull()).select("topic", F.col("cluster").alias("topic_cluster"))
         out = df.join(lab, df[col] == lab["topic"], "left").drop("topic")
         return apply_representatives(out, names, "topic_cluster", col)
-    if density_cut is None:
-        raise ValueError("density_cut is required when no topics are given")
     ids = vecs.withColumn("id", F.col("first_ord"))  # unique per topic
-    cl = density_components(ids.select("id", "vec", "weight"), density_cut)
+    pts = materialize(ids.select("id", "vec", "weight"), "topic-points")
+    cl = density_clusters(pts) if density_cut is None else density_components(pts, density_cut)
     lab = ids.join(cl, "id").select("topic", F.col("cluster").alias("topic_cluster"))
     out = df.join(lab, df[col] == lab["topic"], "left").drop("topic")
     if noise_as_cluster:  # the reference's behaviour: noise is one more cluster

@@ -122,6 +122,16 @@ def test_neighbours_are_exact(spark, block):
         assert np.allclose([x for x, _ in got[i]], [x for x, _ in want])
 
 
+def test_a_distance_has_one_value():
+    rng = np.random.default_rng(6)
+    X = rng.normal(size=(300, 64)).astype(np.float32).astype(float)
+    d = N.distances(X, X)
+    assert (d == d.T).all() and np.allclose(d, np.sqrt(((X[:, None] - X[None]) ** 2).sum(-1)))
+    for i in (0, 17, 299):
+        assert (N.row_distances(np.ascontiguousarray(X.T), i) == d[i]).all()
+        assert (N.distances(X[i:i + 1], X[5:60]) == d[i, 5:60]).all()
+
+
 def test_few_points_have_fewer_neighbours(spark):
     assert N.knn(frame(spark, []), 2).collect() == []
     assert N.knn(frame(spark, [[1.0, 2.0]]), 2).collect() == []
