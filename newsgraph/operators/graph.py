@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-LAYOUTS = ("random_layout", "spring_layout", "layered_layout", "triangle_layout")
+LAYOUTS = ("random_layout", "layered_layout", "triangle_layout")  # no spring solver: a position it did not solve is refused
 # Fixed display values: layered y step, triangle shifts per type rank, size scale.
 LAYER_STEP = 1.5
 TRIANGLE_SHIFTS = ((-1.0, -1.0), (1.0, -1.0), (0.0, 1.0))

@@ -6,19 +6,19 @@ the full row set while the work scales with the number of distinct topics.
 
 Seeded k-means keeps its ``k × d`` centres on the driver between rounds
 (``k`` is the number of given topics, so this is bounded by the caller's
-list, not by the data); each round is one pass over the points: assignment
-with the centres inlined as a constant, then a weighted mean per cluster
-that aggregates on the map side."""
+list, not by the data); each round is one pass over the points: whole Arrow
+batches against the centres in numpy, and one sum per centre and task."""
 
 from __future__ import annotations
 
-import json
-from collections.abc import Sequence
-
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from newsgraph.functions.text import ws_tokens
+from newsgraph.operators.neighbours import distances, vectors_of
 
 W2V_DIM, W2V_WINDOW, W2V_MIN_COUNT = 100, 5, 1
 
@@ -81,33 +81,53 @@ def kmeans(points: DataFrame, k: int, seed: int = 42, vec_col: str = "vec", max_
     return model.transform(p).drop("_v"), [list(map(float, c)) for c in model.clusterCenters()]
 
 
-def _centres_const(centres: list[list[float]]) -> Column:
-    # One constant: parsed once by constant folding, not one literal per number.
-    return F.from_json(F.lit(json.dumps(centres)), "array<array<double>>")
+def _nearest(vectors, centres):
+    """Row numbers of the nearest centres (the lowest on a tie)."""
+    return distances(vectors, centres).argmin(1)
 
 
-def sq_dist(v: Column, c: Column) -> Column:
-    return F.aggregate(F.zip_with(v, c, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda acc, x: acc + x)
+def assign(points: DataFrame, centres: list[list[float]], vec_col: str = "vec") -> DataFrame:
+    """Nearest centre (lowest index on a tie) → ``cluster``; whole Arrow
+    batches at a time, the centres sent once (k × d values)."""
+    sent = points.sparkSession.sparkContext.broadcast(np.array(centres, np.float64))
+    schema = T.StructType([*points.schema.fields, T.StructField("cluster", T.IntegerType())])
 
+    def run(batches):
+        for b in batches:
+            if b.num_rows:
+                cluster = _nearest(vectors_of(b.column(vec_col)), sent.value)
+                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(cluster, pa.int32())], [*b.schema.names, "cluster"])
 
-def assign(points: DataFrame, centres: list[list[float]], vec_col: str = "vec") -> DataFrame:
-    """Nearest centre (lowest index on a tie) → ``cluster``."""
-    cs = _centres_const(centres)
-    d = F.transform(cs, lambda c: sq_dist(F.col(vec_col).cast("array<double>"), c))
-    return points.withColumn("_d", d).withColumn(
-        "cluster", (F.array_position(F.col("_d"), F.array_min(F.col("_d"))) - 1).cast("int")).drop("_d")
+    return points.mapInArrow(run, schema)
 
 
-def _weighted_means(assigned: DataFrame, vec_col: str, weight_col: str | None) -> dict[int, list[float]]:
+def _weighted_means(points: DataFrame, centres: list[list[float]], vec_col: str, weight_col: str | None) -> dict[int, list[float]]:
+    """Means of the points nearest to each centre: a task gives one sum per
+    centre, and sums of tasks are added as vectors."""
     from pyspark.ml.functions import array_to_vector, vector_to_array
     from pyspark.ml.stat import Summarizer
 
-    w = F.col(weight_col).cast("double") if weight_col else F.lit(1.0)
-    rows = (assigned.select("cluster", array_to_vector(F.col(vec_col).cast("array<double>")).alias("_v"),
-                            w.alias("_w"))
-            .groupBy("cluster").agg(Summarizer.mean(F.col("_v"), F.col("_w")).alias("_m"))
-            .select("cluster", vector_to_array("_m").alias("m")).collect())
-    return {r["cluster"]: list(r["m"]) for r in rows}
+    sent = points.sparkSession.sparkContext.broadcast(np.array(centres, np.float64))
+    weight = F.col(weight_col).cast("double") if weight_col else F.lit(1.0)
+
+    def run(batches):
+        k, d = sent.value.shape
+        total, held = np.zeros((k, d)), np.zeros(k)
+        for b in batches:
+            if b.num_rows:
+                v, w = vectors_of(b.column("v")), b.column("w").to_numpy()
+                at = _nearest(v, sent.value)
+                np.add.at(total, at, v * w[:, None])
+                held += np.bincount(at, weights=w, minlength=k)
+        some = np.flatnonzero(held)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(some.astype(np.int32)), pa.array(held[some]), pa.array(total[some].tolist(), pa.list_(pa.float64()))],
+            ["cluster", "w", "v"])
+
+    sums = points.select(F.col(vec_col).cast("array<double>").alias("v"), weight.alias("w")).mapInArrow(
+        run, "cluster int, w double, v array<double>")
+    rows = (sums.groupBy("cluster").agg(F.sum("w").alias("w"), vector_to_array(Summarizer.sum(array_to_vector("v"))).alias("v")).collect())
+    return {r["cluster"]: [x / r["w"] for x in r["v"]] for r in rows}
 
 
 def seeded_kmeans(points: DataFrame, seeds: list[list[float]], vec_col: str = "vec",
@@ -137,7 +157,7 @@ def seeded_kmeans(points: DataFrame, seeds: list[list[float]], vec_col: str = "v
             threshold = tol * (sum(var) / len(var) if var else 0.0)
         rounds = fixed_iterations if fixed_iterations is not None else max_iter
         for _ in range(rounds):
-            means = _weighted_means(assign(pts, centres, vec_col), vec_col, weight_col)
+            means = _weighted_means(pts, centres, vec_col, weight_col)
             new = [means.get(i, c) for i, c in enumerate(centres)]
             shift = sum((a - b) ** 2 for c0, c1 in zip(centres, new) for a, b in zip(c0, c1))
             centres = new

@@ -19,6 +19,7 @@ from newsgraph.operators import articles as AR
 from newsgraph.operators import density as D
 from newsgraph.operators import graph as G
 from newsgraph.operators import persons as P
+from newsgraph.operators import tokens as TK
 from newsgraph.operators import topics as TP
 from newsgraph.operators import vectors as V
 from newsgraph.plans import fixtures as fx
@@ -269,6 +270,24 @@ def q_token_budget(spark, d):
                                       F.sum(T.token_count(F.col("text"))).cast("bigint").alias("tokens"))
 
 
+# A small byte-pair vocabulary: single bytes, then merges in order of rank.
+BPE_PATTERN = r" ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+"
+BPE_MERGES = ["th", "in", "er", "an", "re", "on", "the", "ing", "en", " t", " the", "or", "es", "al", "ti", "tion", "st", "ar", " a", " in",
+              "at", "ed", "le", " s", "ion", "is", "it", "as", "and", " and"]
+
+
+def bpe_ranks(spark) -> DataFrame:
+    tokens = [bytes([i]) for i in range(256)] + [m.encode() for m in BPE_MERGES]
+    return spark.createDataFrame([(bytearray(t), i) for i, t in enumerate(tokens)], "token binary, rank int")
+
+
+@query("token_exact")
+def q_token_exact(spark, d):
+    """Exact tokens of every document under a given rank table."""
+    docs = _t(spark, d, "documents").select("doc_id", "text")
+    return TK.bpe_token_counts(docs, bpe_ranks(spark), "doc_id", pattern=BPE_PATTERN)
+
+
 # ---------------------------------------------------------------------------
 # Annotation (I-12..I-15, I-24, I-29, I-34, I-35)
 # ---------------------------------------------------------------------------
@@ -574,6 +593,42 @@ def q_kmeans_seeded(spark, d):
     return out.filter(F.col("id") >= 0).select(F.col("id").alias("vec_id"), "cluster")
 
 
+_KMEANS_RUN_SQL = """
+WITH RECURSIVE pts AS (SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+seed0 AS (
+  SELECT label AS cid, list(x ORDER BY i) AS centre FROM (
+    SELECT label, i, avg(CAST(embedding[i] AS DOUBLE)) AS x
+    FROM (SELECT label, embedding, unnest(range(1, len(embedding) + 1)) AS i FROM embeddings)
+    GROUP BY label, i) GROUP BY label),
+allp AS (SELECT id, v FROM pts UNION ALL SELECT -1 - cid, centre FROM seed0),
+limits AS (SELECT 0.0001 * avg(x) AS least FROM (
+  SELECT i, var_pop(v[i]) AS x FROM (SELECT v, unnest(range(1, len(v) + 1)) AS i FROM allp) GROUP BY i)),
+st(turn, cid, centre, moved) AS (
+  SELECT 0, cid, centre, CAST('inf' AS DOUBLE) FROM seed0
+  UNION ALL
+  SELECT turn, cid, centre, sum(list_distance(centre, before) ** 2) OVER () FROM (
+    SELECT o.turn + 1 AS turn, o.cid, o.centre AS before, coalesce(m.centre, o.centre) AS centre
+    FROM st o LEFT JOIN (
+      SELECT cid, list(x ORDER BY i) AS centre FROM (
+        SELECT cid, i, avg(v[i]) AS x FROM (
+          SELECT cid, v, unnest(range(1, len(v) + 1)) AS i FROM (
+            SELECT p.id, p.v, arg_min(c.cid, list_distance(p.v, c.centre)) AS cid FROM allp p, st c GROUP BY p.id, p.v))
+        GROUP BY cid, i) GROUP BY cid) m USING (cid)
+    WHERE o.turn < 300 AND o.moved > (SELECT least FROM limits)))
+SELECT p.id AS vec_id, CAST(arg_min(c.cid, list_distance(p.v, c.centre)) AS INTEGER) AS cluster
+FROM pts p, st c WHERE c.turn = (SELECT max(turn) FROM st) GROUP BY p.id"""
+
+
+@query("kmeans_converged", _KMEANS_RUN_SQL)
+def q_kmeans_converged(spark, d):
+    """Seeded k-means until the centres move less than the default tolerance."""
+    seeds = _label_seeds(spark, d)
+    seed_pts = spark.createDataFrame([(-1 - i, s, 1) for i, s in enumerate(seeds)],
+                                     "id bigint, vec array<double>, weight bigint")
+    out, _ = V.seeded_kmeans(_points(spark, d).unionByName(seed_pts), seeds)
+    return out.filter(F.col("id") >= 0).select(F.col("id").alias("vec_id"), "cluster")
+
+
 _PAIRS_SQL = """
 pr AS (SELECT a.vec_id AS a, b.vec_id AS b,
               list_distance(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])) AS d

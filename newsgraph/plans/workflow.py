@@ -9,7 +9,7 @@ import datetime as _dt
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newsgraph.functions.text import html_to_text, with_columns_once
@@ -24,6 +24,7 @@ from newsgraph.operators.topics import (apply_representatives, cluster_with_mode
 from newsgraph.operators.vectors import seeded_kmeans, topic_vectors, train_word2vec
 from newsgraph.session import materialize
 from newsgraph.sources.feed import attach_pages, feed_items
+from newsgraph.sources.live import search_replies
 
 PROCESSED_COLUMNS = (*ARTICLE_COLUMNS, "text", "topics", "persons")
 
@@ -39,7 +40,7 @@ class NewsRun:
     start_date: str | _dt.date | None = None
     end_date: str | _dt.date | None = None
     limit: int | None = None    # entries kept of each landed reply; none are cut by default
-    country: str = "it"
+    country: str = "it"         # sent to the search service
     max_chars: int = 15000
     model: str = ""             # model name: part of the store key
     pause: float = 0.0          # seconds between the starts of two calls of one task
@@ -68,6 +69,15 @@ def collect_articles(replies: DataFrame, run: NewsRun) -> DataFrame:
     return arts
 
 
+def scrape_articles(spark: SparkSession, run: NewsRun, search: Callable) -> DataFrame:
+    """The run's queries (one per newspaper, ``"{source} {query}"``) sent to a
+    search service, then ``collect_articles``.  ``search(keywords, limit,
+    country)`` runs on the executors; the replies are written once, so that a
+    recomputed stage does not search again."""
+    replies = search_replies(spark, run.sources, run.query, search, run.limit, run.country)
+    return collect_articles(materialize(replies, "search-replies"), run)
+
+
 def annotate_articles(articles: DataFrame, run: NewsRun, client_factory: Callable,
                       pin: bool = True) -> tuple[DataFrame, DataFrame]:
     """Length filter → model call (distinct prompts, pinned replies) →

@@ -36,7 +36,7 @@ def duck():
 
 
 def test_every_query_has_sql_or_is_model_bound():
-    assert set(catalog.QUERIES) - set(catalog.SQL) <= {"topic_word2vec", "kmeans_plain", "topic_merge"}
+    assert set(catalog.QUERIES) - set(catalog.SQL) <= {"topic_word2vec", "kmeans_plain", "topic_merge", "token_exact"}
     assert set(catalog.SQL) <= set(catalog.QUERIES)
     assert set(E.oracle_sql()) <= set(E.queries()) and set(catalog.QUERIES) <= set(E.queries())
 
@@ -53,7 +53,7 @@ def test_query_matches_sql(spark, duck, name):
     assert got == want
 
 
-@pytest.mark.parametrize("name", ["topic_word2vec", "kmeans_plain", "topic_merge"])
+@pytest.mark.parametrize("name", ["topic_word2vec", "kmeans_plain", "topic_merge", "token_exact"])
 def test_model_bound_queries_run(spark, name):
     assert E.queries()[name](spark, SMALL_SF_DIR).count() > 0
 

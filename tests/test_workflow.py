@@ -54,3 +54,21 @@ def test_readme_flow_with_reply_store(spark, tmp_path):
                             ("persons", "topics", "about")])
     assert g.nodes.count() > 0 and g.edges_simple.count() <= g.edges_multi.count()
     assert g.display("triangle_layout").filter(F.col("dx").isNull()).count() == 0
+
+
+def test_topics_cluster_without_a_cut(spark):
+    """Topics around three separate words come out as three clusters, each
+    named by its commonest topic."""
+    from newsgraph.plans.workflow import cluster_topics
+
+    names = [f"{w} {x}" for w in ("calcio", "borsa", "teatro") for x in ("uno", "due", "tre", "quattro")]
+    rows = [(i, n) for i, n in enumerate(n for n in names for _ in range(3))]
+    df = spark.createDataFrame([*rows, (900, "calcio uno"), (901, None)], "row_ord long, topics string")
+    out = cluster_topics(df).collect()
+    assert len(out) == len(rows) + 2 and {r.row_ord for r in out} == {r for r, _ in rows} | {900, 901}
+    named = {}
+    for r in out:
+        if r.topic_cluster is not None and r.topic_cluster != -1:
+            named.setdefault(r.topic_cluster, set()).add(r.topics)
+    assert named and all(len(v) == 1 for v in named.values())
+    assert [r.topics for r in out if r.row_ord == 901] == [None]
