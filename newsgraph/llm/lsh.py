@@ -3,8 +3,9 @@
 Every pair of items that shares a band is either verified or already in one
 class, without emitting all pairs of a bucket: each bucket first verifies
 its members against one leader; only members left outside the bucket's main
-class are then compared with the members of other classes, and of those
-pairs only the ones that an exact bound lets through.
+class are then compared with the members of other classes, each two of them
+once whatever the number of buckets they share, and of those pairs only the
+ones that an exact bound lets through.
 
 The bound: a mark sets one of 1024 bits per element, so each bit that A has
 and B lacks stands for at least one element of A outside B, of weight one or
@@ -18,7 +19,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newsgraph.llm import common as C
@@ -119,6 +120,23 @@ def verify(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     return C.map_arrow(wide, run, "a long, b long")
 
 
+def _labelled(bands: DataFrame, found: DataFrame) -> DataFrame:
+    """(band, id, root, main) of the members of buckets that hold more than one class;
+    ``main`` is the class with the most members there."""
+    own = bands.join(found.withColumnRenamed("node", "id"), "id", "left").select("band", "id", F.coalesce("root", "id").alias("root"))
+    sizes = own.groupBy("band", "root").agg(F.count(F.lit(1)).alias("n"))
+    mixed = (sizes.groupBy("band").agg(F.count(F.lit(1)).alias("k"), F.max_by("root", F.struct("n", "root")).alias("main"))
+             .where("k > 1").select("band", "main"))
+    return own.join(mixed, "band")
+
+
+def _once() -> Column:
+    """Each two members of different classes in one bucket, the first of those
+    they share, and on one side only."""
+    first = F.array_min(F.array_intersect(F.col("l.own"), F.col("r.own"))) == F.col("l.band")
+    return ((F.col("r.root") == F.col("r.main")) | (F.col("l.id") < F.col("r.id"))) & first
+
+
 def classes(bands: DataFrame, marked: DataFrame, make_sets, threshold: float, name: str) -> DataFrame:
     """(node, root) for the items that link with another one.
 
@@ -126,29 +144,26 @@ def classes(bands: DataFrame, marked: DataFrame, make_sets, threshold: float, na
     ``marked``: (id and the MARKS columns), one row per item.
     ``make_sets(ids)``: the shingle sets (id, h, c) of the items in ``ids``."""
     lead = bands.groupBy("band").agg(F.min("id").alias("a"), F.max("id").alias("z")).where("a != z")
-    pairs = C.keep(bands.join(lead.select("band", "a"), "band").where("a != id")
-                   .select("a", F.col("id").alias("b")).distinct(), f"{name}-pairs")
-    members = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
-    sets = C.keep(make_sets(members), f"{name}-sets")
+    members = bands.join(lead.select("band", "a"), "band")
+    pairs = C.keep(members.where("a != id").select("a", F.col("id").alias("b")).distinct(), f"{name}-pairs")
+    wanted = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
+    sets = C.keep(make_sets(wanted), f"{name}-sets")
     edges = C.keep(verify(pairs, sets, threshold), f"{name}-edges")
     found = C.components(edges, name=f"{name}-cc")
-    # members of a bucket that its leader did not bring into one class
-    labelled = (bands.join(lead.select("band"), "band")
-                .join(found.withColumnRenamed("node", "id"), "id", "left")
-                .select("band", "id", F.coalesce("root", "id").alias("root")))
-    mixed = (labelled.groupBy("band", "root").agg(F.count(F.lit(1)).alias("n"))
-             .groupBy("band").agg(F.count(F.lit(1)).alias("k"), F.max_by("root", F.struct("n", "root")).alias("main"))
-             .where("k > 1").select("band", "main"))
-    rest = C.keep(labelled.join(mixed, "band").join(_marked(marked), "id"), f"{name}-mixed")
-    left, right = rest.where("root != main").alias("l"), rest.alias("r")
-    more = (left.join(right, (F.col("l.band") == F.col("r.band")) & (F.col("l.root") != F.col("r.root"))
-                      & _may_link(threshold))
+    rest = _labelled(bands.join(lead.select("band"), "band"), found)
+    # what is still apart: each two members of different classes once, under the bound
+    rest = C.keep(rest, f"{name}-apart")
+    own = rest.groupBy("id").agg(F.collect_list("band").alias("own"))  # at most all bands of an item
+    near = C.keep(rest.join(own.join(_marked(marked), "id"), "id"), f"{name}-mixed")
+    left, right = near.where("root != main").alias("l"), near.alias("r")
+    late = (left.join(right, (F.col("l.band") == F.col("r.band")) & (F.col("l.root") != F.col("r.root"))
+                      & _may_link(threshold) & _once())
             .select(F.least("l.id", "r.id").alias("a"), F.greatest("l.id", "r.id").alias("b")).distinct()
             .join(pairs, ["a", "b"], "left_anti"))
-    more = C.keep(more, f"{name}-more")
-    if more.isEmpty():
-        return found
-    late = C.keep(verify(more, sets, threshold), f"{name}-late")
+    late = C.keep(late, f"{name}-more")
     if late.isEmpty():
         return found
-    return C.components(edges.union(late), name=f"{name}-cc2")
+    links = C.keep(verify(late, sets, threshold), f"{name}-late")
+    if links.isEmpty():
+        return found
+    return C.components(found.select(F.col("node").alias("a"), F.col("root").alias("b")).union(links), name=f"{name}-cc2")
