@@ -502,6 +502,13 @@ def _word_slot_sql(w: str) -> str:
     return f"((ascii({w}) * 31 + length({w}) * 7 + ascii(reverse({w}))) * 7919) % (SELECT count(*) FROM embeddings)"
 
 
+def _given_words(spark, d) -> DataFrame:
+    """A vector for each word of the part names: the embedding in its slot."""
+    words = _t(spark, d, "part").select(F.explode(T.ws_tokens("p_name")).alias("word")).distinct()
+    emb = _t(spark, d, "embeddings")
+    return words.join(emb, emb["vec_id"] == _word_slot(F.col("word"), emb.count())).select("word", F.col("embedding").alias("vec"))
+
+
 @query("topic_vector_mean", f"""
 WITH w AS (SELECT DISTINCT unnest({S.ws_tokens('p_name')}) AS word FROM part),
 wv AS (SELECT w.word, e.embedding AS vec FROM w JOIN embeddings e ON e.vec_id = {_word_slot_sql('w.word')}),
@@ -512,10 +519,7 @@ SELECT topic, CAST(i - 1 AS INTEGER) AS dim, round(avg(CAST(vec[i] AS DOUBLE)),
 FROM x GROUP BY topic, i""")
 def q_topic_vector_mean(spark, d):
     part = _t(spark, d, "part")
-    words = part.select(F.explode(T.ws_tokens("p_name")).alias("word")).distinct()
-    emb = _t(spark, d, "embeddings")
-    wv = words.join(emb, emb["vec_id"] == _word_slot(F.col("word"), emb.count())).select("word", F.col("embedding").alias("vec"))
-    means = V.mean_word_vectors(part.select(F.col("p_name").alias("topic")).distinct(), wv)
+    means = V.mean_word_vectors(part.select(F.col("p_name").alias("topic")).distinct(), _given_words(spark, d))
     return means.select("topic", F.posexplode("vec").alias("dim", "x")).withColumn("x", F.round("x", 6))
 
 
@@ -737,6 +741,48 @@ def q_topic_merge(spark, d):
     return out.select("p_partkey", "topics", "topic_cluster")
 
 
+_MERGE_GIVEN_SQL = f"""
+WITH RECURSIVE w AS (SELECT DISTINCT unnest({S.ws_tokens('p_name')}) AS word FROM part),
+wv AS (SELECT w.word, CAST(e.embedding AS DOUBLE[]) AS vec FROM w JOIN embeddings e ON e.vec_id = {_word_slot_sql('w.word')}),
+t AS (SELECT p_name AS topic, count(*) AS weight FROM part GROUP BY p_name),
+g AS (SELECT topic, cid FROM (VALUES {', '.join(f"({S.lit(t)}, {i})" for i, t in enumerate(GIVEN_TOPICS))}) v(topic, cid)),
+tv AS (
+  SELECT topic, list(x ORDER BY i) AS v FROM (
+    SELECT topic, i, avg(vec[i]) AS x FROM (
+      SELECT topic, vec, unnest(range(1, len(vec) + 1)) AS i
+      FROM (SELECT topic, unnest({S.ws_tokens('topic')}) AS word FROM (SELECT topic FROM t UNION SELECT topic FROM g)) JOIN wv USING (word))
+    GROUP BY topic, i) GROUP BY topic),
+allp AS (SELECT topic, v, weight, FALSE AS given FROM t JOIN tv USING (topic) UNION ALL SELECT topic, v, 1, TRUE FROM g JOIN tv USING (topic)),
+limits AS (SELECT 0.0001 * avg(x) AS least FROM (
+  SELECT i, sum(weight * v[i] ** 2) / sum(weight) - (sum(weight * v[i]) / sum(weight)) ** 2 AS x
+  FROM (SELECT v, weight, unnest(range(1, len(v) + 1)) AS i FROM allp) GROUP BY i)),
+st(turn, cid, centre, moved) AS (
+  SELECT 0, cid, v, CAST('inf' AS DOUBLE) FROM g JOIN tv USING (topic)
+  UNION ALL
+  SELECT turn, cid, centre, sum(list_distance(centre, before) ** 2) OVER () FROM (
+    SELECT o.turn + 1 AS turn, o.cid, o.centre AS before, coalesce(m.centre, o.centre) AS centre
+    FROM st o LEFT JOIN (
+      SELECT cid, list(x ORDER BY i) AS centre FROM (
+        SELECT cid, i, sum(weight * v[i]) / sum(weight) AS x FROM (
+          SELECT cid, v, weight, unnest(range(1, len(v) + 1)) AS i FROM (
+            SELECT p.topic, p.given, p.v, p.weight, arg_min(c.cid, list_distance(p.v, c.centre)) AS cid
+            FROM allp p, st c GROUP BY p.topic, p.given, p.v, p.weight))
+        GROUP BY cid, i) GROUP BY cid) m USING (cid)
+    WHERE o.turn < 300 AND o.moved > (SELECT least FROM limits))),
+lab AS (SELECT p.topic, arg_min(c.cid, list_distance(p.v, c.centre)) AS cid
+        FROM allp p, st c WHERE NOT p.given AND c.turn = (SELECT max(turn) FROM st) GROUP BY p.topic)
+SELECT p.p_partkey, g.topic AS topics, CAST(lab.cid AS INTEGER) AS topic_cluster
+FROM part p JOIN lab ON lab.topic = p.p_name JOIN g USING (cid)"""
+
+
+@query("topic_merge_given", _MERGE_GIVEN_SQL)
+def q_topic_merge_given(spark, d):
+    """The whole merge on word vectors that are given, so that every step
+    after the training is checked by value."""
+    out = W.cluster_topics(fx.part_topics(_t(spark, d, "part")), GIVEN_TOPICS, words=_given_words(spark, d))
+    return out.select("p_partkey", "topics", "topic_cluster")
+
+
 # ---------------------------------------------------------------------------
 # Graph (I-23, I-36..I-40, I-46..I-49)
 # ---------------------------------------------------------------------------

@@ -21,7 +21,7 @@ from newsgraph.operators.density import density_clusters, density_components
 from newsgraph.operators.persons import process_persons
 from newsgraph.operators.topics import (apply_representatives, cluster_with_model,
                                         distinct_topics, representatives)
-from newsgraph.operators.vectors import seeded_kmeans, topic_vectors, train_word2vec
+from newsgraph.operators.vectors import mean_word_vectors, seeded_kmeans, topic_vectors, train_word2vec
 from newsgraph.session import materialize
 from newsgraph.sources.feed import attach_pages, feed_items
 from newsgraph.sources.live import search_replies
@@ -135,36 +135,45 @@ def process_articles(articles: DataFrame, pages: DataFrame, run: NewsRun, client
 
 def cluster_topics(df: DataFrame, topics: Sequence[str] | None = None, col: str = "topics",
                    order_col: str = "row_ord", seed: int = 42, density_cut: float | None = None,
-                   max_iter: int = 300, noise_as_cluster: bool = False) -> DataFrame:
+                   max_iter: int = 300, noise_as_cluster: bool = False, words: DataFrame | None = None) -> DataFrame:
     """Merge topics by vectors.  One Word2Vec over the words of all topic
-    rows and the given topics; each distinct topic (weighted by its rows) is
+    rows and the given topics, or the word vectors ``words`` (word, vec) if they
+    are given; each distinct topic (weighted by its rows) is
     a point.  With ``topics``: k-means started at the given topics' vectors
     (they are points too), each cluster named by its given topic.  Without:
     density clusters, chosen by stability over the whole hierarchy or taken at
     ``density_cut`` if that is given, each named by its commonest topic
     (noise keeps its own topic; ``noise_as_cluster`` names all noise rows by
-    the commonest noise topic, as the reference does).  Adds
-    ``topic_cluster``."""
+    the commonest noise topic, as the reference does).  A topic without a
+    vector (no known word) stays as it is.  Adds ``topic_cluster``."""
     spark = df.sparkSession
-    rows = df.select(F.col(col).alias("topics"))
-    if topics:
-        given = spark.createDataFrame([(t,) for t in topics], "topics string")
-        rows = rows.unionByName(given)
-    model = train_word2vec(rows, "topics", seed=seed)
-    dist = distinct_topics(df, col, order_col)
-    vecs = topic_vectors(dist, model, "topic")
+    given = spark.createDataFrame(list(enumerate(topics or [])), "idx int, topic string")
+    if words is None:
+        rows = df.select(F.col(col).alias("topics"))
+        model = train_word2vec(rows.unionByName(given.select(F.col("topic").alias("topics"))) if topics else rows, "topics", seed=seed)
+
+    def vectors(frame: DataFrame) -> DataFrame:
+        if words is None:
+            return topic_vectors(frame, model, "topic")
+        return frame.join(mean_word_vectors(frame.select("topic").distinct(), words), "topic")
+
+    vecs = materialize(vectors(distinct_topics(df, col, order_col)), "topic-vectors")
     if topics:
-        seeds_df = topic_vectors(spark.createDataFrame(list(enumerate(topics)), "idx int, topic string"), model)
-        seeds = [r["vec"] for r in seeds_df.orderBy("idx").collect()]  # k given vectors
+        seeds_df = vectors(given)
+        found = {r["idx"]: r["vec"] for r in seeds_df.collect()}  # k given vectors
+        if len(found) < len(topics):
+            raise ValueError(f"no vector for {[t for i, t in enumerate(topics) if i not in found]}")
+        seeds = [found[i] for i in range(len(topics))]
         pts = vecs.select("topic", "vec", "weight").unionByName(
             seeds_df.select("topic", "vec", F.lit(1).cast("bigint").alias("weight")).withColumn("topic", F.lit(None).cast("string")))
         labelled, _ = seeded_kmeans(pts, seeds, weight_col="weight", max_iter=max_iter)
-        names = spark.createDataFrame(list(enumerate(topics)), "topic_cluster int, representative string")
         lab = labelled.filter(F.col("topic").isNotNull()).select("topic", F.col("cluster").alias("topic_cluster"))
         out = df.join(lab, df[col] == lab["topic"], "left").drop("topic")
-        return apply_representatives(out, names, "topic_cluster", col)
+        names = given.select(F.col("idx").alias("topic_cluster"), F.col("topic").alias("representative"))
+        return (apply_representatives(out.where("topic_cluster is not null"), names, "topic_cluster", col)
+                .unionByName(out.where("topic_cluster is null")))
     ids = vecs.withColumn("id", F.col("first_ord"))  # unique per topic
-    pts = materialize(ids.select("id", "vec", "weight"), "topic-points")
+    pts = ids.select("id", "vec", "weight")
     cl = density_clusters(pts) if density_cut is None else density_components(pts, density_cut)
     lab = ids.join(cl, "id").select("topic", F.col("cluster").alias("topic_cluster"))
     out = df.join(lab, df[col] == lab["topic"], "left").drop("topic")

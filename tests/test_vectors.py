@@ -116,3 +116,21 @@ def test_word2vec_repeatable(spark):
     v2 = V.topic_vectors(df.withColumnRenamed("topics", "topic"), V.train_word2vec(df, dim=8, partitions=1)).collect()
     assert [r.vec for r in v1] == [r.vec for r in v2] and len(v1[0].vec) == 8
     assert F is not None
+
+
+def test_word2vec_puts_words_that_occur_together_near_each_other(spark):
+    """Planted groups of words: each word's nearest other word is of its group."""
+    import random
+
+    from pyspark.ml.functions import vector_to_array
+
+    rng = random.Random(2)
+    groups = [[f"g{g}w{i}" for i in range(5)] for g in range(4)]
+    rows = [(" ".join(rng.sample(groups[k % 4], 4)),) for k in range(1600)]
+    model = V.train_word2vec(spark.createDataFrame(rows, "topics string"), dim=16, partitions=2)
+    vecs = {r.word: np.array(r.v) for r in model.getVectors().select("word", vector_to_array("vector").alias("v")).collect()}
+    assert len(vecs) == 20
+    unit = {w: v / np.linalg.norm(v) for w, v in vecs.items()}
+    for w, v in unit.items():
+        best = max((x for x in unit if x != w), key=lambda x: v @ unit[x])
+        assert best[:2] == w[:2]
