@@ -120,10 +120,52 @@ def verify(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     return C.map_arrow(wide, run, "a long, b long")
 
 
-def _labelled(bands: DataFrame, found: DataFrame) -> DataFrame:
-    """(band, id, root, main) of the members of buckets that hold more than one class;
-    ``main`` is the class with the most members there."""
-    own = bands.join(found.withColumnRenamed("node", "id"), "id", "left").select("band", "id", F.coalesce("root", "id").alias("root"))
+def colliding(bands: DataFrame) -> DataFrame:
+    """(band, id, a) of the buckets with two items or more, ``a`` being their
+    smallest id: one shuffle of (id, band), sorted, and a run of equal bands at
+    a time; what is alone in its bucket ends here."""
+    def run(batches):
+        last, lead, told = None, None, True
+        for b in batches:
+            if not b.num_rows:
+                continue
+            band, ids = b.column("band").to_numpy(), b.column("id").to_numpy()
+            start = np.flatnonzero(np.append(True, band[1:] != band[:-1]))
+            length = np.diff(np.append(start, len(band)))
+            first = ids[start]
+            goes_on = last is not None and band[0] == last
+            many = length > 1
+            if goes_on:
+                first = np.append(lead, first[1:])
+                many = np.append(True, many[1:])
+            keep = np.repeat(many, length)
+            out = [band[keep], ids[keep], np.repeat(first[many], length[many])]
+            if goes_on and not told:  # the run's first row ended the batch before
+                out = [np.append(x, y) for x, y in zip((last, lead, lead), out)]
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in out], ["band", "id", "a"])
+            last, lead, told = band[-1], first[-1], bool(many[-1])
+
+    return (bands.select("band", "id").repartition("band").sortWithinPartitions("band", "id")
+            .mapInArrow(run, "band long, id long, a long"))
+
+
+def _marks_of(sets: DataFrame) -> DataFrame:
+    """The MARKS columns of the sets (id, h, c)."""
+    def run(b: pa.RecordBatch):
+        h = [np.frombuffer(x.as_buffer(), np.uint64) for x in b.column("h")]
+        rows = np.repeat(np.arange(len(h)), [len(x) for x in h])
+        count = [np.frombuffer(x.as_buffer(), np.uint32) for x in b.column("c")]
+        join = lambda x, kind: np.concatenate(x) if x else np.zeros(0, kind)
+        yield pa.RecordBatch.from_arrays(
+            [b.column("id"), *marks(rows, join(h, np.uint64), join(count, np.uint32), len(h))], ["id", "bits", "weight"])
+
+    return C.map_arrow(sets.select("id", "h", "c"), run, f"id long, {MARKS}")
+
+
+def _labelled(members: DataFrame, found: DataFrame) -> DataFrame:
+    """(band, id, root, main) of the members of buckets that hold more than
+    one class; ``main`` is the class with the most members there."""
+    own = members.join(found.withColumnRenamed("node", "id"), "id", "left").select("band", "id", F.coalesce("root", "id").alias("root"))
     sizes = own.groupBy("band", "root").agg(F.count(F.lit(1)).alias("n"))
     mixed = (sizes.groupBy("band").agg(F.count(F.lit(1)).alias("k"), F.max_by("root", F.struct("n", "root")).alias("main"))
              .where("k > 1").select("band", "main"))
@@ -137,24 +179,23 @@ def _once() -> Column:
     return ((F.col("r.root") == F.col("r.main")) | (F.col("l.id") < F.col("r.id"))) & first
 
 
-def classes(bands: DataFrame, marked: DataFrame, make_sets, threshold: float, name: str) -> DataFrame:
+def classes(bands: DataFrame, marked: DataFrame | None, make_sets, threshold: float, name: str) -> DataFrame:
     """(node, root) for the items that link with another one.
 
-    ``bands``: (id, band), one row per item and band key, on disk already.
-    ``marked``: (id and the MARKS columns), one row per item.
+    ``bands``: (id, band), one row per item and band key.
+    ``marked``: (id and the MARKS columns), one row per item, if they are at
+    hand; else they are made of the sets, where they are needed.
     ``make_sets(ids)``: the shingle sets (id, h, c) of the items in ``ids``."""
-    lead = bands.groupBy("band").agg(F.min("id").alias("a"), F.max("id").alias("z")).where("a != z")
-    members = bands.join(lead.select("band", "a"), "band")
+    members = C.keep(colliding(bands), f"{name}-members")
     pairs = C.keep(members.where("a != id").select("a", F.col("id").alias("b")).distinct(), f"{name}-pairs")
-    wanted = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
-    sets = C.keep(make_sets(wanted), f"{name}-sets")
+    sets = C.keep(make_sets(members.select("id").distinct()), f"{name}-sets")
     edges = C.keep(verify(pairs, sets, threshold), f"{name}-edges")
     found = C.components(edges, name=f"{name}-cc")
-    rest = _labelled(bands.join(lead.select("band"), "band"), found)
     # what is still apart: each two members of different classes once, under the bound
-    rest = C.keep(rest, f"{name}-apart")
+    rest = C.keep(_labelled(members, found), f"{name}-apart")
     own = rest.groupBy("id").agg(F.collect_list("band").alias("own"))  # at most all bands of an item
-    near = C.keep(rest.join(own.join(_marked(marked), "id"), "id"), f"{name}-mixed")
+    made = marked if marked is not None else _marks_of(sets.join(own.select("id"), "id", "left_semi"))
+    near = C.keep(rest.join(own.join(_marked(made), "id"), "id"), f"{name}-mixed")
     left, right = near.where("root != main").alias("l"), near.alias("r")
     late = (left.join(right, (F.col("l.band") == F.col("r.band")) & (F.col("l.root") != F.col("r.root"))
                       & _may_link(threshold) & _once())

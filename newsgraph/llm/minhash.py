@@ -61,8 +61,8 @@ def _signatures(b: pa.RecordBatch):
     keys = lsh.band_keys(prob_minhash(rows, h, count, b.num_rows, BANDS * ROWS), ROWS)
     some = np.bincount(rows, minlength=b.num_rows) > 0
     yield pa.RecordBatch.from_arrays(
-        [b.column("doc_id"), b.column("key"), C.list_of(keys[some].ravel(), np.where(some, BANDS, 0)),
-         *lsh.marks(rows, h, count, b.num_rows)], ["doc_id", "key", "bands", "bits", "weight"])
+        [b.column("doc_id"), b.column("key"), C.list_of(keys[some].ravel(), np.where(some, BANDS, 0))],
+        ["doc_id", "key", "bands"])
 
 
 def _sets(b: pa.RecordBatch):
@@ -76,9 +76,9 @@ def near_duplicates(docs: DataFrame, threshold: float = SIMILARITY) -> DataFrame
     C.use_small_batches(docs.sparkSession)
     base = docs.where("doc_id is not null").select(
         F.col("doc_id").cast("long").alias("doc_id"), "text", C.text_key("text").alias("key"))
-    sig = C.keep(C.map_arrow(base, _signatures, f"doc_id long, key string, bands array<long>, {lsh.MARKS}"), "minhash-sig")
-    texts = C.keep(sig.groupBy("key").agg(F.min(F.struct("doc_id", "bands", "bits", "weight")).alias("m"))
-                   .select("key", F.col("m.doc_id").alias("id"), "m.bands", "m.bits", "m.weight"), "minhash-texts")
+    sig = C.keep(C.map_arrow(base, _signatures, "doc_id long, key string, bands array<long>"), "minhash-sig")
+    texts = C.keep(sig.groupBy("key").agg(F.min(F.struct("doc_id", "bands")).alias("m"))
+                   .select("key", F.col("m.doc_id").alias("id"), "m.bands"), "minhash-texts")
     bands = texts.select("id", F.explode("bands").alias("band"))
 
     def make_sets(ids: DataFrame) -> DataFrame:
@@ -87,7 +87,7 @@ def near_duplicates(docs: DataFrame, threshold: float = SIMILARITY) -> DataFrame
                  .select("id", "text"))
         return C.map_arrow(found, _sets, lsh.SETS)
 
-    linked = lsh.classes(bands, texts.select("id", "bits", "weight"), make_sets, threshold, "minhash")
+    linked = lsh.classes(bands, None, make_sets, threshold, "minhash")
     of_text = (texts.select("key", "id").join(linked.withColumnRenamed("node", "id"), "id", "left")
                .select("key", F.coalesce("root", "id").alias("class_id")))
     return sig.select("doc_id", "key").join(of_text, "key").select("doc_id", "key", "class_id")

@@ -32,7 +32,7 @@ SHINGLE_WORDS = 5
 MIN_WORDS = 1
 BANDS, ROWS = 12, 3
 _ENTRY = ("kind int, rid long, doc_id long, n int, at array<int>, pids array<long>, src long, pid long, "
-          "bands array<long>, bits array<long>, weight long")
+          "bands array<long>")
 
 
 def split(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
@@ -100,7 +100,7 @@ def distinct_shingles(rows: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.n
 def _scan(batches, threshold: float):
     rid = TaskContext.get().partitionId() << 32
     ints, longs = pa.list_(pa.int32()), pa.list_(pa.int64())
-    names = ["kind", "rid", "doc_id", "n", "at", "pids", "src", "pid", "bands", "bits", "weight"]
+    names = ["kind", "rid", "doc_id", "n", "at", "pids", "src", "pid", "bands"]
     for b in batches:
         if not b.num_rows:
             continue
@@ -116,8 +116,8 @@ def _scan(batches, threshold: float):
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.zeros(m, np.int32)), pa.array(rid + np.arange(m)), b.column("doc_id"),
              pa.array(per.astype(np.int32)), C.list_of(place[used].astype(np.int32), lengths),
-             C.list_of(pid[used], lengths), pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()), pa.nulls(m, longs),
-             pa.nulls(m, longs), pa.nulls(m, pa.int64())], names)
+             C.list_of(pid[used], lengths), pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()), pa.nulls(m, longs)],
+            names)
         rid += m
         at = np.flatnonzero(counts >= SHINGLE_WORDS)  # a shorter one equals no other's set
         _, first = np.unique(pid[at], return_index=True)
@@ -135,7 +135,7 @@ def _scan(batches, threshold: float):
             [pa.array(np.ones(m, np.int32)), pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()),
              pa.nulls(m, pa.int32()), pa.nulls(m, ints), pa.nulls(m, longs),
              b.column("src").take(pa.array(owner[at])), pa.array(pid[at]),
-             C.list_of(*keys), *lsh.marks(rows, h, np.ones(len(h)), m)], names)
+             C.list_of(*keys)], names)
 
 
 def _sets(b: pa.RecordBatch):
@@ -164,7 +164,8 @@ def clusters(docs: DataFrame, threshold: float = SIMILARITY) -> tuple[DataFrame,
     # a paragraph's words are read again from one text that has it, found by id and content
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("src", F.xxhash64("doc_id", "text"))
     scan = C.keep(base.mapInArrow(lambda it: _scan(it, threshold), _ENTRY), "para-scan")
-    distinct = C.keep(scan.where("kind = 1").groupBy("pid", "bands", "bits", "weight").agg(F.min("src").alias("src")), "para-distinct")
+    distinct = C.keep(scan.where("kind = 1").groupBy("pid").agg(F.min(F.struct("src", "bands")).alias("m"))
+                      .select("pid", "m.src", "m.bands"), "para-distinct")
     banded = distinct.select(F.col("pid").alias("id"), F.explode("bands").alias("band"))
 
     def make_sets(ids: DataFrame) -> DataFrame:
@@ -173,8 +174,7 @@ def clusters(docs: DataFrame, threshold: float = SIMILARITY) -> tuple[DataFrame,
         found = base.join(where, "src").select("text", "wanted")
         return C.map_arrow(found, _sets, lsh.SETS).dropDuplicates(["id"])
 
-    linked = lsh.classes(
-        banded, distinct.select(F.col("pid").alias("id"), "bits", "weight"), make_sets, threshold, "para")
+    linked = lsh.classes(banded, None, make_sets, threshold, "para")
     docs_table = scan.where("kind = 0").select("rid", "doc_id", "n")
     each = (scan.where("kind = 0").select("rid", "doc_id", F.explode(F.arrays_zip("at", "pids")).alias("x"))
             .select("rid", "doc_id", "x.at", F.col("x.pids").alias("pid"))

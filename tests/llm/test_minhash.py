@@ -90,3 +90,20 @@ def test_bound_never_lies_below_the_similarity():
         a = sum(c for k, c in v.items() if k not in w) / sum(v.values())
         b = sum(c for k, c in w.items() if k not in v) / sum(w.values())
         assert brute.probability_jaccard(v, w) <= ((1 - a) / (1 + a) + (1 - b) / (1 + b)) / 2 + 1e-12
+
+
+@pytest.mark.parametrize("rows", [1, 2, 3, 10000])
+def test_bucket_members_across_batches(spark, rows):
+    """Runs of a bucket that Arrow batches cut keep their leader."""
+    rng = np.random.default_rng(rows)
+    pairs = sorted({(int(i), int(b)) for i, b in zip(rng.integers(0, 400, 300), rng.integers(0, 60, 300))} | {(1, 99), (5, 98), (7, 98)})
+    held = {}
+    for i, b in pairs:
+        held.setdefault(b, []).append(i)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    try:
+        got = lsh.colliding(spark.createDataFrame(pairs, "id long, band long")).collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert sorted((r.band, r.id, r.a) for r in got) == sorted((b, i, min(m)) for b, m in held.items() if len(m) > 1 for i in m)
