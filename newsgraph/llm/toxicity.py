@@ -159,12 +159,13 @@ def score_texts(df: DataFrame, model: Model, text: str = "text", column: str = "
     rows that score that much or more."""
     spark = df.sparkSession
     C.use_small_batches(spark)
-    sent = spark.sparkContext.broadcast(model)  # bounded by the hashed space
+    sent = spark.sparkContext.broadcast(tuple(model))  # plain arrays, bounded by the hashed space
     names = [c for c in df.columns if c != column or keep_below is not None]
     schema = df.select(*[F.col(f"`{c}`") for c in names]).schema
 
     def run(batches):
-        dense, bias = sent.value.dense(), sent.value.bias
+        own = Model(*sent.value)
+        dense, bias = own.dense(), own.bias
         for b in batches:
             s = scores(b.column(text), dense, bias)
             if keep_below is not None:
