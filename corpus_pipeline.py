@@ -1,5 +1,13 @@
 """The corpus pipeline: stages applied in turn to ``documents``, each
-written as Parquet to the shared folder and read again by the next."""
+written as Parquet to the shared folder and read again by the next.
+
+A null text counts as empty, and an empty text is never toxic by its words,
+never near another and never contaminated; the mix leaves it out, as it has
+nothing to read.  Rows with a null doc_id are in no near-duplicate class and
+stay, equal ones of them once.  Of rows that repeat a doc_id and a text one
+stays; rows that repeat a doc_id with other texts are versions of one document.
+Ties go to the smaller doc_id.  Other columns pass through, whatever their
+names.  An empty table gives an empty table."""
 
 from __future__ import annotations
 
