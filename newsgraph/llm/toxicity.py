@@ -138,14 +138,16 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = TRAIN_ROWS, rounds
             out = np.flatnonzero((z != 0) | (n != 0))
             return pd.DataFrame({"i": out.astype(np.int32), "z": z[out], "n": n[out]})
 
+        # as Arrow columns: rows of Python objects would take ten times the memory
         moved = (rows.groupBy("shard").applyInPandas(learn, "i int, z double, n double")
-                 .groupBy("i").agg(F.sum("z").alias("z"), F.sum("n").alias("n")).orderBy("i").toPandas())
+                 .groupBy("i").agg(F.sum("z").alias("z"), F.sum("n").alias("n")).toArrow())
         shards = rows.select("shard").distinct().count()
         state.unpersist()
-        if not len(moved):
+        if not moved.num_rows:
             return Model(np.zeros(0, np.int64), np.zeros(0), -35.0)
         z[:], n[:] = 0, 0
-        z[moved["i"]], n[moved["i"]] = moved["z"] / shards, moved["n"] / shards
+        i = moved.column("i").to_numpy()
+        z[i], n[i] = moved.column("z").to_numpy() / shards, moved.column("n").to_numpy() / shards
     at = np.arange(BIAS + 1)
     w = weights_of(z, n, at)
     index = np.flatnonzero(w[:BIAS])
