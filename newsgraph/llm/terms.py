@@ -36,7 +36,9 @@ def slices(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
 
 def split_terms(texts: pa.Array, separators: str) -> tuple[np.ndarray, pa.Array]:
     """(row, term) of all terms in order; a null text has none."""
-    whole = pc.ascii_lower(pc.fill_null(texts, "").cast(pa.large_string()))
+    whole = pc.fill_null(texts, "").cast(pa.large_string())
+    # Arrow's string kernels misread a cast slice of a column: give them an array that begins at 0
+    whole = pc.ascii_lower(pa.concat_arrays([whole, pa.array([], pa.large_string())]))
     lists = pc.split_pattern_regex(whole, separators)
     flat = lists.flatten()
     rows = np.repeat(np.arange(len(texts)), pc.list_value_length(lists).to_numpy(zero_copy_only=False))
