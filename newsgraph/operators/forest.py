@@ -1,8 +1,8 @@
 """Connected components and minimum spanning trees as Spark jobs.
 
-*Block pairs.*  Points are dealt into blocks; each two blocks are one group
-that computes the minimum spanning forest of its own points and emits only
-that: at most ``2 x block_size - 1`` edges, never its pairs.  An edge that is
+*Block pairs.*  Points are dealt into blocks (of ``neighbours.pack_size``); each
+two blocks are one group that computes the minimum spanning forest of its own
+points and emits only that: an edge less than its points, never its pairs.  An edge that is
 the heaviest of a cycle in some group is in no spanning tree of the whole (edges
 are ordered by weight, then ends, so there are no ties), hence the tree of all
 points is the tree of what the groups emit.
@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newsgraph.operators.neighbours import DEFAULT_BLOCK, row_distances, vectors_of
+from newsgraph.operators.neighbours import DEFAULT_BLOCK, pack_size, pair_distances, product_error, vectors_of
 from newsgraph.session import Rounds
 
 FINISH = 1 << 17
@@ -100,26 +100,42 @@ def connected_components(vertices: DataFrame, edges: DataFrame, finish: int | No
 def block_tree(v: np.ndarray, core: np.ndarray, ids: np.ndarray, cut: float | None = None):
     """(a, b, w) of the minimum spanning forest of a group's points under
     mutual reachability, edges over ``cut`` left out; a row of distances at a
-    time."""
+    time.  A matrix product bounds the row, and only points that the bound
+    and the cores leave are measured, exactly."""
     n = len(ids)
-    columns = np.ascontiguousarray(v.T)
-    best = np.full(n, np.inf)
-    low, high = np.full(n, np.iinfo(np.int64).max), np.full(n, np.iinfo(np.int64).max)
-    out = np.ones(n, bool)
+    norm = np.einsum("ij,ij->i", v, v)
+    bounded = bool(np.isfinite(norm).all()) and norm.max(initial=0) < 1e300
+    slack = product_error(v.shape[1]) * (np.sqrt(norm) + math.sqrt(norm.max(initial=0))) ** 2 if bounded else None
+    # the points that are not in the tree yet
+    rest = np.arange(1, n)
+    columns, own = np.ascontiguousarray(v[1:].T), norm[1:]
+    best, out = np.full(len(rest), np.inf), np.ones(len(rest), bool)
+    low, high = np.full(len(rest), np.iinfo(np.int64).max), np.full(len(rest), np.iinfo(np.int64).max)
     a, b, w = [], [], []
     at = 0
     for step in range(n - 1):
-        out[at] = False
-        reach = np.maximum(np.maximum(row_distances(columns, at), core), core[at])
-        lo, hi = np.minimum(ids, ids[at]), np.maximum(ids, ids[at])
-        nearer = (reach < best) | ((reach == best) & ((lo < low) | ((lo == low) & (hi < high))))
-        nearer &= out
-        best[nearer], low[nearer], high[nearer] = reach[nearer], lo[nearer], hi[nearer]
-        left = np.flatnonzero(out)
-        tied = left[best[left] == best[left].min()]
-        at = int(tied[np.lexsort((high[tied], low[tied]))[0]])
-        if cut is None or best[at] <= cut:
-            a.append(low[at]), b.append(high[at]), w.append(best[at])
+        if bounded:
+            least = own - 2 * (v[at] @ columns) + (norm[at] - slack[at])
+            with np.errstate(over="ignore"):
+                maybe = np.flatnonzero(out & (least <= best * best * (1 + 1e-9)) & (np.maximum(core[rest], core[at]) <= best))
+        else:
+            maybe = np.flatnonzero(out)
+        some = rest[maybe]
+        reach = np.maximum(np.maximum(pair_distances(v[at][:, None], columns, np.zeros(len(some), np.int64), maybe), core[some]), core[at])
+        lo, hi = np.minimum(ids[some], ids[at]), np.maximum(ids[some], ids[at])
+        nearer = (reach < best[maybe]) | ((reach == best[maybe]) & ((lo < low[maybe]) | ((lo == low[maybe]) & (hi < high[maybe]))))
+        new = maybe[nearer]
+        best[new], low[new], high[new] = reach[nearer], lo[nearer], hi[nearer]
+        tied = np.flatnonzero(best == best.min())
+        tied = tied[out[tied]]
+        to = int(tied[np.lexsort((high[tied], low[tied]))[0]])
+        if cut is None or best[to] <= cut:
+            a.append(low[to]), b.append(high[to]), w.append(best[to])
+        at = int(rest[to])
+        out[to], best[to] = False, np.inf
+        if 2 * (left := n - 2 - step) <= len(rest) - 64:  # most are in the tree: read them no more
+            rest, own, best, low, high = (x[out] for x in (rest, own, best, low, high))
+            columns, out = np.ascontiguousarray(columns[:, out]), np.ones(left, bool)
     return np.array(a, np.int64), np.array(b, np.int64), np.array(w, np.float64)
 
 
@@ -130,7 +146,7 @@ def block_forests(points: DataFrame, cores: DataFrame, block_size: int = DEFAULT
     if cut is not None:
         pts = pts.where(F.col("core") <= cut)
     n = cores.count()
-    blocks = max(1, math.ceil(n / block_size))
+    blocks = max(1, math.ceil(n / pack_size(block_size, n)))
     other = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("_o")
     dealt = pts.withColumn("_b", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")).select("*", other)
     # a block meets itself inside its pairs with others

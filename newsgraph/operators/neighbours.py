@@ -1,15 +1,21 @@
 """Exact nearest neighbours by pivot cells.
 
 A bounded number of points, taken in order of a hash, are pivots; every point
-belongs to the cell of its nearest pivot, and a cell keeps its radius.  Points
-first meet the rest of their own block (a cell of more than ``block_size``
-points has several), which bounds how far their ``k``-th neighbour can be.  By
-the triangle inequality no point of another cell is nearer than the distance
-to its pivot less its radius, so a point goes only to the cells for which that
-is within its bound.  A block receives its visitors in salted parts, so no
-task holds more than ``2 x block_size`` points whatever the cell, and what
-leaves a block is ``k`` rows per visitor; they are ranked per point with a
-limit that applies before the shuffle."""
+belongs to the cell of its nearest pivot, and a cell keeps its radius.  Near
+cells share a pack of bounded size (a cell of more points has several), the
+unit in which points meet.  Points first meet the rest of their own pack,
+which bounds how far their ``k``-th neighbour can be.  By the triangle
+inequality no point of another cell is nearer than the distance to its pivot
+less its radius, so a point goes only to the packs with a cell for which that
+is within its bound.  A pack receives its visitors in salted parts, so no
+task holds more than five packs whatever the cell, and what leaves one is at
+most ``k`` rows per visitor; they are ranked per point with a limit that
+applies before the shuffle.
+
+Where distances do not tell points apart (random points of many dimensions)
+every point meets every pack: a point is then sent once per ``PACK_POINTS``
+points, and the meeting is a matrix product whose bounds leave few pairs to
+measure."""
 
 from __future__ import annotations
 
@@ -24,7 +30,11 @@ from newsgraph.session import Rounds
 
 MAX_PIVOTS = 1024
 DEFAULT_BLOCK = 2048
+PACK_POINTS = 8192        # points in a pack at most, unless a block is given as larger
+LEAST_PACKS = 16          # a table of fewer points than that fills has smaller packs
 _CHUNK_CELLS = 1 << 16    # distances computed at once: what stays in a core's cache
+_PRODUCT_CELLS = 1 << 20  # products computed at once
+_GUEST_PACKS = 4          # a task's visitors, in packs
 _SLACK = 1e-9             # the bounds are taken this much wider, for rounding
 
 
@@ -60,27 +70,73 @@ def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.sqrt(out, out=out)
 
 
-def nearest(d: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
-    """Columns of the ``k`` smallest entries of each row (ties by id)."""
-    k = min(k, d.shape[1])
-    if k == 0:
-        return np.zeros((len(d), 0), np.int64)
-    if k < d.shape[1]:
-        # no smaller set is safe on a tie: all columns up to the k-th value
-        edge = np.partition(d, k - 1, axis=1)[:, k - 1:k]
-        cols = np.flatnonzero((d <= edge).any(0))
-    else:
-        cols = np.arange(d.shape[1])
-    part = d[:, cols]
-    return cols[np.lexsort((np.broadcast_to(ids[cols], part.shape), part), axis=1)[:, :k]]
+def pair_distances(a: np.ndarray, b: np.ndarray, row: np.ndarray, col: np.ndarray) -> np.ndarray:
+    """``distances`` of the stated pairs of points, points being the columns."""
+    out = np.zeros(len(row))
+    for x, y in zip(a, b):
+        diff = x[row] - y[col]
+        diff *= diff
+        out += diff
+    return np.sqrt(out, out=out)
+
+
+def product_error(dim: int) -> float:
+    """How far |a|^2 + |b|^2 - 2ab can be from the exact squared distance, as
+    a share of (|a| + |b|)^2; far on the safe side."""
+    return 16 * (dim + 8) * float(np.finfo(np.float64).eps)
 
 
-def _found(visitors: np.ndarray, d: np.ndarray, ids: np.ndarray, weights: np.ndarray, k: int) -> pa.Table:
-    at = nearest(d, ids, k)
-    dist = np.take_along_axis(d, at, 1)
-    ok = np.isfinite(dist).ravel()
-    return pa.table({"id": np.repeat(visitors, at.shape[1])[ok], "nb": ids[at].ravel()[ok], "d": dist.ravel()[ok],
-                     "w": weights[at].ravel()[ok]})
+def closest(a: np.ndarray, b: np.ndarray, ids: np.ndarray, k: int, limit: np.ndarray | None = None,
+            same: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row of ``a``, row of ``b``, distance): the ``k`` nearest of ``b`` for
+    each of ``a`` (ties by ``ids``), those that are surely beyond ``limit``
+    left out.  With ``same`` the two are one table and no row meets itself.
+
+    One matrix product bounds all distances of a chunk; what the bounds leave
+    is measured exactly, so the result is that of ``distances``."""
+    limit = np.full(len(a), np.inf) if limit is None else limit
+    na, nb = np.einsum("ij,ij->i", a, a), np.einsum("ij,ij->i", b, b)
+    bounded = bool(len(b)) and bool(np.isfinite(na).all() and np.isfinite(nb).all() and max(na.max(initial=0), nb.max()) < 1e300)
+    x, y = np.ascontiguousarray(a.T), np.ascontiguousarray(b.T)
+    if bounded:
+        slack = product_error(a.shape[1]) * (np.sqrt(na) + math.sqrt(nb.max())) ** 2
+        wide = np.vstack([y, -nb / 2])  # (a, 1) times this is (|a|^2 - distance^2) / 2
+        with np.errstate(over="ignore"):
+            need = (na - limit * limit * (1 + _SLACK)) / 2 - slack
+    found = []
+    step = max(1, _PRODUCT_CELLS // max(len(b), 1))
+    for s in range(0, len(a) if len(b) else 0, step):
+        part = a[s:s + step]
+        if bounded:
+            score = np.hstack([part, np.ones((len(part), 1))]) @ wide
+            if same:
+                score[np.arange(len(part)), s + np.arange(len(part))] = -np.inf
+            least = need[s:s + step]
+            open_ = np.flatnonzero(np.isneginf(least))
+            if len(open_) and k < len(b):
+                least = least.copy()
+                least[open_] = np.partition(score[open_], len(b) - k, axis=1)[:, len(b) - k] - 2 * slack[s:s + step][open_]
+            row, col = np.divmod(np.flatnonzero(score >= least[:, None]), len(b))
+        else:
+            row, col = np.divmod(np.arange(len(part) * len(b)), len(b))
+        if same:
+            row, col = row[row + s != col], col[row + s != col]
+        row += s
+        d = pair_distances(x, y, row, col)
+        ok = np.isfinite(d)
+        row, col, d = row[ok], col[ok], d[ok]
+        order = np.lexsort((ids[col], d, row))
+        row, col, d = row[order], col[order], d[order]
+        first = np.arange(len(row)) - np.searchsorted(row, row) < k
+        found.append((row[first], col[first], d[first]))
+    if not found:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+    return tuple(np.concatenate(c) for c in zip(*found))
+
+
+def _found(visitors: np.ndarray, ids: np.ndarray, weights: np.ndarray, row: np.ndarray, col: np.ndarray,
+           d: np.ndarray) -> pa.Table:
+    return pa.table({"id": visitors[row], "nb": ids[col], "d": d, "w": weights[col]})
 
 
 def _pivots(points: DataFrame, n: int) -> np.ndarray:
@@ -89,9 +145,35 @@ def _pivots(points: DataFrame, n: int) -> np.ndarray:
     return np.array([r["vec"] for r in rows], np.float64)
 
 
-def placed(points: DataFrame, block_size: int, rounds: Rounds) -> tuple[DataFrame, np.ndarray, list]:
+def pack_size(block_size: int, n: int) -> int:
+    """Points of ``n`` that are handled as one.  What is sent to each pack is
+    sent once per pack, so the packs are as large as a task's memory easily
+    holds, but not so few that cores are idle."""
+    return max(block_size, min(PACK_POINTS, n // LEAST_PACKS))
+
+
+def _packs(centre: np.ndarray, held: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """(first pack, packs) of each cell: near cells share a pack of at most
+    ``most`` points, a larger cell has several of its own."""
+    d = np.nan_to_num(distances(centre, centre), nan=1e308, posinf=1e308)
+    first, parts = np.zeros(len(held), np.int64), -(-held // most)
+    made = room = at = 0
+    for _ in range(len(held)):
+        d[:, at] = np.inf
+        if held[at] <= room:
+            first[at] = made - 1
+            room -= held[at]
+        else:
+            first[at] = made
+            made += parts[at]
+            room = most - held[at] if parts[at] == 1 else 0
+        at = int(d[at].argmin())
+    return first, parts
+
+
+def placed(points: DataFrame, block_size: int, rounds: Rounds) -> tuple[DataFrame, np.ndarray, tuple]:
     """The points with their cell, their distance from its pivot and their
-    block in it; the pivots; (cell, points, radius), a row per cell."""
+    pack; the pivots; the cells' (number, points, radius, first pack, packs)."""
     spark = points.sparkSession
     n = points.count()
     pivots = _pivots(points, n)
@@ -110,10 +192,14 @@ def placed(points: DataFrame, block_size: int, rounds: Rounds) -> tuple[DataFram
                          F.coalesce("weight", F.lit(1)).cast("long").alias("weight"))
     cells = rounds.put("cells", base.mapInArrow(run, "id long, vec array<double>, weight long, cell int, far double"))
     size = sorted(map(tuple, cells.groupBy("cell").agg(F.count(F.lit(1)), F.max("far")).collect()))  # one row per pivot
-    parts = spark.createDataFrame([(c, -(-k // block_size)) for c, k, _ in size], "cell int, parts int")
-    blocks = cells.join(F.broadcast(parts), "cell").withColumn(
-        "block", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")).drop("parts")
-    return blocks, pivots, size
+    if not size:
+        return cells, pivots, ()
+    cell, held, radius = (np.array(c) for c in zip(*size))
+    first, parts = _packs(pivots[cell], held, pack_size(block_size, n))
+    table = spark.createDataFrame(list(zip(cell.tolist(), first.tolist(), parts.tolist())), "cell int, first int, parts int")
+    packed = cells.join(F.broadcast(table), "cell").withColumn(
+        "pack", (F.col("first") + F.pmod(F.xxhash64("id"), F.col("parts"))).cast("int")).drop("first", "parts")
+    return packed, pivots, (cell, held, radius, first, parts)
 
 
 def knn(points: DataFrame, k: int, block_size: int = DEFAULT_BLOCK) -> DataFrame:
@@ -123,28 +209,25 @@ def knn(points: DataFrame, k: int, block_size: int = DEFAULT_BLOCK) -> DataFrame
     other point have no row."""
     spark = points.sparkSession
     rounds = Rounds(spark, "knn")
-    blocks, pivots, size = placed(points, block_size, rounds)
+    packed, pivots, size = placed(points, block_size, rounds)
     if not size:
         return spark.createDataFrame([], "id long, nbrs array<struct<d:double,nb:long,w:long>>")
-    blocks = rounds.put("blocks", blocks)
+    packed = rounds.put("packs", packed)
     found = "id long, nb long, d double, w long"
 
     def own(t: pa.Table) -> pa.Table:
         v, ids = vectors_of(t.column("vec")), t.column("id").to_numpy()
-        d = distances(v, v)
-        np.fill_diagonal(d, np.inf)
-        return _found(ids, d, ids, t.column("weight").to_numpy(), k)
+        return _found(ids, ids, t.column("weight").to_numpy(), *closest(v, v, ids, k, same=True))
 
-    inner = rounds.put("inner", blocks.groupBy("cell", "block").applyInArrow(own, found))
+    inner = rounds.put("inner", packed.groupBy("pack").applyInArrow(own, found))
     bound = inner.groupBy("id").agg(F.max("d").alias("bound"), F.count(F.lit(1)).alias("near"))
-    cells = np.array([c for c, *_ in size])
-    held = np.array([m for _, m, _ in size])
-    radius = np.array([r for *_, r in size])
-    parts = -(-held // block_size)
-    sent = spark.sparkContext.broadcast((pivots[cells], cells, held, radius, parts))
+    sent = spark.sparkContext.broadcast((pivots[size[0]], *size))
 
     def send(batches):
-        centre, cells, held, radius, parts = sent.value
+        centre, cells, held, radius, first, parts = sent.value
+        # the packs of each cell, cell after cell
+        of = np.repeat(np.arange(len(cells)), parts)
+        pack = np.repeat(first, parts) + np.arange(len(of)) - np.repeat(np.cumsum(parts) - parts, parts)
         for b in batches:
             if not b.num_rows:
                 continue
@@ -158,29 +241,32 @@ def knn(points: DataFrame, k: int, block_size: int = DEFAULT_BLOCK) -> DataFrame
             loose = np.where(reach.any(1), np.take_along_axis(far, order, 1)[np.arange(len(d)), reach.argmax(1)], np.inf)
             tight = b.column("bound").fill_null(np.inf).to_numpy(zero_copy_only=False)
             near = b.column("near").fill_null(0).to_numpy(zero_copy_only=False)
-            most = np.minimum(loose, np.where(near >= k, tight, np.inf))[:, None]
-            row, at = np.nonzero(d - radius <= most * (1 + _SLACK) + _SLACK)
-            times = parts[at]
-            row, at = np.repeat(row, times), np.repeat(at, times)
-            block = np.arange(len(at)) - np.repeat(np.cumsum(times) - times, times)
-            new = (cells[at] != b.column("cell").to_numpy()[row]) | (block != b.column("block").to_numpy()[row])
+            most = np.minimum(loose, np.where(near >= k, tight, np.inf)) * (1 + _SLACK) + _SLACK
+            there = np.zeros((len(d), int(pack.max()) + 1), bool)
+            row, at = np.nonzero((d - radius <= most[:, None])[:, of])
+            there[row, pack[at]] = True
+            there[np.arange(len(d)), b.column("pack").to_numpy()] = False
+            row, to = np.nonzero(there)
             yield pa.RecordBatch.from_arrays(
-                [b.column("id").take(pa.array(row[new])), pa.array(cells[at[new]].astype(np.int32)),
-                 pa.array(block[new].astype(np.int32))], ["id", "cell", "block"])
+                [b.column("id").take(pa.array(row)), pa.array(to.astype(np.int32)), pa.array(most[row])],
+                ["id", "pack", "most"])
 
-    visits = rounds.put("visits", blocks.join(bound, "id", "left").mapInArrow(send, "id long, cell int, block int"))
-    salts = visits.groupBy("cell", "block").agg(F.ceil(F.count(F.lit(1)) / block_size).cast("int").alias("salts"))
-    key = ["cell", "block", "salt"]
-    guests = (visits.join(salts, ["cell", "block"]).withColumn("salt", F.pmod(F.xxhash64("id"), F.col("salts")).cast("int"))
-              .select(*key, "id").join(blocks.select("id", "vec"), "id").select(*[F.col(c).alias(f"g_{c}") for c in (*key, "id", "vec")]))
-    hosts = (blocks.join(salts, ["cell", "block"]).select(
-        *key[:2], F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), "id", "vec", "weight"))
+    visits = rounds.put("visits", packed.join(bound, "id", "left").mapInArrow(send, "id long, pack int, most double"))
+    salts = visits.groupBy("pack").agg(F.ceil(F.count(F.lit(1)) / (_GUEST_PACKS * pack_size(block_size, int(size[1].sum())))).cast("int").alias("salts"))
+    key = ["pack", "salt"]
+    guests = (visits.join(salts, "pack").withColumn("salt", F.pmod(F.xxhash64("id"), F.col("salts")).cast("int"))
+              .select(*key, "id", "most").join(packed.select("id", "vec"), "id")
+              .select(*[F.col(c).alias(f"g_{c}") for c in (*key, "id", "most", "vec")]))
+    hosts = (packed.join(salts, "pack").select(
+        "pack", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), "id", "vec", "weight"))
 
     def meet(left: pa.Table, right: pa.Table) -> pa.Table:
+        ids, weights = right.column("id").to_numpy(), right.column("weight").to_numpy()
         if not left.num_rows or not right.num_rows:
-            return pa.table({"id": np.zeros(0, np.int64), "nb": np.zeros(0, np.int64), "d": np.zeros(0), "w": np.zeros(0, np.int64)})
-        d = distances(vectors_of(left.column("g_vec")), vectors_of(right.column("vec")))
-        return _found(left.column("g_id").to_numpy(), d, right.column("id").to_numpy(), right.column("weight").to_numpy(), k)
+            none = np.zeros(0, np.int64)
+            return _found(none, none, none, none, none, np.zeros(0))
+        got = closest(vectors_of(left.column("g_vec")), vectors_of(right.column("vec")), ids, k, left.column("g_most").to_numpy())
+        return _found(left.column("g_id").to_numpy(), ids, weights, *got)
 
     outer = guests.groupBy(*[f"g_{c}" for c in key]).cogroup(hosts.groupBy(*key)).applyInArrow(meet, found)
     rank = F.row_number().over(Window.partitionBy("id").orderBy("d", "nb"))

@@ -251,3 +251,64 @@ def test_few_or_equal_points(spark):
     same = D.density_clusters(frame(spark, [[1.0, 1.0]] * 6)).collect()
     assert {r.cluster for r in same} == {-1} and all(r.core == 0 for r in same)
     assert F is not None
+
+
+# -- points that distances do not tell apart ----------------------------------
+
+def unstructured(n, dim=32):
+    return np.random.default_rng(n).normal(size=(n, dim)).astype(np.float32).astype(float)
+
+
+def test_a_point_is_sent_once_per_pack(spark, monkeypatch):
+    seen = {}
+    put = N.Rounds.put
+
+    def watch(self, name, df):
+        out = put(self, name, df)
+        if name == "visits":
+            seen[name] = out.count()
+        return out
+
+    monkeypatch.setattr(N.Rounds, "put", watch)
+    X = unstructured(640)
+    got = {r.id: [x.nb for x in r.nbrs] for r in N.knn(frame(spark, X), 3, 8).collect()}
+    d = N.distances(X, X)
+    np.fill_diagonal(d, np.inf)
+    assert got == {i: np.lexsort((np.arange(640), d[i]))[:3].tolist() for i in range(640)}
+    assert seen["visits"] <= 640 * 2 * N.LEAST_PACKS  # blocks of 8 would be 80
+
+
+@pytest.mark.parametrize("scale", [1.0, 1e-150, 1e160])
+@pytest.mark.parametrize("limited", [False, True])
+def test_closest_is_exact(scale, limited):
+    X = np.concatenate([unstructured(150, 5), np.tile(unstructured(1, 5), (30, 1)), np.round(unstructured(60, 5))]) * scale
+    ids = np.random.default_rng(1).permutation(len(X))
+    d = N.distances(X, X)
+    np.fill_diagonal(d, np.inf)
+    limit = np.sort(d, axis=1)[:, 3] if limited else None
+    row, col, dist = N.closest(X, X, ids, 4, limit, same=True)
+    assert (dist == d[row, col]).all()
+    ok = np.isfinite(d)
+    want = [[j for j in np.lexsort((ids, d[i]))[:4].tolist() if ok[i, j]] for i in range(len(X))]
+    assert [col[row == i].tolist() for i in range(len(X))] == want
+
+
+def test_block_tree_is_that_of_all_distances():
+    for X in (unstructured(300, 8), np.round(unstructured(300, 2)), np.tile(unstructured(40, 3), (4, 1))):
+        ids = np.random.default_rng(3).permutation(len(X)) + 5
+        core = np.sort(N.distances(X, X), axis=1)[:, 2]
+        reach = np.maximum(np.maximum(N.distances(X, X), core), core[:, None])
+        up, want = {}, []
+        for w, a, b in sorted((reach[i, j], min(ids[i], ids[j]), max(ids[i], ids[j])) for i in range(len(X)) for j in range(i)):
+            x, y = FO._root(up, a), FO._root(up, b)
+            if x != y:
+                up[max(x, y)] = min(x, y)
+                want.append((a, b, w))
+        assert sorted(zip(*FO.block_tree(X, core, ids))) == sorted(want)
+
+
+def test_blocks_follow_the_table(spark):
+    X = unstructured(640, 4)
+    pts = frame(spark, X)
+    emitted = FO.block_forests(pts, D.core_distances(pts), 8).count()
+    assert emitted <= N.LEAST_PACKS * len(X)  # blocks of 8 would emit 80 x 640
