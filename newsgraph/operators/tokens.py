@@ -1,10 +1,11 @@
 """Exact token counts by byte-pair merging.
 
 The caller gives the rank table of a byte-pair vocabulary (and the pattern that
-splits a text before merging).  Each text's pre-tokens are counted first, so
-that merging runs once per distinct pre-token of the whole table, on
-executors, and its counts are joined back; a pre-token that a third of all texts
-hold is one row of the merge, and AQE splits its join.
+splits a text before merging).  Spark splits the texts; the pre-tokens stream
+through Python batch by batch, where each distinct one of a batch is merged
+unless its count is among the ``HELD`` that the task remembers.  What leaves
+a batch is a sum per text, so no task's memory follows the table's size and no
+pre-token is shuffled.
 
 The rank table goes to the executors: it is counted, and refused over
 ``MAX_RANKS``."""
@@ -14,10 +15,12 @@ from __future__ import annotations
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from newsgraph.functions.text import PRETOKEN_RE
 
 MAX_RANKS = 1_000_000
+HELD, HELD_CHARS = 1 << 17, 64   # counts that a task remembers, and the longest pre-token among them
 
 
 def merge_count(piece: bytes, ranks: dict[bytes, int]) -> int:
@@ -46,15 +49,28 @@ def bpe_token_counts(df: DataFrame, ranks: DataFrame, key: str, text_col: str =
         raise ValueError(f"the rank table has more than {MAX_RANKS} rows")
     sent = df.sparkSession.sparkContext.broadcast({bytes(r["token"]): r["rank"] for r in held})
     pieces = (df.where(F.col(text_col).isNotNull())
-              .select(F.col(key).alias("_key"), F.explode(F.regexp_extract_all(F.col(text_col), F.lit(pattern), F.lit(0))).alias("piece"))
-              .groupBy("_key", "piece").agg(F.count(F.lit(1)).alias("times")))
+              .select(F.col(key).alias("_key"), F.explode(F.regexp_extract_all(F.col(text_col), F.lit(pattern), F.lit(0))).alias("piece")))
 
     def run(batches):
+        held_counts: dict[str, int] = {}
         for b in batches:
-            n = [merge_count(p.encode(), sent.value) for p in b.column("piece").to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column("piece"), pa.array(n, pa.int64())], ["piece", "n"])
+            coded = b.column("piece").dictionary_encode()
+            counts = []
+            for p in coded.dictionary.to_pylist():
+                n = held_counts.get(p)
+                if n is None:
+                    n = merge_count(p.encode(), sent.value)
+                    if len(p) <= HELD_CHARS:
+                        if len(held_counts) >= HELD:
+                            held_counts.clear()
+                        held_counts[p] = n
+                counts.append(n)
+            each = pa.table({"_key": b.column("_key"), "n": pa.array(counts, pa.int64()).take(coded.indices)})
+            sums = each.group_by("_key", use_threads=False).aggregate([("n", "sum")]).select(["_key", "n_sum"]).combine_chunks()
+            yield from sums.rename_columns(["_key", "n"]).to_batches()
 
-    merged = pieces.select("piece").distinct().mapInArrow(run, "piece string, n long")
-    total = pieces.join(merged, "piece").groupBy("_key").agg(F.sum(F.col("times") * F.col("n")).alias("tokens"))
+    kind = pieces.schema["_key"].dataType
+    schema = T.StructType([T.StructField("_key", kind), T.StructField("n", T.LongType())])
+    total = pieces.mapInArrow(run, schema).groupBy("_key").agg(F.sum("n").alias("tokens"))
     return (df.select(key, F.col(text_col).isNull().alias("_none")).join(total, F.col(key) == F.col("_key"), "left")
             .select(key, F.when(~F.col("_none"), F.coalesce("tokens", F.lit(0))).cast("long").alias("tokens")))

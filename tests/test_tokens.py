@@ -46,3 +46,14 @@ def test_bytes_without_a_rank_and_too_many_ranks(spark, monkeypatch):
     monkeypatch.setattr(TK, "MAX_RANKS", 10)
     with pytest.raises(ValueError):
         TK.bpe_token_counts(spark.createDataFrame([(1, "a")], "k long, text string"), catalog.bpe_ranks(spark), "k")
+
+
+def test_no_task_holds_a_pre_token_of_the_whole_table(spark, monkeypatch):
+    monkeypatch.setattr(TK, "HELD", 2)  # forgets, and counts the same
+    rows = [(i, "the " * (i % 7) + f"own{i} thing") for i in range(300)] + [(5, "again the"), (None, "no key"), (900, "")]
+    df = spark.createDataFrame(rows, "k long, text string")
+    ranks = {bytes(r.token): r["rank"] for r in catalog.bpe_ranks(spark).collect()}
+    out = TK.bpe_token_counts(df, catalog.bpe_ranks(spark), "k", pattern=catalog.BPE_PATTERN)
+    assert "hashpartitioning(piece" not in out._jdf.queryExecution().executedPlan().toString()
+    got = [(r.k, r.tokens) for r in out.collect() if r.k is not None and r.k != 5]
+    assert sorted(got) == sorted((k, plain(t, ranks, catalog.BPE_PATTERN)) for k, t in rows if k is not None and k != 5)
