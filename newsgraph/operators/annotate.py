@@ -34,6 +34,7 @@ ANNOTATION = T.StructType([
 ])
 
 CALL_WINDOW = 256   # prompts of a task that are with the pool at a time
+LEFT_KEYS = 500_000  # keys of prompts left to send that are broadcast
 
 # --------------------------------------------------------------------------
 # Prompt templates (own wording).  The article text goes last, after the
@@ -207,16 +208,26 @@ def call_model(df: DataFrame, prompt: Column, client_factory: Callable, spec: Ca
     base = df.withColumn("prompt_key", F.sha2(F.concat(key, prompt), 256))
     if store or pin:
         base = materialize(base, "prompted")
-    todo = base.select("prompt_key", prompt.alias("prompt")).dropDuplicates(["prompt_key"])
+    todo = base.select("prompt_key", prompt.alias("prompt"))
     kept = ReplyStore(store_uri(spark, store)) if store else None
     if kept:
-        todo = todo.join(stored_replies(spark, kept).select("prompt_key"), "prompt_key", "left_anti")
+        stored = stored_replies(spark, kept).select("prompt_key")
+        if not stored.isEmpty():
+            # keys are short: where few are left to send, the prompts of the others are not shuffled
+            left = base.select("prompt_key").join(stored, "prompt_key", "left_anti").distinct()
+            if left.limit(LEFT_KEYS + 1).count() <= LEFT_KEYS:
+                left = left.select(F.col("prompt_key").alias("_left"))
+                todo = todo.join(F.broadcast(left), F.col("prompt_key").eqNullSafe(F.col("_left")), "left_semi")
+    todo = todo.dropDuplicates(["prompt_key"])
+    if kept:
+        todo = todo.join(stored, "prompt_key", "left_anti")
         todo = todo.repartitionById(n, key_part_column("prompt_key", n))
     else:
         todo = todo.repartition(n)
     replies = todo.mapInPandas(_call_batches(client_factory, spec, kept, n), REPLY)
     if kept:
-        failed = materialize(replies, "replies").where(F.col("error").isNotNull())
+        # the tasks store what succeeds as they go; only the failures are left to write
+        failed = materialize(replies.where(F.col("error").isNotNull()), "replies")
         replies = stored_replies(spark, kept).unionByName(failed)
     elif pin:
         replies = materialize(replies, "replies")

@@ -99,3 +99,50 @@ def test_key_parts_cover_all_keys(spark):
     keys = [f"{i * 2654435761 % (1 << 32):08x}ff" for i in range(500)] + ["00000000aa", "ffffffffaa"]
     df = spark.createDataFrame([(k,) for k in keys], "k string").select("k", R.key_part_column("k", 7).alias("p"))
     assert all(r.p == R.key_part(r.k, 7) for r in df.collect()) and {R.key_part(k, 7) for k in keys} == set(range(7))
+
+
+def test_only_failures_are_written_beside_the_store(spark, monkeypatch, tmp_path):
+    """What the tasks have stored is not written a second time."""
+    from newsgraph.operators import annotate as A
+
+    class Some:
+        def complete(self, system, prompt, max_tokens):
+            if prompt.endswith("3"):
+                raise RuntimeError("busy")
+            return prompt.upper()
+
+    written, materialize = {}, A.materialize
+
+    def watch(df, name):
+        out = materialize(df, name)
+        written[name] = out.count()
+        return out
+
+    monkeypatch.setattr(A, "materialize", watch)
+    df = spark.createDataFrame([(i, f"p{i}") for i in range(20)], "i long, p string")
+    got = A.call_model(df, F.col("p"), Some, A.CallSpec("s"), partitions=3, store=str(tmp_path / "store")).collect()
+    assert {r.i: (r.reply, r.error) for r in got} == {
+        i: (None, "RuntimeError: busy") if i % 10 == 3 else (f"P{i}", None) for i in range(20)}
+    assert written["replies"] == 2
+
+
+@pytest.mark.parametrize("most", [0, 500_000])
+def test_a_later_run_is_the_same_whether_the_keys_left_are_few(spark, monkeypatch, tmp_path, most):
+    from newsgraph.operators import annotate as A
+
+    class Some:
+        def __init__(self, fail):
+            self.fail = fail
+
+        def complete(self, system, prompt, max_tokens):
+            if prompt in self.fail:
+                raise RuntimeError("busy")
+            return prompt.upper()
+
+    monkeypatch.setattr(A, "LEFT_KEYS", most)
+    store = str(tmp_path / "store")
+    df = spark.createDataFrame([(i, f"p{i // 2}") for i in range(20)], "i long, p string")
+    for fail in ({"p1", "p4"}, {"p4"}, set()):
+        got = A.call_model(df, F.col("p"), lambda f=fail: Some(f), A.CallSpec("s"), partitions=3, store=store).collect()
+        assert {r.i: (r.reply, r.error is None) for r in got} == {
+            i: (None, False) if f"p{i // 2}" in fail else (f"P{i // 2}", True) for i in range(20)}
