@@ -10,6 +10,14 @@ paragraphs are verified by exact Jaccard similarity, linked paragraphs
 cluster as components, and of each cluster the first occurrence (smallest
 doc_id, then position) stays, the others are removed.
 
+A passage that several texts share need not be a line of theirs, so every run
+of 50 words, across line ends too, is a paragraph as well: its set are its
+11 pieces of 40 words, its signature the one smallest.  Equal runs have equal
+minima and neighbouring runs mostly the same one, so a text hands on each
+minimum once, and one that stands in two documents is a repeated passage: a
+verbatim repeat of 50 words or more is never missed, and none under 40 words
+is reported, however many short lines repeat.
+
 Edge cases: a null or empty text has one empty paragraph, which never takes
 part; a repeat within one document counts like any other; rows that repeat
 one another are documents of their own; null doc_ids come last in the
@@ -31,8 +39,9 @@ SIMILARITY = 0.8
 SHINGLE_WORDS = 5
 MIN_WORDS = 1
 BANDS, ROWS = 12, 3
-_ENTRY = ("kind int, rid long, doc_id long, n int, at array<int>, pids array<long>, src long, pid long, "
-          "bands array<long>")
+PASSAGE_WORDS, PIECE_WORDS = 50, 40
+_ENTRY = ("kind int, rid long, doc_id long, n int, at array<int>, pids array<long>, pieces array<long>, src long, "
+          "pid long, bands array<long>")
 
 
 def split(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
@@ -97,10 +106,40 @@ def distinct_shingles(rows: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.n
     return rows[new], h[new]
 
 
+def _runs(x: np.ndarray, size: int, join) -> np.ndarray:
+    """``join`` over each ``size`` neighbours of x, from runs of doubling length."""
+    out, have, step = None, 0, 1
+    while True:
+        if size & step:
+            out = x if out is None else join(out[:len(x) - have], x[have:])
+            have += step
+        if have == size:
+            return out
+        x, step = join(x[:len(x) - step], x[step:]), 2 * step
+
+
+def pieces(rows: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The smallest hash of a piece in each run of PASSAGE_WORDS words of a
+    row, each (row, hash) once, by row.  ``rows`` and ``h``: all words in order."""
+    if len(h) < PASSAGE_WORDS:
+        return np.zeros(0, np.int64), np.zeros(0, C.U64)
+    chain = lambda a, b: C.mix64(a * C.U64(0x9E3779B97F4A7C15) + b)
+    low = _runs(_runs(h, PIECE_WORDS, chain), PASSAGE_WORDS - PIECE_WORDS + 1, np.minimum)
+    first = rows[:len(low)]
+    at = np.flatnonzero(first == rows[PASSAGE_WORDS - 1:])
+    rows, low = first[at], low[at]
+    new = np.append(True, (rows[1:] != rows[:-1]) | (low[1:] != low[:-1])) if len(rows) else np.zeros(0, bool)
+    rows, low = rows[new], low[new]
+    order = np.lexsort((low, rows))
+    rows, low = rows[order], low[order]
+    new = np.append(True, (rows[1:] != rows[:-1]) | (low[1:] != low[:-1])) if len(rows) else np.zeros(0, bool)
+    return rows[new], low[new]
+
+
 def _scan(batches, threshold: float):
     rid = TaskContext.get().partitionId() << 32
     ints, longs = pa.list_(pa.int32()), pa.list_(pa.int64())
-    names = ["kind", "rid", "doc_id", "n", "at", "pids", "src", "pid", "bands"]
+    names = ["kind", "rid", "doc_id", "n", "at", "pids", "pieces", "src", "pid", "bands"]
     for b in batches:
         if not b.num_rows:
             continue
@@ -113,10 +152,12 @@ def _scan(batches, threshold: float):
         place = np.arange(len(flat)) - np.repeat(np.cumsum(per) - per, per)
         lengths = np.bincount(owner[used], minlength=b.num_rows)
         m = b.num_rows
+        text, piece = pieces(owner[words.row], words.hash)
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.zeros(m, np.int32)), pa.array(rid + np.arange(m)), b.column("doc_id"),
              pa.array(per.astype(np.int32)), C.list_of(place[used].astype(np.int32), lengths),
-             C.list_of(pid[used], lengths), pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()), pa.nulls(m, longs)],
+             C.list_of(pid[used], lengths), C.list_of(piece.view(np.int64), C.row_counts(text, m)),
+             pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()), pa.nulls(m, longs)],
             names)
         rid += m
         at = np.flatnonzero(counts >= SHINGLE_WORDS)  # a shorter one equals no other's set
@@ -133,7 +174,7 @@ def _scan(batches, threshold: float):
         keys = bands(rows, h, m, threshold)
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.ones(m, np.int32)), pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()),
-             pa.nulls(m, pa.int32()), pa.nulls(m, ints), pa.nulls(m, longs),
+             pa.nulls(m, pa.int32()), pa.nulls(m, ints), pa.nulls(m, longs), pa.nulls(m, longs),
              b.column("src").take(pa.array(owner[at])), pa.array(pid[at]),
              C.list_of(*keys)], names)
 
@@ -157,8 +198,8 @@ def _sets(b: pa.RecordBatch):
 
 
 def clusters(docs: DataFrame, threshold: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
-    """The documents (rid, doc_id, n) and their paragraphs that have a twin:
-    (rid, doc_id, at, cluster, first)."""
+    """The documents (rid, doc_id, n, pieces) and their paragraphs that have a
+    twin: (rid, doc_id, at, cluster, first)."""
     spark = docs.sparkSession
     C.use_small_batches(spark)
     # a paragraph's words are read again from one text that has it, found by id and content
@@ -175,7 +216,7 @@ def clusters(docs: DataFrame, threshold: float = SIMILARITY) -> tuple[DataFrame,
         return C.map_arrow(found, _sets, lsh.SETS).dropDuplicates(["id"])
 
     linked = lsh.classes(banded, None, make_sets, threshold, "para")
-    docs_table = scan.where("kind = 0").select("rid", "doc_id", "n")
+    docs_table = scan.where("kind = 0").select("rid", "doc_id", "n", "pieces")
     each = (scan.where("kind = 0").select("rid", "doc_id", F.explode(F.arrays_zip("at", "pids")).alias("x"))
             .select("rid", "doc_id", "x.at", F.col("x.pids").alias("pid"))
             .join(linked.withColumnRenamed("node", "pid"), "pid", "left")
@@ -191,15 +232,33 @@ def clusters(docs: DataFrame, threshold: float = SIMILARITY) -> tuple[DataFrame,
     return docs_table, C.keep(twins, "para-twins")
 
 
-def op9(docs: DataFrame) -> DataFrame:
-    """The registered query: doc_id, n_paragraphs, n_repeated (paragraphs
-    with a twin), n_removed, removed (positions)."""
-    table, twins = clusters(docs)
+def repeated_passages(table: DataFrame) -> DataFrame:
+    """(rid, n_repeated_passages) of the documents (rid, pieces) with a piece
+    that stands in another one too."""
+    met = lsh.colliding(table.select(F.col("rid").alias("id"), F.explode("pieces").alias("band")))
+    return met.groupBy(F.col("id").alias("rid")).agg(F.count(F.lit(1)).alias("n_repeated_passages"))
+
+
+def _lines(table: DataFrame, twins: DataFrame) -> DataFrame:
     per = twins.groupBy("rid").agg(
         F.count(F.lit(1)).alias("n_repeated"), F.sum(F.when(F.col("first"), 0).otherwise(1)).alias("n_removed"),
         F.sort_array(F.collect_list(F.when(~F.col("first"), F.col("at")))).alias("removed"))
-    return table.join(per, "rid", "left").select(
-        "doc_id", F.col("n").cast("long").alias("n_paragraphs"),
+    return table.select("rid", "doc_id", "n").join(per, "rid", "left").select(
+        "rid", "doc_id", F.col("n").cast("long").alias("n_paragraphs"),
         F.coalesce("n_repeated", F.lit(0)).cast("long").alias("n_repeated"),
         F.coalesce("n_removed", F.lit(0)).cast("long").alias("n_removed"),
         F.array_join(F.coalesce("removed", F.array().cast("array<int>")).cast("array<string>"), ",").alias("removed"))
+
+
+def op9(docs: DataFrame) -> DataFrame:
+    """The lines: doc_id, n_paragraphs, n_repeated (paragraphs with a twin),
+    n_removed, removed (positions)."""
+    return _lines(*clusters(docs)).drop("rid")
+
+
+def op9_passages(docs: DataFrame) -> DataFrame:
+    """The registered query: the columns of ``op9`` and n_repeated_passages
+    (pieces of long passages that another document has as well)."""
+    table, twins = clusters(docs)
+    return (_lines(table, twins).join(repeated_passages(table), "rid", "left").drop("rid")
+            .withColumn("n_repeated_passages", F.coalesce("n_repeated_passages", F.lit(0)).cast("long")))

@@ -69,7 +69,7 @@ def _(spark, d):
 
 @query("op9_paragraphs")
 def _(spark, d):
-    return paragraphs.op9(_table(spark, d, "documents"))
+    return paragraphs.op9_passages(_table(spark, d, "documents"))
 
 
 @query("op10_suffix")

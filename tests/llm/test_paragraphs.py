@@ -3,7 +3,7 @@ import random
 import numpy as np
 import pytest
 
-from newsgraph.llm import lsh, paragraphs
+from newsgraph.llm import lsh, paragraphs, queries
 from tests.llm import brute
 
 
@@ -114,3 +114,71 @@ def test_texts_without_id_get_only_their_own_paragraphs(spark, monkeypatch):
 
 def test_empty_table(spark):
     assert paragraphs.op9(brute.frame(spark, []).coalesce(1)).collect() == []
+
+
+def runs(text, n):
+    w = brute.words(text)
+    return {tuple(w[i:i + n]) for i in range(len(w) - n + 1)}
+
+
+def elsewhere(rows, n):
+    """Per row, whether a run of n of its words stands in another row."""
+    own = [runs(r[1], n) for r in rows]
+    seen = {}
+    for k, found in enumerate(own):
+        for r in found:
+            seen.setdefault(r, set()).add(k)
+    return [any(len(seen[r]) > 1 for r in found) for found in own]
+
+
+def inside_lines():
+    """Passages in the middle of longer lines, across line ends, at either end
+    of a text, and too short ones; short lines that stand everywhere."""
+    rng = random.Random(11)
+    rows, own = [], lambda k: " ".join(f"w{rng.randrange(10 ** 6)}" for _ in range(k))
+    for size in (39, 50, 51, 52, 60, 75, 120):
+        p = own(size)
+        w = p.split()
+        broken = " ".join(w[:20]) + ".\n" + ", ".join(w[20:]).upper()
+        for text in (f"{own(90)} {p} {own(80)}", f"{own(7)} {broken} {own(140)}", f"{p} {own(200)}", f"{own(200)} {p}"):
+            rows.append((len(rows), f"Of.\n{text}\nAll rights reserved", "", "", 0))
+    one = own(60)
+    rows += [(len(rows), f"Of.\n{own(100)}\nAll rights reserved", "", "", 0),
+             (len(rows) + 1, f"{own(80)} {one} {own(70)} {one} {own(60)}\nOf.", "", "", 0),  # repeats itself alone
+             (None, f"{own(10)} {rows[8][1]}", "", "", 0), (None, None, "", "", 0), (None, "Of.", "", "", 0)]
+    return rows
+
+
+def test_passages_inside_longer_lines_are_found(spark, tmp_path):
+    rows = inside_lines()
+    brute.frame(spark, [(1000 + i, *r[1:]) for i, r in enumerate(rows)]).write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id - 1000: r for r in queries.QUERIES["op9_paragraphs"](spark, str(tmp_path)).collect()}
+    assert [got[k].n_repeated_passages > 0 for k in range(len(rows))] == elsewhere(rows, 50)
+    assert elsewhere(rows, 50) == elsewhere(rows, 40)  # so nothing here is free
+    assert got[28].n_repeated == 2 and got[28].n_repeated_passages == 0  # short lines alone
+    assert got[0].n_repeated_passages == 0 and got[29].n_repeated_passages == 0
+
+
+@pytest.mark.parametrize("extra", [False, True])
+def test_passages_of_messy_documents(spark, extra):
+    rows = cases()
+    got = paragraphs.op9_passages(brute.frame(spark, rows, extra)).collect()
+    assert sorted(tuple(r)[:3] for r in got if r.doc_id is not None) == sorted(r[:3] for r in expected(rows) if r[0] is not None)
+    found = {(r.doc_id, r.n_paragraphs) for r in got if r.n_repeated_passages}
+    key = [(r[0], len((r[1] or "").split("\n"))) for r in rows]
+    assert {k for k, x in zip(key, elsewhere(rows, 50)) if x} <= found <= {k for k, x in zip(key, elsewhere(rows, 40)) if x}
+
+
+def test_pieces_are_the_minima_of_all_runs():
+    rng = np.random.default_rng(4)
+    rows = np.repeat(np.arange(6), [0, 49, 50, 51, 200, 130])
+    h = rng.integers(0, 1 << 63, len(rows), dtype=np.uint64)
+    h[-60:] = 5  # one word sixty times
+    got = list(zip(*(x.tolist() for x in paragraphs.pieces(rows, h))))
+    hashes = {}
+    for i in range(len(h) - 39):
+        if rows[i] == rows[i + 39]:
+            one = paragraphs._runs(h[i:i + 40], 40, lambda a, b: paragraphs.C.mix64(a * np.uint64(0x9E3779B97F4A7C15) + b))
+            hashes[i] = int(one[0])
+    want = {(int(rows[i]), min(hashes[j] for j in range(i, i + 11))) for i in range(len(h) - 49) if rows[i] == rows[i + 49]}
+    assert got == sorted(want) and len(paragraphs.pieces(rows[:49], h[:49])[0]) == 0
