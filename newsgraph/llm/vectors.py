@@ -6,9 +6,10 @@ of them into tiles.  A pair of tiles is skipped if the first coordinate
 alone keeps all its cosines under the threshold.  Otherwise the products
 are accumulated over the leading coordinates first: what the rest can add
 is at most the product of the two suffix norms, and a pair whose sum cannot
-reach the threshold stops there.  A pair of tiles returns link counts per
-vector and a spanning forest of its links, never the links themselves, so a
-group of near copies stays small.
+reach the threshold stops there.  Tiles meet in packs of bounded size: a
+tile is sent once per pack, not once per tile.  A pair of packs returns link
+counts per vector and a spanning forest of its links, never the links
+themselves, so a group of near copies stays small.
 
 Edge cases: vectors that are null, empty, zero, of another length than most
 or hold null or non-finite components link with nothing; equal vectors are
@@ -29,6 +30,8 @@ from newsgraph.llm import common as C
 
 COSINE = 0.9
 TILE = 2048           # vectors per tile
+PACK_BYTES = 8 << 20  # vectors of the tiles that are sent together
+LEAST_PACKS = 16      # a table of fewer bytes than that fills has smaller packs
 CHUNKS = 64           # most ranges of the first coordinate in which tiles are cut
 STEP = 16             # coordinates accumulated at a time
 SLACK = 1e-9          # rounding of the partial sums
@@ -159,47 +162,70 @@ def forest(i: np.ndarray, j: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray
     return node, label[node]
 
 
+def pack_tiles(tiles_held: int, row_bytes: int) -> int:
+    """Tiles that are sent as one.  A tile is sent once per pack, so packs are
+    as large as a task easily holds, but not so few that cores are idle."""
+    return max(1, min(PACK_BYTES // (TILE * row_bytes), tiles_held // LEAST_PACKS))
+
+
+def meetings(blocks: DataFrame, size: int, reach: float) -> DataFrame:
+    """(pa, pb, tile columns): the tiles of each two packs of ``size`` tiles
+    that have vectors within ``reach`` on the first axis."""
+    packed = blocks.withColumn("pack", F.floor(F.col("tile") / size).cast("int"))
+    meta = packed.groupBy("pack").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    pairs = (meta.select(F.col("pack").alias("pa"), F.col("hi").alias("from"))
+             .join(meta.select(F.col("pack").alias("pb"), F.col("lo").alias("to")), F.col("pa") <= F.col("pb"))
+             .where(F.col("to") - F.col("from") <= reach).select("pa", "pb"))
+    sides = pairs.withColumn("pack", F.col("pa")).unionByName(pairs.where("pa != pb").withColumn("pack", F.col("pb")))
+    return packed.join(F.broadcast(sides), "pack").drop("pack")  # two numbers per pair of packs
+
+
 def links(blocks: DataFrame, axes: np.ndarray, d: int, threshold: float, vector_type) -> DataFrame:
     """(kind, a, b): kind 0 rows are link counts b of class a, kind 1 rows
     edges of spanning forests between representatives."""
     reach = float(np.sqrt(2 - 2 * threshold)) + 1e-6   # unit vectors further apart on any axis do not link
-    n = blocks.count()
-    meta = blocks.select("tile", "lo", "hi")
-    pairs = (meta.select(F.col("tile").alias("ta"), F.col("hi").alias("from"),
-                         F.explode(F.sequence("tile", F.lit(n - 1))).alias("tb"))
-             .join(meta.select(F.col("tile").alias("tb"), F.col("lo").alias("to")), "tb")
-             .where(F.col("to") - F.col("from") <= reach).select("ta", "tb"))
-    side = lambda s: blocks.select(*[F.col(c).alias(f"{c}{s}") for c in ("tile", "cid", "rep", "m", "rows")])
-    both = (pairs.join(side("b"), F.col("tb") == F.col("tileb")).join(side("a"), F.col("ta") == F.col("tilea"))
-            .select("ta", "tb", "cida", "repa", "ma", "rowsa", "cidb", "repb", "mb", "rowsb"))
-    # one pair of tiles is the unit of work: spread them evenly
-    both = both.repartition(int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions")), F.xxhash64("ta", "tb"))
-
-    def compare(b: pa.RecordBatch):
-        for r in b.to_pylist():
-            a_id, b_id = (np.frombuffer(r[c], np.int64) for c in ("cida", "cidb"))
-            a_rep, b_rep, ma, mb = (np.frombuffer(r[c], np.int64) for c in ("repa", "repb", "ma", "mb"))
-            ua, ub = (unit(np.frombuffer(r[c], vector_type).reshape(-1, d)) for c in ("rowsa", "rowsb"))
-            i, j = linked_pairs(ua @ axes, ub @ axes, threshold, r["ta"] == r["tb"])
-            # rotated sums are rounded: settle the ones next to the threshold by the plain product
-            s = np.empty(len(i))
-            for lo in range(0, len(i), 1 << 16):
-                p = slice(lo, lo + (1 << 16))
-                s[p] = np.einsum("ij,ij->i", ua[i[p]], ub[j[p]])
-            i, j = i[s >= threshold], j[s >= threshold]
-            ca = np.bincount(i, weights=mb[j], minlength=len(a_id)).astype(np.int64)
-            cb = np.bincount(j, weights=ma[i], minlength=len(b_id)).astype(np.int64)
-            shift = 0 if r["ta"] == r["tb"] else len(a_id)
-            rep = a_rep if not shift else np.concatenate([a_rep, b_rep])
-            node, root = forest(i, j + shift, len(rep))
-            na, nb = np.flatnonzero(ca), np.flatnonzero(cb)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.repeat(np.array([0, 1], np.int32), [len(na) + len(nb), len(node)])),
-                 pa.array(np.concatenate([a_id[na], b_id[nb], rep[node]])),
-                 pa.array(np.concatenate([ca[na], cb[nb], rep[root]]))], ["kind", "a", "b"])
-
-    C.use_small_batches(blocks.sparkSession, 4)  # a row holds two tiles
-    return C.keep(C.map_arrow(both, compare, "kind int, a long, b long"), "vec-links")
+    size = pack_tiles(blocks.count(), d * np.dtype(vector_type).itemsize)
+
+    def compare(t: pa.Table) -> pa.Table:
+        rows = sorted(t.select(["tile", "lo", "hi"]).to_pylist(), key=lambda r: r["tile"])
+        at = np.argsort(t.column("tile").to_numpy())
+        read = lambda c, kind: [np.frombuffer(t.column(c)[i].as_py(), kind) for i in at.tolist()]
+        ids, reps, copies = (read(c, np.int64) for c in ("cid", "rep", "m"))
+        units = [unit(x.reshape(-1, d)) for x in read("rows", vector_type)]
+        turned = [u @ axes for u in units]
+        start = np.cumsum([0, *[len(x) for x in ids]])
+        pack = [r["tile"] // size for r in rows]
+        counts, nodes, roots = np.zeros(start[-1], np.int64), [], []
+        for x in range(len(rows)):
+            for y in range(x, len(rows)):
+                # two tiles of one pack meet where the pack meets itself
+                if (pack[x] == pack[y]) != (pack[0] == pack[-1]) or rows[y]["lo"] - rows[x]["hi"] > reach:
+                    continue
+                i, j = linked_pairs(turned[x], turned[y], threshold, x == y)
+                # rotated sums are rounded: settle the ones next to the threshold by the plain product
+                s = np.empty(len(i))
+                for lo in range(0, len(i), 1 << 16):
+                    p = slice(lo, lo + (1 << 16))
+                    s[p] = np.einsum("ij,ij->i", units[x][i[p]], units[y][j[p]])
+                i, j = i[s >= threshold], j[s >= threshold]
+                if not len(i):
+                    continue
+                counts[start[x]:start[x + 1]] += np.bincount(i, weights=copies[y][j], minlength=len(ids[x])).astype(np.int64)
+                counts[start[y]:start[y + 1]] += np.bincount(j, weights=copies[x][i], minlength=len(ids[y])).astype(np.int64)
+                i, j = start[x] + i, start[y] + j
+                held, of = np.unique(np.concatenate([i, j]), return_inverse=True)
+                node, root = forest(of[:len(i)], of[len(i):], len(held))
+                nodes.append(held[node]), roots.append(held[root])
+        rep, cid = np.concatenate(reps), np.concatenate(ids)
+        node, root = forest(np.concatenate(nodes), np.concatenate(roots), len(rep)) if nodes else (np.zeros(0, np.int64),) * 2
+        some = np.flatnonzero(counts)
+        return pa.table({"kind": np.repeat(np.array([0, 1], np.int32), [len(some), len(node)]),
+                         "a": np.concatenate([cid[some], rep[node]]), "b": np.concatenate([counts[some], rep[root]])})
+
+    # packs are small beside the work on them: their pairs are spread, not coalesced by size
+    parts = int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    both = meetings(blocks, size, reach).repartition(parts, "pa", "pb")
+    return C.keep(both.groupBy("pa", "pb").applyInArrow(compare, "kind int, a long, b long"), "vec-links")
 
 
 def near_vectors(df: DataFrame, threshold: float = COSINE) -> DataFrame:

@@ -54,6 +54,19 @@ def test_links_match_brute_force(spark, monkeypatch, tile, extra):
             assert r.n_links == 0 and r.component_id == r.vec_id
 
 
+def test_a_tile_is_sent_once_per_pack(spark):
+    assert vectors.pack_tiles(352, 64 * 4) == 16 and vectors.pack_tiles(352, 4096 * 8) == 1 and vectors.pack_tiles(3, 256) == 1
+    blocks = spark.createDataFrame([(i, i / 40 - 0.01, i / 40 + 0.01) for i in range(40)], "tile int, lo double, hi double")
+    rows = vectors.meetings(blocks, 5, 2.0).collect()
+    assert len(rows) == 40 * 8  # by tiles it was 40 * 41
+    met = {(r.pa, r.pb): set() for r in rows}
+    for r in rows:
+        met[r.pa, r.pb].add(r.tile)
+    assert len(met) == 36 and all(tiles == {t for t in range(40) if t // 5 in pair} for pair, tiles in met.items())
+    near = {(r.pa, r.pb) for r in vectors.meetings(blocks, 5, 0.1).collect()}
+    assert near == {(a, b) for a in range(8) for b in (a, a + 1) if b < 8}
+
+
 def test_early_stop_keeps_every_pair():
     rng = np.random.default_rng(4)
     a = vectors.unit(rng.normal(size=(200, 40)) * np.linspace(3, 0.1, 40))
