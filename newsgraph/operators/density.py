@@ -8,7 +8,7 @@ neighbours within ``d`` reach ``m``; from exact neighbours by pivot cells
 ``density_clusters`` chooses the clusters itself: the minimum spanning tree of
 mutual reachability (``forest``), the condensed hierarchy of its components,
 and the selection by stability (``hierarchy``).  ``density_components`` gives
-the clusters at one density level: block pairs emit spanning forests of what
+the clusters at one density level: spanning forests of what
 is under the cut, never every edge, and their components are found by star
 contraction."""
 
@@ -17,6 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from newsgraph.operators import forest
 from newsgraph.operators.forest import block_forests, connected_components, reachability_tree
 from newsgraph.operators.hierarchy import condense
 from newsgraph.operators.neighbours import DEFAULT_BLOCK, knn
@@ -29,7 +30,12 @@ MIN_CLUSTER_SIZE = 2
 def core_distances(points: DataFrame, min_samples: int = MIN_SAMPLES,
                    block_size: int = DEFAULT_BLOCK) -> DataFrame:
     """``(id, weight, core)`` for ``points(id, vec, weight)``."""
-    nn = knn(points, min_samples, block_size)
+    return _cores(points, knn(points, min_samples, block_size), min_samples)
+
+
+def _cores(points: DataFrame, nn: DataFrame, min_samples: int) -> DataFrame:
+    """Core distances from neighbours, of which more may be listed."""
+    nn = nn.select("id", F.slice("nbrs", 1, min_samples).alias("nbrs"))
     p = points.select("id", F.coalesce(F.col("weight"), F.lit(1)).cast("bigint").alias("weight"))
     j = p.join(nn, "id", "left")
     need = F.lit(min_samples) - (F.col("weight") - 1)
@@ -45,6 +51,16 @@ def core_distances(points: DataFrame, min_samples: int = MIN_SAMPLES,
     return j.select("id", "weight", F.coalesce(core, F.lit(float("inf"))).alias("core"))
 
 
+def _listed(points: DataFrame, min_samples: int, block_size: int, rounds: Rounds) -> tuple[DataFrame, DataFrame | None, int]:
+    """The cores, and the neighbour lists that a large table's tree is joined
+    from with their length; one search gives both."""
+    if points.count() <= forest.SMALL:
+        return rounds.put("cores", core_distances(points, min_samples, block_size)), None, 0
+    listed = max(min_samples, forest.LISTED)
+    nn = rounds.put("near", knn(points, listed, block_size))
+    return rounds.put("cores", _cores(points, nn, min_samples)), nn, listed
+
+
 def _weighted(points: DataFrame) -> DataFrame:
     if "weight" not in points.columns:
         points = points.withColumn("weight", F.lit(1).cast("bigint"))
@@ -77,8 +93,8 @@ def density_tree(points: DataFrame, min_samples: int = MIN_SAMPLES,
     """The spanning tree ``(a, b, w)`` of mutual reachability, and the cores
     ``(id, weight, core)`` it was made with."""
     points = _weighted(points)
-    cores = Rounds(points.sparkSession, "density").put("cores", core_distances(points, min_samples, block_size))
-    return reachability_tree(points, cores, block_size), cores
+    cores, nn, listed = _listed(points, min_samples, block_size, Rounds(points.sparkSession, "density"))
+    return reachability_tree(points, cores, block_size, neighbours=nn, listed=listed), cores
 
 
 def density_clusters(points: DataFrame, min_cluster_size: int = MIN_CLUSTER_SIZE, min_samples: int | None = None,

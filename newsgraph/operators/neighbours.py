@@ -8,7 +8,7 @@ which bounds how far their ``k``-th neighbour can be.  By the triangle
 inequality no point of another cell is nearer than the distance to its pivot
 less its radius, so a point goes only to the packs with a cell for which that
 is within its bound.  A pack receives its visitors in salted parts, so no
-task holds more than five packs whatever the cell, and what leaves one is at
+task holds more than two packs whatever the cell, and what leaves one is at
 most ``k`` rows per visitor; they are ranked per point with a limit that
 applies before the shuffle.
 
@@ -30,11 +30,12 @@ from newsgraph.session import Rounds
 
 MAX_PIVOTS = 1024
 DEFAULT_BLOCK = 2048
-PACK_POINTS = 8192        # points in a pack at most, unless a block is given as larger
+PACK_POINTS = 1 << 15     # points in a pack at most, unless a block is given as larger
+PACK_VALUES = 1 << 21     # coordinates in a pack at most
 LEAST_PACKS = 16          # a table of fewer points than that fills has smaller packs
 _CHUNK_CELLS = 1 << 16    # distances computed at once: what stays in a core's cache
 _PRODUCT_CELLS = 1 << 20  # products computed at once
-_GUEST_PACKS = 4          # a task's visitors, in packs
+_GUEST_PACKS = 1          # a task's visitors, in packs
 _SLACK = 1e-9             # the bounds are taken this much wider, for rounding
 
 
@@ -145,11 +146,29 @@ def _pivots(points: DataFrame, n: int) -> np.ndarray:
     return np.array([r["vec"] for r in rows], np.float64)
 
 
-def pack_size(block_size: int, n: int) -> int:
+def pack_size(block_size: int, n: int, dim: int = 64) -> int:
     """Points of ``n`` that are handled as one.  What is sent to each pack is
     sent once per pack, so the packs are as large as a task's memory easily
     holds, but not so few that cores are idle."""
-    return max(block_size, min(PACK_POINTS, n // LEAST_PACKS))
+    return max(block_size, min(PACK_POINTS, PACK_VALUES // max(dim, 1), n // LEAST_PACKS))
+
+
+def product_bounds(a: np.ndarray, b: np.ndarray):
+    """(first row, squared distances, slack) of a chunk of the rows of ``a``
+    from all of ``b`` at a time: one matrix product each, within ``slack`` of
+    the exact squares; zeros if the points are too large for a product."""
+    na, nb = np.einsum("ij,ij->i", a, a), np.einsum("ij,ij->i", b, b)
+    bounded = bool(len(b)) and bool(np.isfinite(na).all() and np.isfinite(nb).all() and max(na.max(initial=0), nb.max()) < 1e300)
+    wide = np.vstack([-2 * b.T, nb]) if bounded else None
+    step = max(1, _PRODUCT_CELLS // max(len(b), 1))
+    for s in range(0, len(a) if len(b) else 0, step):
+        part = a[s:s + step]
+        if bounded:
+            square = np.hstack([part, np.ones((len(part), 1))]) @ wide
+            square += na[s:s + step, None]
+            yield s, square, product_error(a.shape[1]) * (np.sqrt(na[s:s + step]) + math.sqrt(nb.max())) ** 2
+        else:
+            yield s, np.zeros((len(part), len(b))), np.full(len(part), np.inf)
 
 
 def _packs(centre: np.ndarray, held: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
@@ -195,7 +214,7 @@ def placed(points: DataFrame, block_size: int, rounds: Rounds) -> tuple[DataFram
     if not size:
         return cells, pivots, ()
     cell, held, radius = (np.array(c) for c in zip(*size))
-    first, parts = _packs(pivots[cell], held, pack_size(block_size, n))
+    first, parts = _packs(pivots[cell], held, pack_size(block_size, n, pivots.shape[1]))
     table = spark.createDataFrame(list(zip(cell.tolist(), first.tolist(), parts.tolist())), "cell int, first int, parts int")
     packed = cells.join(F.broadcast(table), "cell").withColumn(
         "pack", (F.col("first") + F.pmod(F.xxhash64("id"), F.col("parts"))).cast("int")).drop("first", "parts")
@@ -252,7 +271,7 @@ def knn(points: DataFrame, k: int, block_size: int = DEFAULT_BLOCK) -> DataFrame
                 ["id", "pack", "most"])
 
     visits = rounds.put("visits", packed.join(bound, "id", "left").mapInArrow(send, "id long, pack int, most double"))
-    salts = visits.groupBy("pack").agg(F.ceil(F.count(F.lit(1)) / (_GUEST_PACKS * pack_size(block_size, int(size[1].sum())))).cast("int").alias("salts"))
+    salts = visits.groupBy("pack").agg(F.ceil(F.count(F.lit(1)) / (_GUEST_PACKS * pack_size(block_size, int(size[1].sum()), pivots.shape[1]))).cast("int").alias("salts"))
     key = ["pack", "salt"]
     guests = (visits.join(salts, "pack").withColumn("salt", F.pmod(F.xxhash64("id"), F.col("salts")).cast("int"))
               .select(*key, "id", "most").join(packed.select("id", "vec"), "id")

@@ -307,6 +307,51 @@ def test_block_tree_is_that_of_all_distances():
         assert sorted(zip(*FO.block_tree(X, core, ids))) == sorted(want)
 
 
+def _islands(n=6, dim=3):
+    """Tight groups of more points than a list holds, loose points, equal points."""
+    rng = np.random.default_rng(8)
+    X = [rng.uniform(-20, 20, dim) + rng.normal(scale=0.05, size=(k, dim)) for k in rng.integers(10, 30, n)]
+    return np.concatenate([*X, rng.uniform(-20, 20, (25, dim)), np.tile(rng.uniform(-20, 20, dim), (14, 1))])
+
+
+@pytest.mark.parametrize("X", [_islands(), np.round(unstructured(90, 2) * 2)], ids=["islands", "ties"])
+def test_tree_from_neighbour_lists(spark, monkeypatch, X):
+    monkeypatch.setattr(FO, "SMALL", 0)
+    monkeypatch.setattr(FO, "block_tree", lambda *a: 1 / 0)  # no row of distances after another
+    monkeypatch.setattr(FO, "RANGE", 40)
+    monkeypatch.setattr(N, "PACK_POINTS", 30)
+    w = np.ones(len(X), int)
+    w[[2, 30]] = 2, 4
+    tree, cores = D.density_tree(frame(spark, X, w), block_size=16)
+    tree = tree.collect()
+    assert np.allclose(sorted(r.w for r in tree), plain_tree_weights(X, w)) and cores.count() == len(X)
+    up = {}
+    for r in tree:
+        x, y = FO._root(up, r.a), FO._root(up, r.b)
+        assert x != y and r.a < r.b
+        up[max(x, y)] = min(x, y)
+
+
+@pytest.mark.parametrize("scale", [1.0, 1e160])
+def test_lightest_is_that_of_all_pairs(scale):
+    rng = np.random.default_rng(2)
+    X = np.concatenate([np.round(unstructured(80, 3)), unstructured(60, 3)]) * scale
+    ids, part = rng.permutation(len(X)) + 3, rng.integers(0, 7, len(X))
+    core = rng.choice([0.1, 0.7, 1.5, np.inf], len(X)) * scale
+    d = N.distances(X, X)
+    for most in (np.inf, 0.9 * scale):
+        limit = np.where(part < 6, most, np.inf)
+        want = {}
+        for i in range(len(X)):
+            for j in range(len(X)):
+                w = max(d[i, j], core[i], core[j])
+                if part[i] != part[j] and np.isfinite(w) and w <= limit[i]:
+                    edge = (w, min(ids[i], ids[j]), max(ids[i], ids[j]))
+                    want[part[i]] = min(want.get(part[i], edge), edge)
+        got = FO.lightest(X, X, core, core, ids, ids, part, part, limit)
+        assert {p: (w, a, b) for p, a, b, w in zip(*got)} == want
+
+
 def test_blocks_follow_the_table(spark):
     X = unstructured(640, 4)
     pts = frame(spark, X)
