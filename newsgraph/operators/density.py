@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from newsgraph.operators import forest
-from newsgraph.operators.forest import block_forests, connected_components, reachability_tree
+from newsgraph.operators.forest import block_forests, connected_components, listed_tree, reachability_tree
 from newsgraph.operators.hierarchy import condense
 from newsgraph.operators.neighbours import DEFAULT_BLOCK, knn
 from newsgraph.session import Rounds
@@ -77,9 +77,11 @@ def density_components(points: DataFrame, cut: float, min_samples: int = MIN_SAM
     core)``."""
     points = _weighted(points)
     rounds = Rounds(points.sparkSession, "density")
-    cores = rounds.put("cores", core_distances(points, min_samples, block_size))
+    cores, nn, listed = _listed(points, min_samples, block_size, rounds)
     core_pts = cores.filter(F.col("core") <= cut).select("id", "weight")
-    comps = connected_components(core_pts, block_forests(points, cores, block_size, cut))
+    links = (block_forests(points, cores, block_size, cut) if nn is None
+             else listed_tree(points, cores, nn, listed, block_size, cut))
+    comps = connected_components(core_pts, links)
     sizes = (comps.join(core_pts, "id").groupBy("comp").agg(F.sum("weight").alias("_size")))
     labelled = (comps.join(sizes, "comp")
                 .select("id", F.when(F.col("_size") >= min_cluster_size, F.col("comp"))

@@ -332,6 +332,14 @@ def test_tree_from_neighbour_lists(spark, monkeypatch, X):
         up[max(x, y)] = min(x, y)
 
 
+def test_components_from_neighbour_lists(spark, monkeypatch):
+    X, cut = _islands(), 3.0
+    want = {r.id: r.cluster for r in D.density_components(frame(spark, X), cut, block_size=16).collect()}
+    monkeypatch.setattr(FO, "SMALL", 0)
+    monkeypatch.setattr(D, "block_forests", lambda *a: 1 / 0)
+    assert {r.id: r.cluster for r in D.density_components(frame(spark, X), cut, block_size=16).collect()} == want
+
+
 @pytest.mark.parametrize("scale", [1.0, 1e160])
 def test_lightest_is_that_of_all_pairs(scale):
     rng = np.random.default_rng(2)
