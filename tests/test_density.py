@@ -340,6 +340,17 @@ def test_components_from_neighbour_lists(spark, monkeypatch):
     assert {r.id: r.cluster for r in D.density_components(frame(spark, X), cut, block_size=16).collect()} == want
 
 
+def test_clusters_from_neighbour_lists(spark, monkeypatch):
+    X = blobs(2, n=10, noise=5)
+    w = np.ones(len(X), int)
+    w[[1, 12]] = 3, 2
+    monkeypatch.setattr(FO, "SMALL", 0)
+    monkeypatch.setattr(D, "block_forests", lambda *a: 1 / 0)
+    monkeypatch.setattr(FO, "block_forests", lambda *a: 1 / 0)
+    got = {r.id: r.cluster for r in D.density_clusters(frame(spark, X, w), 2, block_size=16).collect()}
+    assert got == plain_clusters(X, w, 2)
+
+
 @pytest.mark.parametrize("scale", [1.0, 1e160])
 def test_lightest_is_that_of_all_pairs(scale):
     rng = np.random.default_rng(2)
