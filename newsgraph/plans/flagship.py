@@ -37,11 +37,16 @@ def processed_articles(spark: SparkSession, sf_dir: str, pin: bool = True) -> tu
                               cluster_client_factory=SI.StubClusterer, cluster="model", pin=pin)
 
 
+def in_key_order(processed: DataFrame) -> DataFrame:
+    """``processed`` with ``row_ord`` numbering the rows in the order of their
+    group keys, in which regrouped rows come.  A range-partitioned sort: the
+    keys, the article text among them, do not follow every endpoint row."""
+    return processed.orderBy(*REGROUP_KEYS).withColumn("row_ord", F.monotonically_increasing_id())
+
+
 def flagship_graph(spark: SparkSession, sf_dir: str, pin: bool = True) -> ArticleGraph:
     processed, _ = processed_articles(spark, sf_dir, pin)
-    # regrouped rows come in the order of their group keys
-    ordered = processed.withColumn("row_ord", F.struct(*[F.col(k) for k in REGROUP_KEYS]))
-    return ArticleGraph.build(ordered, FLAGSHIP_RELS)
+    return ArticleGraph.build(in_key_order(processed), FLAGSHIP_RELS)
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:

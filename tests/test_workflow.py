@@ -72,3 +72,22 @@ def test_topics_cluster_without_a_cut(spark):
             named.setdefault(r.topic_cluster, set()).add(r.topics)
     assert named and all(len(v) == 1 for v in named.values())
     assert [r.topics for r in out if r.row_ord == 901] == [None]
+
+
+def test_flagship_orders_rows_without_carrying_their_text(spark):
+    """The last written type wins in the order of the keys, and what is sorted
+    by and grouped is a number, not the article."""
+    from newsgraph.operators.persons import REGROUP_KEYS
+    from newsgraph.plans.flagship import FLAGSHIP_RELS, in_key_order
+
+    names = ["a", "b", "c"]
+    rows = [(i, f"t{i % 4}", names[i % 3], f"l{i % 5}", f"2024-01-{1 + i % 2:02d}", "long text %d " % (i * 7 % 11) * 50,
+             names[(i + i // 3) % 3], [names[i % 2], "d"]) for i in range(40)]
+    df = spark.createDataFrame(rows, ["row_ord", *REGROUP_KEYS, "persons"]).repartition(5)
+    by_keys = df.withColumn("row_ord", F.struct(*REGROUP_KEYS))
+    ordered = in_key_order(df)
+    assert ordered.schema["row_ord"].dataType.simpleString() == "bigint"
+    rank = lambda d: [r.text for r in d.orderBy("row_ord").collect()]
+    assert rank(ordered) == rank(by_keys)
+    nodes = lambda d: sorted(map(tuple, ArticleGraph.build(d, FLAGSHIP_RELS).nodes.collect()))
+    assert nodes(ordered) == nodes(by_keys)
